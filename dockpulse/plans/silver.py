@@ -14,7 +14,7 @@ from dockpulse.operators.reports import filter_hour_window, latest_hours, requir
 from dockpulse.operators.silver import project_fact, stored_fact, transform_silver
 from dockpulse.operators.stations import stations_dimension
 from dockpulse.sinks.writers import LoadResult, load_dim_insert_only, load_fact_dedup
-from dockpulse.session import build_session, stage
+from dockpulse.session import build_session, staged_for_use
 from dockpulse.sources.boundaries import scan_boundaries
 from dockpulse.sources.bronze import scan_bronze
 
@@ -50,10 +50,10 @@ def load_silver(
     """Transform Bronze rows once, then load both Silver tables from the stored result."""
     started = time.monotonic()
     metrics = Observation("silver_rows")
-    silver = stage(transform_silver(bronze, metrics), "silver-batch")
-    read = metrics.get
-    stations = load_dim_insert_only(spark, stations_dimension(silver, boundaries), warehouse.table("stations"))
-    facts = load_fact_dedup(spark, stored_fact(project_fact(silver)), warehouse.table("station_availability"))
+    with staged_for_use(transform_silver(bronze, metrics), "silver-batch") as silver:
+        read = metrics.get
+        stations = load_dim_insert_only(spark, stations_dimension(silver, boundaries), warehouse.table("stations"))
+        facts = load_fact_dedup(spark, stored_fact(project_fact(silver)), warehouse.table("station_availability"))
     return SilverRun(read["rows_read"], read["rows_rejected"], facts, stations, time.monotonic() - started)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +50,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts lineage in a way that survives lost executors, and gives later joins exact sizes.
     """
+    return _stage_at(df, work_path(df.sparkSession, name))
+
+
+@contextmanager
+def staged_for_use(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As ``stage``, for a block of code; the files are deleted when it ends."""
     path = work_path(df.sparkSession, name)
+    try:
+        yield _stage_at(df, path)
+    finally:
+        file_system, target = hadoop_path(df.sparkSession, path)
+        file_system.delete(target, True)
+
+
+def _stage_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -25,41 +25,44 @@ class LoadResult:
     rows_written: int = 0
 
 
-def _arranged(df: DataFrame, table: StoredTable) -> DataFrame:
+def _arranged(df: DataFrame, table: StoredTable, written: Observation | None = None) -> DataFrame:
     """Bring the rows of a partition together and sort them for narrow row-group statistics.
 
     ``rebalance`` lets adaptive execution split a crowded day and merge small ones, which a plain
-    repartition by day could not.
+    repartition by day could not.  Rows are counted after that exchange: an empty exchange is
+    dropped from the plan together with everything below it.
     """
     if table.partition_by:
         df = df.hint("rebalance", *table.partition_by)
+    if written is not None:
+        df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     order = (*table.partition_by, *table.sort_by)
     return df.sortWithinPartitions(*order) if order else df
 
 
-def write_table(df: DataFrame, table: StoredTable, mode: str = "append") -> None:
-    """Store rows; the first write creates the table with its partitioning."""
+def write_table(df: DataFrame, table: StoredTable, mode: str = "append", written: Observation | None = None) -> None:
+    """Store rows; the first write creates the table with its partitioning.
+
+    ``written`` receives the number of rows.
+    """
     if table.kind == "catalog":
         columns = [F.col(c) for c in table.partition_by]
-        writer = _arranged(df, table).writeTo(table.location)
+        writer = _arranged(df, table, written).writeTo(table.location)
         if mode == "append" and table.exists(df.sparkSession):
             writer.append()
         else:
             (writer.partitionedBy(*columns) if columns else writer).using("parquet").createOrReplace()
         return
     if table.kind == "parquet":
-        _arranged(df, table).write.mode(mode).partitionBy(*table.partition_by).parquet(table.location)
+        _arranged(df, table, written).write.mode(mode).partitionBy(*table.partition_by).parquet(table.location)
         return
     key = "dbtable" if table.kind == "jdbc" else "table"
     extra = JDBC_APPEND if table.kind == "jdbc" else {}
+    if written is not None:
+        df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     df.write.format(table.kind).options(**table.options, **extra).option(key, table.location).mode(mode).save()
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def write_bronze(df: DataFrame, path: str, attempts: int = 2) -> None:
     """Append snapshots under ``ingestion_date=YYYY-MM-DD/hour=HH``.
 
@@ -84,8 +87,8 @@ def load_dim_insert_only(spark: SparkSession, batch: DataFrame, table: StoredTab
     """Insert stations that are not stored yet; stored ones stay as they are."""
     existing = scan_table(spark, table, ["station_id"])
     fresh = batch if existing is None else new_rows(batch, existing, "station_id")
-    fresh, written = _counted(fresh, "stations_written")
-    write_table(fresh, table)
+    written = Observation()
+    write_table(fresh, table, written=written)
     return LoadResult(rows_written=written.get["rows"])
 
 
@@ -102,8 +105,8 @@ def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable) -
     stored = scan_table(spark, table)
     if stored is not None:
         fresh = new_rows(fresh, within_bounds(stored, bounds["min_ts"], bounds["max_ts"]), *FACT_KEYS)
-    fresh, written = _counted(fresh, "facts_written")
-    write_table(fresh, table)
+    written = Observation()
+    write_table(fresh, table, written=written)
     return LoadResult(bounds["rows"], written.get["rows"])
 
 
