@@ -85,8 +85,7 @@ def _(spark, sf):
     schema = scan_bronze(spark, path).schema
     for _attempt in range(2):
         rows = spark.readStream.schema(schema).parquet(path)
-        stations, availability = warehouse.table("stations"), warehouse.table("station_availability")
-        _finish(jobs.start_silver_upsert(rows, stations, availability, work_path(spark, "stream-checkpoint")))
+        _finish(jobs.start_silver_upsert(rows, warehouse, work_path(spark, "stream-checkpoint")))
     return without(warehouse.table("station_availability").read(spark))
 
 

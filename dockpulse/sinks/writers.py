@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.operators.loading import batch_bounds, filter_from, new_rows, replace_by_key, within_bounds
+from dockpulse.operators.loading import batch_bounds, new_rows, replace_by_key, within_bounds
 from dockpulse.operators.silver import dedup_in_batch
-from dockpulse.session import path_exists, work_path
+from dockpulse.session import path_exists, staged_for_use
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.sources.tables import StoredTable, scan_table
 
@@ -112,13 +112,11 @@ def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable) -
 
 def materialize_full(df: DataFrame, table: StoredTable) -> None:
     """Full refresh.  The new rows are complete on disk before the old ones go."""
-    spark = df.sparkSession
-    if table.kind != "parquet" or not path_exists(spark, table.location):
+    if table.kind != "parquet" or not path_exists(df.sparkSession, table.location):
         write_table(df, table, "overwrite")
         return
-    staging = work_path(spark, "full-refresh")
-    df.write.parquet(staging)
-    write_table(spark.read.schema(df.schema).parquet(staging), table, "overwrite")
+    with staged_for_use(df, "full-refresh") as rows:
+        write_table(rows, table, "overwrite")
 
 
 def incremental_replace(
@@ -131,23 +129,21 @@ def incremental_replace(
     if not table.exists(spark):
         write_table(batch, table)
         return
-    staging = work_path(spark, "incremental")
-    batch.write.parquet(staging)
-    batch = spark.read.schema(batch.schema).parquet(staging)
     if table.kind != "parquet":
         raise NotImplementedError(f"replace rows in a {table.kind} table with its own MERGE")
-    days = batch.select("snapshot_date").distinct()
-    if replace_days:
-        result = batch
-    else:
-        first = batch.agg(F.min("snapshot_date")).first()[0]
-        if first is None:
+    with staged_for_use(batch, "incremental") as rows:
+        bounds = rows.agg(F.min("snapshot_date").alias("low"), F.max("snapshot_date").alias("high")).first()
+        if bounds["low"] is None:
             return
-        touched = filter_from(table.read(spark), first).join(days, "snapshot_date", "left_semi")
-        result = replace_by_key(touched.select(*batch.columns), batch, *keys)
-    _arranged(result, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *table.partition_by
-    ).parquet(table.location)
+        if not replace_days:
+            # Literal bounds prune the stored days statically; the semi-join then keeps exactly those touched.
+            near = table.read(spark).where(F.col("snapshot_date").between(F.lit(bounds["low"]), F.lit(bounds["high"])))
+            days = rows.select("snapshot_date").distinct()
+            touched = near.join(days, "snapshot_date", "left_semi").select(*rows.columns)
+            rows = replace_by_key(touched, rows, *keys)
+        _arranged(rows, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *table.partition_by
+        ).parquet(table.location)
 
 
 def write_quality_report(report: DataFrame, path: str, local_time) -> None:

@@ -15,7 +15,7 @@ _ENVELOPE = T.StructType([T.StructField("results", _STATIONS)])
 
 def payload_stations(text: Column) -> Column:
     """Stations of one payload: either a list, or an object with a ``results`` list."""
-    body = F.ltrim(text)
+    body = F.ltrim(text, F.lit(" \t\r\n"))
     return F.when(body.startswith("["), F.from_json(body, _STATIONS)).otherwise(
         F.from_json(body, _ENVELOPE)["results"]
     )

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from dockpulse.config import Warehouse
 from dockpulse.functions.clock import with_calendar
 from dockpulse.operators.gold import hourly_measures
-from dockpulse.operators.silver import project_fact, stored_fact, transform_silver
-from dockpulse.operators.stations import stations_dimension
+from dockpulse.plans.silver import load_silver
 from dockpulse.schemas import FACT_HOURLY
-from dockpulse.sinks.writers import FACT_KEYS, incremental_replace, load_dim_insert_only, load_fact_dedup
+from dockpulse.sinks.writers import FACT_KEYS, incremental_replace
 from dockpulse.sources.landing import explode_payloads, to_bronze
 from dockpulse.sources.tables import StoredTable
 
@@ -69,19 +69,12 @@ def start_hourly(
 
 
 def start_silver_upsert(
-    bronze: DataFrame,
-    stations: StoredTable,
-    availability: StoredTable,
-    checkpoint: str,
-    boundaries: DataFrame | None = None,
+    bronze: DataFrame, warehouse: Warehouse, checkpoint: str, boundaries: DataFrame | None = None
 ) -> StreamingQuery:
     """Micro-batches of Bronze rows into both Silver tables; reruns of a batch add nothing."""
 
     def load(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        silver = transform_silver(batch)
-        load_dim_insert_only(spark, stations_dimension(silver, boundaries), stations)
-        load_fact_dedup(spark, stored_fact(project_fact(silver)), availability)
+        load_silver(batch.sparkSession, batch, warehouse, boundaries)
 
     return (
         bronze.writeStream.foreachBatch(load)
