@@ -88,10 +88,15 @@ def cleanup_summary(validated: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def loaded_days(availability: DataFrame | None, spark: SparkSession) -> DataFrame:
-    """Distinct days already in Silver; empty when the table does not exist."""
+    """Distinct days already in Silver; empty when the table does not exist.
+
+    The stored table is partitioned by day, so only the partition column is read there.
+    """
     if availability is None:
         return spark.createDataFrame([], "day date")
-    return availability.select(F.to_date("snapshot_timestamp").alias("day")).distinct()
+    stored_day = "snapshot_date" in availability.columns
+    day = F.col("snapshot_date") if stored_day else F.to_date("snapshot_timestamp")
+    return availability.select(day.alias("day")).distinct()
 
 
 def missing_days(lake_days: DataFrame, loaded: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

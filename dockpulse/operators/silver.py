@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from dockpulse.functions.clock import wall_clock, wall_clock_now, with_calendar
@@ -111,11 +111,12 @@ def project_fact(silver: DataFrame) -> DataFrame:
 def dedup_in_batch(df: DataFrame, keys: tuple[str, ...] = ("station_id", "snapshot_timestamp")) -> DataFrame:
     """One row per key: the smallest by all other columns, so reruns keep the same row.
 
-    ``min`` over a struct combines on the map side, so many copies of a key cost one row per task.
+    Spark applies a first-row filter over a window on both sides of the shuffle (window group
+    limit), so many copies of a key leave each map task as one row.
     """
     rest = [c for c in df.columns if c not in keys]
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("kept"))
-    return kept.select(*keys, "kept.*").select(*df.columns)
+    order = Window.partitionBy(*keys).orderBy(*rest)
+    return df.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
 
 
 def stored_fact(fact: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ class BackfillResult:
 
 def pending_days(spark: SparkSession, warehouse: Warehouse, lake: str, start: str | None = None, end: str | None = None):
     in_lake = list_partitions(spark, lake).select(F.col("ingestion_date").alias("day"))
-    stored = scan_table(spark, warehouse.table("station_availability"), ["snapshot_timestamp"])
+    stored = scan_table(spark, warehouse.table("station_availability"))
     return missing_days(in_lake, loaded_days(stored, spark), start, end).orderBy("day")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dockpulse.config import Warehouse
 from dockpulse.functions.clock import EMPTY_TARGET_DATE
@@ -67,26 +68,28 @@ def run(spark: SparkSession, warehouse: Warehouse, incremental: bool = True, rep
     materialize_full(gold.mart_peak_hours(hourly.read(spark), dim), warehouse.table("mart_peak_hours_by_district"))
 
 
-def checks(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
-    """The 30 table tests, each as its violating rows."""
-    names = ("fact_hourly_availability", "fact_daily_station_stats", "dim_stations")
-    marts = ("mart_station_performance", "mart_peak_hours_by_district")
-    tables = sources(spark, warehouse) | staging(spark, warehouse)
-    tables |= {name: warehouse.table(name).read(spark) for name in (*names, *marts)}
-    required = {
-        "stations": ("station_id", "station_name", "capacity", "is_active"),
-        "station_availability": ("station_id", "snapshot_timestamp", "num_bikes_available"),
-        "stg_stations": ("station_id", "capacity"),
-        "stg_station_availability": ("station_id", "snapshot_timestamp"),
-        "dim_stations": ("station_id", "station_name", "capacity", "capacity_category"),
-        "fact_hourly_availability": ("station_id", "snapshot_date", "snapshot_hour"),
-        "fact_daily_station_stats": ("station_id", "snapshot_date"),
-        "mart_station_performance": ("station_id",),
-        "mart_peak_hours_by_district": ("district_municipality_names", "snapshot_hour"),
-    }
-    found = {f"not_null_{t}_{c}": ex.not_null(tables[t], c) for t, columns in required.items() for c in columns}
-    for name in ("stations", "stg_stations", "dim_stations", "mart_station_performance"):
-        found[f"unique_{name}_station_id"] = ex.unique(tables[name], "station_id")
+# Columns that must not be NULL, by table.
+REQUIRED = {
+    "stations": ("station_id", "station_name", "capacity", "is_active"),
+    "station_availability": ("station_id", "snapshot_timestamp", "num_bikes_available"),
+    "stg_stations": ("station_id", "capacity"),
+    "stg_station_availability": ("station_id", "snapshot_timestamp"),
+    "dim_stations": ("station_id", "station_name", "capacity", "capacity_category"),
+    "fact_hourly_availability": ("station_id", "snapshot_date", "snapshot_hour"),
+    "fact_daily_station_stats": ("station_id", "snapshot_date"),
+    "mart_station_performance": ("station_id",),
+    "mart_peak_hours_by_district": ("district_municipality_names", "snapshot_hour"),
+}
+UNIQUE_STATION = ("stations", "stg_stations", "dim_stations", "mart_station_performance")
+
+
+def _tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
+    built = ("dim_stations", *(name for name in REQUIRED if name.startswith(("fact_", "mart_"))))
+    return sources(spark, warehouse) | staging(spark, warehouse) | {n: warehouse.table(n).read(spark) for n in built}
+
+
+def _key_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    found = {f"unique_{name}_station_id": ex.unique(tables[name], "station_id") for name in UNIQUE_STATION}
     found["accepted_values_capacity_category"] = ex.accepted_values(
         tables["dim_stations"], "capacity_category", CAPACITY_CATEGORIES
     )
@@ -99,8 +102,21 @@ def checks(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     return found
 
 
+def checks(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
+    """The 30 table tests, each as its violating rows."""
+    tables = _tables(spark, warehouse)
+    found = {f"not_null_{t}_{c}": ex.not_null(tables[t], c) for t, columns in REQUIRED.items() for c in columns}
+    return found | _key_checks(tables)
+
+
 def check_results(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
-    """One row per test with its number of violations, computed as one job."""
-    return table_counts(checks(spark, warehouse)).withColumnsRenamed(
+    """One row per test with its number of violations; a table's NULL tests share one scan."""
+    tables = _tables(spark, warehouse)
+    results = table_counts(_key_checks(tables)).withColumnsRenamed(
         {"table_name": "test_name", "row_count": "violations"}
     )
+    for name, columns in REQUIRED.items():
+        rules = [ex.Constraint(f"not_null_{name}_{c}", F.col(c).isNotNull()) for c in columns]
+        counted = ex.violation_counts(tables[name], rules).withColumnRenamed("constraint_name", "test_name")
+        results = results.unionByName(counted)
+    return results

@@ -79,3 +79,11 @@ def hadoop_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     file_system, target = hadoop_path(spark, path)
     return file_system.exists(target)
+
+
+def child_folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Sorted names of the folders directly below a path that match a glob."""
+    file_system, _ = hadoop_path(spark, path)
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, pattern)
+    found = file_system.globStatus(glob) or []
+    return sorted(status.getPath().getName() for status in found if status.isDirectory())

@@ -154,10 +154,19 @@ def write_quality_report(report: DataFrame, path: str, local_time) -> None:
 
 
 def mirror_partitions(spark: SparkSession, source: str, target: str) -> None:
-    """Copy snapshots that the target lake lacks, keeping the partition layout."""
+    """Copy snapshots that the target lake lacks, keeping the partition layout.
+
+    Both lakes are compared by snapshot id alone; whole rows are read only from the days that
+    lack something.
+    """
     rows = scan_bronze(spark, source)
-    keys = ("ingestion_date", "hour", "snapshot_id")
-    if path_exists(spark, target):
-        present = scan_bronze(spark, target).select(*keys).distinct()
-        rows = rows.join(present, list(keys), "left_anti")
-    write_bronze(rows, target)
+    if not path_exists(spark, target):
+        write_bronze(rows, target)
+        return
+    keys = ["ingestion_date", "hour", "snapshot_id"]
+    present = scan_bronze(spark, target).select(*keys).distinct()
+    lacking = rows.select(*keys).distinct().join(present, keys, "left_anti")
+    with staged_for_use(lacking, "mirror-lacking") as lacking:
+        days = [row["ingestion_date"] for row in lacking.select("ingestion_date").distinct().collect()]
+        if days:
+            write_bronze(rows.where(F.col("ingestion_date").isin(*days)).join(lacking, keys, "left_semi"), target)

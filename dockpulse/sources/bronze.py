@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.schemas import BRONZE_LAKE
-from dockpulse.session import path_exists
+from dockpulse.session import child_folders, path_exists
 
 
 def scan_bronze(spark: SparkSession, path: str, date: str | None = None, hour: int | str | None = None) -> DataFrame:
@@ -20,8 +20,11 @@ def scan_bronze(spark: SparkSession, path: str, date: str | None = None, hour: i
 
 
 def list_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Days present in the lake.  Only the partition column is read."""
-    return scan_bronze(spark, path).select("ingestion_date").distinct()
+    """Days present in the lake, from its folder names: no file is listed or opened."""
+    days = [name.split("=", 1)[1] for name in child_folders(spark, path, "ingestion_date=*")]
+    return spark.createDataFrame([(d,) for d in days], "day string").select(
+        F.col("day").try_cast("date").alias("ingestion_date")
+    )
 
 
 def partition_files(spark: SparkSession, path: str) -> DataFrame:

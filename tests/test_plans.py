@@ -19,8 +19,9 @@ def test_partition_filters_reach_the_scan(spark):
     assert "hour#" in text.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def test_listing_days_reads_no_column(spark):
-    assert "ReadSchema: struct<>" in plan(list_partitions(spark, base.lake(spark, SF)))
+def test_listing_days_opens_no_file(spark):
+    days = list_partitions(spark, base.lake(spark, SF))
+    assert "FileScan" not in plan(days) and days.count() == 30
 
 
 def test_columns_are_pruned(spark):
@@ -36,6 +37,16 @@ def test_facts_use_hash_aggregation_and_one_shuffle_each(spark):
     assert "SortAggregate" not in daily and daily.count("Exchange hashpartitioning") == 2
 
 
+def test_dedup_and_history_shrink_crowded_keys_before_the_shuffle(spark):
+    rows = scan_bronze(spark, base.lake(spark, SF))
+    dedup = plan(silver.dedup_in_batch(silver.transform_silver(rows)))
+    before_shuffle = dedup.split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+    history = plan(stations.station_history(silver.transform_silver(rows)))
+    assert "HashAggregate" in history.split("Exchange hashpartitioning")[-1]
+    assert "SortAggregate" not in history.split("Exchange hashpartitioning")[-1]
+
+
 def test_no_python_and_no_cross_join(spark):
     built = [
         base.daily(spark, SF),

@@ -158,11 +158,12 @@ def test_station_history(spark):
         bronze(
             spark,
             {"ingestion_timestamp": "2026-02-26T14:00:00+01:00", "name": "old"},
+            {"ingestion_timestamp": "2026-02-26T15:00:00+01:00", "name": None},
             {"ingestion_timestamp": "2026-02-26T15:00:00+01:00", "name": "new"},
-            {"ingestion_timestamp": "2026-02-26T15:00:00+01:00", "name": "same time, later file", "snapshot_id": "20260226_150001"},
+            {"ingestion_timestamp": "2026-02-26T14:30:00+01:00", "name": "old"},
         )
     )
     row = stations.stations_dimension(rows).first()
-    assert row["station_name"] == "same time, later file"
+    assert row["station_name"] == "new"
     assert (row["first_seen_at"], row["last_seen_at"]) == (datetime(2026, 2, 26, 14), datetime(2026, 2, 26, 15))
     assert row["is_active"] and row["created_at"] == row["updated_at"]
