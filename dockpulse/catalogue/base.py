@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockpulse.operators import gold, silver, stations
+from dockpulse.schemas import BRONZE_LAKE
 from dockpulse.session import path_exists, work_path
 from dockpulse.sinks.writers import write_bronze
 from dockpulse.sources import samples
@@ -48,8 +49,22 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def bronze_path(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze rows derived from the given tables, stored by day once per application.
+
+    Queries start from stored snapshots, as they would in use.  Fused with the adapter's own
+    expressions, their generated code would outgrow what the JVM compiles.
+    """
+
+    def write(path: str) -> None:
+        rows = samples.bronze(spark, sf_dir)
+        rows.hint("rebalance", "ingestion_date").write.partitionBy("ingestion_date").parquet(path)
+
+    return stored(spark, sf_dir, "bronze-by-day", write)
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples.bronze(spark, sf_dir)
+    return spark.read.schema(BRONZE_LAKE).parquet(bronze_path(spark, sf_dir))
 
 
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +121,7 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     """Payload texts, one per line, in a folder per poll day."""
 
     def write(path: str) -> None:
-        polls = samples.payloads(spark, sf_dir).select("value", F.to_date("poll").alias("poll_date"))
+        polls = samples.payloads(bronze(spark, sf_dir)).select("value", F.to_date("poll").alias("poll_date"))
         polls.hint("rebalance", "poll_date").write.partitionBy("poll_date").text(path)
 
     return stored(spark, sf_dir, "landing", write)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockpulse.catalogue import oracle as o
-from dockpulse.catalogue.base import CUTOFF, bronze, districts, lake, landing, query, without
+from dockpulse.catalogue.base import CUTOFF, bronze, bronze_path, districts, lake, landing, query, without
 from dockpulse.config import parquet_warehouse
 from dockpulse.operators import gold, silver
 from dockpulse.operators.gold import DISTRICT
@@ -13,8 +13,8 @@ from dockpulse.plans import backfill, enrich, ingest
 from dockpulse.plans import gold as gold_plan
 from dockpulse.plans import quality as quality_plan
 from dockpulse.plans import silver as silver_plan
+from dockpulse.schemas import BRONZE_LAKE
 from dockpulse.session import work_path
-from dockpulse.sources import samples
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.streaming import jobs
 
@@ -24,10 +24,8 @@ def _warehouse(spark):
 
 
 def _bronze_stream(spark, sf):
-    """The event table as a file stream, joined to the static station attributes."""
-    schema = samples.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
-    return samples.bronze_rows(events, samples.station_attributes(spark, sf))
+    """Stored Bronze rows as a file stream."""
+    return spark.readStream.schema(BRONZE_LAKE).parquet(bronze_path(spark, sf))
 
 
 def _finish(job):

@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The zone of the network and the floor of an empty incremental target.
+# The zone of the network, the floor of an empty incremental target, names of UTC.
 LOCAL_ZONE = "Europe/Paris"
 EMPTY_TARGET_DATE = "1900-01-01"
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def _col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def _local(instant: Column) -> Column:
+    """TIMESTAMP to local wall-clock TIMESTAMP_NTZ, whatever the session zone.
+
+    In a UTC session the shift is a plain offset; other sessions need a conversion between zones.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return F.from_utc_timestamp(instant, LOCAL_ZONE).cast("timestamp_ntz")
+    return F.convert_timezone(None, F.lit(LOCAL_ZONE), instant)
+
+
 def wall_clock(instant: str | Column) -> Column:
     """An instant (TIMESTAMP, or ISO-8601 text with an offset) as local wall-clock time.
 
-    The result does not depend on the session zone; unreadable text gives NULL.
+    Unreadable text gives NULL.
     """
-    return F.convert_timezone(None, F.lit(LOCAL_ZONE), F.try_to_timestamp(_col(instant)))
+    return _local(F.try_to_timestamp(_col(instant)))
 
 
 def wall_clock_now() -> Column:
-    return F.convert_timezone(None, F.lit(LOCAL_ZONE), F.current_timestamp())
+    return _local(F.current_timestamp())
 
 
 def day_of_week(column: str | Column) -> Column:

@@ -13,21 +13,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def station_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey", "c_name", "c_nationkey", "n_name"
-    )
-
+def bronze_rows(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows (batch or stream) with their station's attributes, in the Bronze contract.
 
-def bronze_rows(events: DataFrame, stations: DataFrame) -> DataFrame:
-    """Event rows (batch or stream) joined to station attributes, in the Bronze contract."""
+    The events meet one stored table after the other, whose sizes Catalyst knows; joined among
+    themselves first, the two small tables would look larger than the events.
+    """
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     event, user = F.col("event_id"), F.col("user_id")
     draw = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     capacity = F.when(event % 211 == 0, 0).otherwise(10 + (user * 7) % 41).cast("bigint")
     error = F.col("event_type") == "error"
     raw = (
-        events.join(stations, F.col("user_id") == F.col("c_custkey"))
+        events.join(customer, F.col("user_id") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumns({"draw": draw, "capacity": capacity, "is_error": error})
         .withColumn("numbikesavailable", F.col("draw") % (F.col("capacity") + 1))
         .withColumn("ebike", F.call_function("div", F.col("numbikesavailable"), F.lit(3).cast("bigint")))
@@ -69,11 +69,11 @@ def _thousandths(value: Column) -> Column:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_rows(table(spark, sf_dir, "events"), station_attributes(spark, sf_dir))
+    return bronze_rows(table(spark, sf_dir, "events"), spark, sf_dir)
 
 
-def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same snapshots as raw feed payloads, one JSON text per poll of a station.
+def payloads(bronze: DataFrame) -> DataFrame:
+    """Bronze snapshots as raw feed payloads, one JSON text per poll of a station.
 
     Even hours deliver a plain list, odd hours an object with ``results``.
     """
@@ -84,7 +84,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     listed = F.concat(F.lit("["), F.to_json(station), F.lit("]"))
     value = F.when(F.col("hour") % 2 == 0, listed).otherwise(F.concat(F.lit('{"results":'), listed, F.lit("}")))
-    return bronze(spark, sf_dir).select(value.alias("value"), F.try_to_timestamp("ingestion_timestamp").alias("poll"))
+    return bronze.select(value.alias("value"), F.try_to_timestamp("ingestion_timestamp").alias("poll"))
 
 
 def boundary_features(numbers: DataFrame, number: str) -> DataFrame:
