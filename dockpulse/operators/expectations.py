@@ -40,6 +40,17 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     )
 
 
+def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Keys without a parent and how many child rows carry them.
+
+    The child is counted per key before the shuffle, so a key with a third of all rows costs no
+    more than the others.
+    """
+    keys = value_counts(child.where(F.col(column).isNotNull()), column)
+    known = parent.select(F.col(parent_column).alias("_parent_key")).distinct()
+    return keys.join(known, F.col("value_field") == F.col("_parent_key"), "left_anti")
+
+
 @dataclass(frozen=True)
 class Constraint:
     """A rule that must not be false (NULL passes, as in SQL CHECK)."""

@@ -80,6 +80,7 @@ REQUIRED = {
     "mart_station_performance": ("station_id",),
     "mart_peak_hours_by_district": ("district_municipality_names", "snapshot_hour"),
 }
+ORPHAN_TEST = "relationships_station_availability"
 UNIQUE_STATION = ("stations", "stg_stations", "dim_stations", "mart_station_performance")
 
 
@@ -96,17 +97,18 @@ def _key_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     found["accepted_values_snapshot_hour"] = ex.accepted_values(
         tables["fact_hourly_availability"], "snapshot_hour", list(range(24))
     )
-    found["relationships_station_availability"] = ex.relationships(
-        tables["station_availability"], "station_id", tables["stations"], "station_id"
-    )
     return found
 
 
+def _orphans(tables: dict[str, DataFrame], check) -> DataFrame:
+    return check(tables["station_availability"], "station_id", tables["stations"], "station_id")
+
+
 def checks(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     """The 30 table tests, each as its violating rows."""
     tables = _tables(spark, warehouse)
     found = {f"not_null_{t}_{c}": ex.not_null(tables[t], c) for t, columns in REQUIRED.items() for c in columns}
-    return found | _key_checks(tables)
+    return found | _key_checks(tables) | {ORPHAN_TEST: _orphans(tables, ex.relationships)}
 
 
 def check_results(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
@@ -115,6 +117,10 @@ def check_results(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     results = table_counts(_key_checks(tables)).withColumnsRenamed(
         {"table_name": "test_name", "row_count": "violations"}
     )
+    orphans = _orphans(tables, ex.orphan_counts).agg(
+        F.lit(ORPHAN_TEST).alias("test_name"), F.coalesce(F.sum("n_records"), F.lit(0)).alias("violations")
+    )
+    results = results.unionByName(orphans)
     for name, columns in REQUIRED.items():
         rules = [ex.Constraint(f"not_null_{name}_{c}", F.col(c).isNotNull()) for c in columns]
         counted = ex.violation_counts(tables[name], rules).withColumnRenamed("constraint_name", "test_name")

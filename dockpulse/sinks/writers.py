@@ -16,6 +16,9 @@ from dockpulse.sources.tables import StoredTable, scan_table
 # Fixed values of the JDBC append.
 JDBC_APPEND = {"batchsize": "5000", "isolationLevel": "READ_COMMITTED"}
 
+# Tables that Spark itself stores as files; other kinds have a server of their own.
+FILE_KINDS = ("parquet", "catalog")
+
 FACT_KEYS = ("station_id", "snapshot_timestamp")
 
 
@@ -46,12 +49,8 @@ def write_table(df: DataFrame, table: StoredTable, mode: str = "append", written
     ``written`` receives the number of rows.
     """
     if table.kind == "catalog":
-        columns = [F.col(c) for c in table.partition_by]
-        writer = _arranged(df, table, written).writeTo(table.location)
-        if mode == "append" and table.exists(df.sparkSession):
-            writer.append()
-        else:
-            (writer.partitionedBy(*columns) if columns else writer).using("parquet").createOrReplace()
+        writer = _arranged(df, table, written).write.format("parquet").mode(mode)
+        writer.partitionBy(*table.partition_by).saveAsTable(table.location)
         return
     if table.kind == "parquet":
         _arranged(df, table, written).write.mode(mode).partitionBy(*table.partition_by).parquet(table.location)
@@ -112,7 +111,7 @@ def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable) -
 
 def materialize_full(df: DataFrame, table: StoredTable) -> None:
     """Full refresh.  The new rows are complete on disk before the old ones go."""
-    if table.kind != "parquet" or not path_exists(df.sparkSession, table.location):
+    if table.kind not in FILE_KINDS or not table.exists(df.sparkSession):
         write_table(df, table, "overwrite")
         return
     with staged_for_use(df, "full-refresh") as rows:
@@ -129,7 +128,7 @@ def incremental_replace(
     if not table.exists(spark):
         write_table(batch, table)
         return
-    if table.kind != "parquet":
+    if table.kind not in FILE_KINDS:
         raise NotImplementedError(f"replace rows in a {table.kind} table with its own MERGE")
     with staged_for_use(batch, "incremental") as rows:
         bounds = rows.agg(F.min("snapshot_date").alias("low"), F.max("snapshot_date").alias("high")).first()
@@ -141,9 +140,16 @@ def incremental_replace(
             days = rows.select("snapshot_date").distinct()
             touched = near.join(days, "snapshot_date", "left_semi").select(*rows.columns)
             rows = replace_by_key(touched, rows, *keys)
-        _arranged(rows, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *table.partition_by
-        ).parquet(table.location)
+        if table.kind == "parquet":
+            writer = _arranged(rows, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*table.partition_by).parquet(table.location)
+            return
+        # An insert goes by position, and a catalog table must not be read by its own overwrite.
+        with staged_for_use(rows, "incremental-result") as rows:
+            ordered = rows.select(*spark.table(table.location).columns)
+            _arranged(ordered, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(
+                table.location
+            )
 
 
 def write_quality_report(report: DataFrame, path: str, local_time) -> None:

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": tmp_path_factory.mktemp("shared"),
+            "spark.sql.warehouse.dir": tmp_path_factory.mktemp("warehouse"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from dockpulse.schemas import BRONZE
 
 DEFAULT = {
-    "stationcode": "16107",
-    "name": "Benjamin Godard",
+    "stationcode": "501",
+    "name": "Old Mill",
     "is_installed": "OUI",
     "capacity": 20,
     "numdocksavailable": 15,
@@ -20,8 +20,8 @@ DEFAULT = {
     "duedate": None,
     "nom_arrondissement_communes": "Paris",
     "code_insee_commune": "75056",
-    "lon": 2.275725,
-    "lat": 48.865983,
+    "lon": 2.31,
+    "lat": 48.87,
     "station_opening_hours": None,
     "ingestion_timestamp": "2026-02-26T14:00:00+01:00",
     "snapshot_id": "20260226_140000",

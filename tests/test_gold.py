@@ -119,7 +119,7 @@ def test_latest_availability_ignores_unknown_stations(spark):
     rows = facts(spark, {}, {"ingestion_timestamp": "2026-02-26T15:00:00+01:00", "numbikesavailable": 9}, {"stationcode": "1"})
     known = stations.stations_dimension(silver.transform_silver(bronze(spark, {})))
     latest = stations.latest_availability(rows, known).collect()
-    assert [(r["station_id"], r["num_bikes_available"]) for r in latest] == [("16107", 9)]
+    assert [(r["station_id"], r["num_bikes_available"]) for r in latest] == [("501", 9)]
 
 
 def test_lookback_of_an_empty_target_covers_everything(spark):

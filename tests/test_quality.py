@@ -79,6 +79,7 @@ def test_expectations(spark):
     assert [tuple(r) for r in ex.unique(rows, "k").collect()] == [("a", 2)]
     assert [tuple(r) for r in ex.accepted_values(rows, "k", ["a"]).collect()] == [("b", 1)]
     assert [r[0] for r in ex.relationships(rows, "k", rows.where("k = 'a'"), "k").collect()] == ["b"]
+    assert [tuple(r) for r in ex.orphan_counts(rows, "k", rows.where("k = 'b'"), "k").collect()] == [("a", 2)]
     broken = ex.violations(rows, [ex.Constraint("small", F.col("v") < 3), ex.Constraint("named", F.col("k").isNotNull())])
     assert sorted(r["constraint_name"] for r in broken.collect()) == ["named", "small"]
 
