@@ -81,6 +81,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
+def swap_folder(spark: SparkSession, following: str, current: str, previous: str) -> None:
+    """Put ``following`` in the place of ``current``; the old folder is deleted last."""
+    file_system, target = hadoop_path(spark, current)
+    kept, new = (hadoop_path(spark, p)[1] for p in (previous, following))
+    if not file_system.rename(target, kept):
+        raise OSError(f"could not move {current} aside")
+    if not file_system.rename(new, target):
+        file_system.rename(kept, target)
+        raise OSError(f"could not move {following} into place")
+    file_system.delete(kept, True)
+
+
 def child_folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Sorted names of the folders directly below a path that match a glob."""
     file_system, _ = hadoop_path(spark, path)

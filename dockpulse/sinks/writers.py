@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.operators.loading import batch_bounds, new_rows, replace_by_key, within_bounds
+from dockpulse.operators.loading import batch_bounds, new_rows, replace_by_key
 from dockpulse.operators.silver import dedup_in_batch
-from dockpulse.session import path_exists, staged_for_use
+from dockpulse.session import path_exists, staged_for_use, swap_folder
 from dockpulse.sources.bronze import scan_bronze
-from dockpulse.sources.tables import StoredTable, scan_table
+from dockpulse.sources.tables import StoredTable, scan_table, scan_window
 
 # Fixed values of the JDBC append.
 JDBC_APPEND = {"batchsize": "5000", "isolationLevel": "READ_COMMITTED"}
@@ -101,21 +102,31 @@ def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable) -
     if bounds["min_ts"] is None:
         return LoadResult()
     fresh = dedup_in_batch(batch)
-    stored = scan_table(spark, table)
+    stored = scan_window(spark, table, list(FACT_KEYS), "snapshot_timestamp", bounds["min_ts"], bounds["max_ts"])
     if stored is not None:
-        fresh = new_rows(fresh, within_bounds(stored, bounds["min_ts"], bounds["max_ts"]), *FACT_KEYS)
+        fresh = new_rows(fresh, stored, *FACT_KEYS)
     written = Observation()
     write_table(fresh, table, written=written)
     return LoadResult(bounds["rows"], written.get["rows"])
 
 
 def materialize_full(df: DataFrame, table: StoredTable) -> None:
-    """Full refresh.  The new rows are complete on disk before the old ones go."""
-    if table.kind not in FILE_KINDS or not table.exists(df.sparkSession):
+    """Full refresh.  The new version is complete on disk before the old one goes.
+
+    A Parquet folder is written beside the old one and then takes its place by renaming, so the
+    rows may come from the old version and are written once.
+    """
+    spark = df.sparkSession
+    if table.kind not in FILE_KINDS or not table.exists(spark):
         write_table(df, table, "overwrite")
-        return
-    with staged_for_use(df, "full-refresh") as rows:
-        write_table(rows, table, "overwrite")
+    elif table.kind == "catalog":
+        with staged_for_use(df, "full-refresh") as rows:
+            write_table(rows, table, "overwrite")
+    else:
+        version = uuid.uuid4().hex[:12]
+        following = replace(table, location=f"{table.location}.next-{version}")
+        write_table(df, following, "overwrite")
+        swap_folder(spark, following.location, table.location, f"{table.location}.previous-{version}")
 
 
 def incremental_replace(

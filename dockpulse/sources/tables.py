@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dockpulse.session import path_exists
+from dockpulse.sources.jdbc import window_query
 
 
 @dataclass(frozen=True)
@@ -54,6 +57,38 @@ def scan_table(
     return df.select(*columns) if columns else df
 
 
+def window_options(
+    table: StoredTable, columns: list[str], column: str, low: datetime, high: datetime, partitions: int = 8
+) -> dict[str, str]:
+    """JDBC options that let the database evaluate a closed time window, in parallel ranges."""
+    query = window_query(table.location, columns, column, low, high)
+    return table.options | {
+        "dbtable": f"({query}) AS bounded",
+        "partitionColumn": column,
+        "lowerBound": str(low),
+        "upperBound": str(high),
+        "numPartitions": str(partitions),
+    }
+
+
+def scan_window(
+    spark: SparkSession, table: StoredTable, columns: list[str], column: str, low: datetime, high: datetime
+) -> DataFrame | None:
+    """Columns of the rows inside a closed time window; ``None`` when the table does not exist.
+
+    Tables stored by day get a date predicate as well, which prunes partitions.
+    """
+    if not table.exists(spark):
+        return None
+    if table.kind == "jdbc":
+        return spark.read.format("jdbc").options(**window_options(table, columns, column, low, high)).load()
+    df = table.read(spark)
+    inside = F.col(column).between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz"))
+    if "snapshot_date" in df.columns:
+        inside = inside & F.col("snapshot_date").between(F.lit(low.date()), F.lit(high.date()))
+    return df.where(inside).select(*columns)
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """Expose DataFrames as named temporary views."""
     for name, df in tables.items():

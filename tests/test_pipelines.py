@@ -10,7 +10,8 @@ from dockpulse.plans import backfill, enrich, gold, ingest, silver
 from dockpulse.sinks import writers
 from dockpulse.sources import bronze as lake_source
 from dockpulse.sources import jdbc, landing
-from dockpulse.sources.tables import StoredTable, scan_table
+from dockpulse.session import child_folders
+from dockpulse.sources.tables import StoredTable, scan_table, scan_window, window_options
 
 HOURS = [f"2026-02-{day}T{hour:02d}:{minute:02d}:00+01:00" for day in (25, 26, 27) for hour in (8, 9) for minute in (0, 30)]
 
@@ -253,6 +254,35 @@ def test_jdbc_reads_are_bounded_and_split():
     assert jdbc.quote_literal("L'Haÿ") == "'L''Haÿ'"
 
 
+def test_stored_keys_are_read_inside_the_batch_window(spark, folder):
+    """A database evaluates the window itself; a stored table is pruned by day."""
+    table = Warehouse("jdbc", {"url": "jdbc:postgresql://h/db", "user": "u", "password": "p"}).table("station_availability")
+    options = window_options(table, ["station_id"], "snapshot_timestamp", datetime(2026, 1, 1), datetime(2026, 1, 2))
+    assert options["dbtable"].startswith("(SELECT station_id FROM silver.station_availability WHERE snapshot_timestamp >= ")
+    assert (options["partitionColumn"], options["numPartitions"], options["user"]) == ("snapshot_timestamp", "8", "u")
+    stored = parquet_warehouse(folder)
+    silver.load_silver(spark, network(spark), stored)
+    keys = scan_window(
+        spark,
+        stored.table("station_availability"),
+        ["station_id", "snapshot_timestamp"],
+        "snapshot_timestamp",
+        datetime(2026, 2, 26, 8, 30),
+        datetime(2026, 2, 26, 9),
+    )
+    assert keys.count() == 4
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "snapshot_date#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_refresh_may_read_its_own_table(spark, folder):
+    table = parquet_warehouse(folder).table("dim_stations")
+    writers.materialize_full(spark.range(5).selectExpr("cast(id as string) station_id"), table)
+    writers.materialize_full(table.read(spark).where("station_id > 2"), table)
+    assert sorted(r[0] for r in table.read(spark).collect()) == ["3", "4"]
+    assert child_folders(spark, f"{folder}/gold", "*") == ["dim_stations"]
+
+
 def test_missing_table_reads_as_none(spark, folder):
     assert scan_table(spark, StoredTable("parquet", f"{folder}/none")) is None
     assert scan_table(spark, StoredTable("catalog", "default.never_created")) is None
