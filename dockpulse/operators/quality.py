@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,7 +112,10 @@ def consistency_counts(df: DataFrame) -> DataFrame:
 
 
 def snapshot_measures(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    """All measures per snapshot: one narrow aggregation, plus one over the duplicate keys."""
+    """All measures per snapshot: one narrow aggregation, plus one over the duplicate keys.
+
+    Both give one row per snapshot, which a last small aggregation merges (NULL ids included).
+    """
     measures = [F.count(F.lit(1)).alias("total_rows"), F.max(F.try_to_timestamp("ingestion_timestamp")).alias("latest")]
     measures += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS if c in df.columns]
     measures += [out_of_range(c).alias(f"range_{c}") for c in RANGE_COLUMNS if c in df.columns]
@@ -122,17 +124,16 @@ def snapshot_measures(df: DataFrame, group: Sequence[str]) -> DataFrame:
     stats = df.groupBy(*group).agg(*measures)
     if missing_columns(df, DUPLICATE_KEYS):
         return stats
-    dup = duplicate_counts(df, group=group).select(*[F.col(c).alias(f"dup_{c}") for c in group], "duplicates")
-    if not group:
-        return stats.withColumn("one", F.lit(1)).join(dup.withColumn("one", F.lit(1)), "one").drop("one")
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"dup_{c}")) for c in group])
-    return stats.join(dup, same).drop(*[f"dup_{c}" for c in group])
+    both = stats.unionByName(
+        duplicate_counts(df, group=group).select(*group, "duplicates"), allowMissingColumns=True
+    )
+    return both.groupBy(*group).agg(*[F.max(c).alias(c) for c in both.columns if c not in group])
 
 
 def check_rows(df: DataFrame, as_of: Column, group: Sequence[str] = ("snapshot_id",)) -> DataFrame:
     """Six rows (check, passed, message) per snapshot."""
     measures = snapshot_measures(df, group)
-    total = F.col("total_rows")
+    total = F.nullif(F.col("total_rows"), F.lit(0).cast("bigint"))
     missing = missing_columns(df)
     shares = [(c, F.col(f"null_{c}") / total) for c in CRITICAL_COLUMNS if c in df.columns]
     too_null = _issues([(s > NULL_SHARE_LIMIT, F.format_string(NULLS_ITEM, F.lit(c), s * 100)) for c, s in shares], ", ")

@@ -68,6 +68,12 @@ def test_reports_are_per_snapshot(spark):
     assert reports == {"20260226_140000": 0, "other": 1, None: 1}
 
 
+def test_empty_input(spark):
+    report = quality.quality_report(bronze(spark, {}).where("stationcode = 'none'"), at(FRESH), group=()).first()
+    assert (report["total_rows"], details(report)["freshness"][0], details(report)["duplicates"][0]) == (0, False, True)
+    assert quality.validate_ingest(bronze(spark, {}).where("false")).first()["not_empty"] is False
+
+
 def test_report_text(spark):
     text = quality.report_text(quality.quality_report(bronze(spark, {}), at(FRESH)), F.lit("now")).first()["text"]
     assert "Success rate: 100.0%" in text and "- [PASS] schema: Schema is valid (18 columns)" in text
