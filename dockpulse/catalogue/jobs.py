@@ -9,7 +9,7 @@ from dockpulse.catalogue.base import CUTOFF, bronze, bronze_path, districts, lak
 from dockpulse.config import parquet_warehouse
 from dockpulse.operators import gold, silver
 from dockpulse.operators.gold import DISTRICT
-from dockpulse.plans import backfill, enrich, ingest
+from dockpulse.plans import backfill, cleanup, enrich, ingest
 from dockpulse.plans import gold as gold_plan
 from dockpulse.plans import quality as quality_plan
 from dockpulse.plans import silver as silver_plan
@@ -148,6 +148,21 @@ def _(spark, sf):
     return warehouse.table("stations").read(spark).select("station_id", DISTRICT)
 
 
+@query(
+    "run_cleanup",
+    f"""{o.chain("fact")} SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS facts, CAST(0 AS BIGINT) AS deleted_files
+        FROM fact GROUP BY 1""",
+)
+def _(spark, sf):
+    """Every file of the lake is opened and checked before the load; a sound lake loses nothing."""
+    warehouse = _warehouse(spark)
+    cleaned, _run = cleanup.run(spark, warehouse, lake(spark, sf))
+    stored = warehouse.table("station_availability").read(spark)
+    return stored.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("facts"), F.lit(cleaned.deleted_files).cast("bigint").alias("deleted_files")
+    )
+
+
 @query("run_ingest", o.final("bronze", STREAM_BRONZE))
 def _(spark, sf):
     path = work_path(spark, "ingested-lake")

@@ -41,9 +41,16 @@ def clean(spark: SparkSession, folder: str, dry_run: bool = True, strict_referen
 
 
 def run(
-    spark: SparkSession, warehouse: Warehouse, lake: str, date: str, hour: int, strict_reference: bool = False
+    spark: SparkSession,
+    warehouse: Warehouse,
+    lake: str,
+    date: str | None = None,
+    hour: int | None = None,
+    strict_reference: bool = False,
 ) -> tuple[CleanupResult, silver.SilverRun]:
-    """Clean a closed hour for good and load it into Silver."""
-    folder = f"{lake}/ingestion_date={date}/hour={int(hour):02d}"
+    """Clean an hour, a day or the whole lake for good and load it into Silver."""
+    folder = lake if date is None else f"{lake}/ingestion_date={date}"
+    if hour is not None:
+        folder += f"/hour={int(hour):02d}"
     cleaned = clean(spark, folder, dry_run=False, strict_reference=strict_reference)
     return cleaned, silver.run(spark, warehouse, lake, date, hour)
