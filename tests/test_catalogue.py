@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from dockpulse.catalogue.base import ORACLES, QUERIES
 from tools.compare import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
 
@@ -38,3 +38,4 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
