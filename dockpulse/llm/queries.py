@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import substring_dedup, suffix_dedup
+from dockpulse.llm import simhash_dedup, substring_dedup, suffix_dedup
 from dockpulse.llm.registry import query, table
 
 
@@ -21,3 +21,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op8_simhash_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
