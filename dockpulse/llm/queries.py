@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import simhash_dedup, substring_dedup, suffix_dedup
+from dockpulse.llm import license_scan, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
 from dockpulse.llm.registry import query, table
 
 
@@ -27,3 +27,38 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op7_quality_rules",
+    r"""
+    WITH w AS (
+      SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+      FROM documents),
+    windows AS (
+      SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS win
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)),
+    twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows),
+    repeats AS (
+      SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS place FROM twice WHERE n > 1)
+      GROUP BY doc_id),
+    m AS (
+      SELECT w.doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             coalesce(repeats.n, 0) AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS n_capitals, len(lines) AS n_lines
+      FROM w LEFT JOIN repeats USING (doc_id)),
+    b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 10 * n_symbols > 5 * n_words OR 10 * n_dup_lines > 5 * n_lines OR word_chars > 20 * n_words
+                OR 10 * n_capitals > 5 * word_chars) AS kept
+    FROM b
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("n_rules_run")
