@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import license_scan, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
+from dockpulse.llm import (
+    decontamination,
+    license_scan,
+    quality_rules,
+    simhash_dedup,
+    substring_dedup,
+    suffix_dedup,
+    token_output,
+)
 from dockpulse.llm.registry import query, table
 
 
@@ -62,3 +71,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("n_rules_run")
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_token_output")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
