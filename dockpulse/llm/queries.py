@@ -10,10 +10,13 @@ from dockpulse.llm import (
     decontamination,
     license_scan,
     quality_rules,
+    secret_scan,
     simhash_dedup,
+    source_mixing,
     substring_dedup,
     suffix_dedup,
     token_output,
+    url_filter,
 )
 from dockpulse.llm.registry import query, table
 
@@ -81,3 +84,83 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_output")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query(
+    "op2_url_filter",
+    r"""
+    WITH p AS (
+      SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
+    h AS (
+      SELECT page_id, rest,
+             translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM p),
+    listed(host, path, verdict) AS (
+      VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'),
+             ('com', '/de/', 'block')),
+    best AS (
+      SELECT h.*, (SELECT max(struct_pack(n := length(l.host || l.path), rule := l.host || l.path, verdict := l.verdict)) FROM listed l
+                   WHERE (h.host = l.host OR ends_with(h.host, '.' || l.host)) AND starts_with(h.path, l.path)) AS r
+      FROM h),
+    found AS (
+      SELECT *, host || substr(rest, length(regexp_extract(rest, '^([^/?#]*)', 1)) + 1) AS target FROM best),
+    patterns AS (
+      SELECT *, CASE WHEN regexp_matches(target, '^(?:[^/?#]*[.-])?spam-farm\.') THEN 'spam farm'
+                     WHEN regexp_matches(target, '^(?:[^/?#]*[.-])?cheap-pills\.') THEN 'cheap pills'
+                     WHEN regexp_matches(target, '^(?:[^/?#]*[.-])?casino[.-]') THEN 'casino'
+                     WHEN regexp_matches(target, '^(?:[^/?#]*[.-])?xxx[.-]') THEN 'adult'
+                     WHEN regexp_matches(target, '/(?:login|signin)(?:[/?#]|$)') THEN 'login page'
+                     WHEN regexp_matches(target, '[?&]phpsessid=') THEN 'session id' END AS pattern
+      FROM found)
+    SELECT page_id, host, path, r.rule AS rule,
+           coalesce(r.verdict, CASE WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+           CASE WHEN r IS NULL THEN pattern END AS pattern
+    FROM patterns
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op4_source_mixing",
+    r"""
+    WITH texts AS (
+      SELECT doc_id, md5(coalesce(text, '')) AS digest, source, count(*) AS n_rows,
+             sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::BIGINT AS n_tokens
+      FROM documents GROUP BY ALL),
+    sources AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS documents FROM texts GROUP BY source),
+    ends AS (SELECT max(tokens) AS most, min(tokens) AS least FROM sources WHERE tokens > 0),
+    a AS (SELECT coalesce(min(step), 1024) / 1024 AS power FROM ends, range(0, 1025) t(step)
+          WHERE pow(most / least, 1 - step / 1024) <= 2.0),
+    raised AS (SELECT *, CASE WHEN tokens > 0 THEN pow(tokens::DOUBLE, power) END AS p FROM sources, a),
+    plan AS (
+      SELECT source, tokens, coalesce(p / sum(p) OVER (), 0) AS weight,
+             greatest(round(p * max(tokens / p) OVER ())::BIGINT, tokens) AS quota
+      FROM raised),
+    size AS (SELECT greatest(1, ceil(sum(quota) / 1000000))::BIGINT AS blocks FROM plan),
+    reads AS (
+      SELECT texts.*, weight, tokens, quota, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS whole
+      FROM texts JOIN plan ON texts.source IS NOT DISTINCT FROM plan.source),
+    epochs AS (
+      SELECT *, unnest(range(0, CASE WHEN tokens > 0 AND quota > whole * tokens THEN whole + 1 ELSE whole END)) AS epoch FROM reads),
+    placed AS (
+      SELECT *, ('0x' || substr(md5(epoch::VARCHAR || '|' || coalesce(doc_id::VARCHAR, '') || '|' || digest), 1, 12))::BIGINT AS place
+      FROM epochs),
+    streams AS (
+      SELECT *, epoch * tokens + coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY place, doc_id, digest
+                                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tokens_before
+      FROM placed)
+    SELECT doc_id, digest, source, n_rows, n_tokens, round(weight, 9) AS weight, epoch, tokens_before::BIGINT AS tokens_before,
+           least(floor(tokens_before::DOUBLE * blocks / greatest(quota, 1)), blocks - 1)::BIGINT AS block
+    FROM streams, size WHERE epoch < whole OR tokens_before < quota
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mixture(table(spark, sf_dir, "documents")).withColumn("weight", F.round("weight", 9))
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
