@@ -2,7 +2,8 @@
 
 A *window* is ``k`` consecutive units (words or bytes) of one document.  To compare windows without moving all of them,
 
-1. documents are dealt into blocks of about ``BLOCK_BYTES`` by their id;
+1. documents are dealt into blocks of about ``BLOCK_BYTES`` by their id; copies of a whole text are represented by the one
+   with the smallest id, which holds all their windows;
 2. every window is named by its *anchor*, the smallest hash among its ``gram``-unit grams, so equal windows have equal
    anchors, and consecutive windows with one anchor form a *run*;
 3. each block reports its distinct anchors, and only anchors that occur in two documents or more are answered;
@@ -35,6 +36,8 @@ SOLVE_BYTES = 1 << 20
 # Groups of (document, text) sorted by document -> for each piece the window offsets that a smaller document holds.
 Solve = Callable[[list[list[tuple[int, bytes]]]], list[list[np.ndarray]]]
 
+ANSWER = np.dtype([("anchor", np.int64), ("hot", np.bool_)])
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -78,8 +81,7 @@ class Block:
     """The units of a block's documents: ``text`` holds them in canonical form, words joined by one space."""
 
     def __init__(self, table: pa.Table, unit: str):
-        self.doc = table["doc_id"].to_numpy()
-        self.uid = table["uid"].to_numpy()
+        self.names = list(zip(table["doc_id"].to_pylist(), table["uid"].to_pylist(), strict=True))
         texts = [t or b"" for t in table["body"].to_pylist()]
         if unit == "words":
             words = [t.split() for t in texts]
@@ -143,30 +145,78 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def ranked(names: list[tuple[int | None, int]]) -> dict[tuple[int, int], int]:
+    """Numbers of a block's rows, in order of document id; the same wherever the block is read."""
+    return {name: i for i, name in enumerate(sorted({n for n in names if n[0] is not None}))}
+
+
 def in_blocks(docs: DataFrame) -> DataFrame:
-    """(block, doc_id, uid, body): texts as bytes, dealt by document id into blocks of bounded size.
+    """(block, doc_id, uid, body, copy): texts as bytes, dealt by document id into blocks of bounded size.
 
-    ``uid`` tells rows with one id but different texts apart.
+    ``uid`` tells rows with one id but different texts apart.  ``copy`` marks texts that a smaller id holds as a whole.
     """
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_BYTES))
-    return docs.select(
+    rows = docs.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("uid"),
         body.alias("body"),
-    ).repartition("block")
+    )
+    digests = rows.where("doc_id is not null").select("block", "doc_id", "uid", F.sha2("body", 256).alias("digest"))
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = digests.join(first, "digest").where("doc_id > first")
+    copies = later.groupBy("block").agg(F.collect_set(F.struct("doc_id", "uid")).alias("copies"))
+    own = F.array_contains("copies", F.struct("doc_id", "uid"))
+    return (
+        rows.repartition("block")
+        .join(copies, "block", "left")
+        .select("block", "doc_id", "uid", "body", F.coalesce(own, F.lit(False)).alias("copy"))
+    )
+
+
+def _originals(table: pa.Table) -> pa.Table:
+    return table.filter(pa.compute.and_(pa.compute.is_valid(table["doc_id"]), pa.compute.invert(table["copy"])))
+
+
+class ByBlock:
+    """Gathers rows of arrays for blocks and hands them out as one packed row for each block."""
+
+    def __init__(self, limit: int = 500_000):
+        self.blocks: list[np.ndarray] = []
+        self.rows: list[np.ndarray] = []
+        self.size, self.limit = 0, limit
+
+    def add(self, block: int | np.ndarray, rows: np.ndarray) -> None:
+        if len(rows):
+            self.blocks.append(np.broadcast_to(np.asarray(block, np.int64), len(rows)))
+            self.rows.append(rows)
+            self.size += len(rows)
+
+    def full(self) -> bool:
+        return self.size >= self.limit
+
+    def take(self) -> pa.RecordBatch:
+        names, packed = [], []
+        if self.rows:
+            blocks, rows = np.concatenate(self.blocks), np.concatenate(self.rows)
+            order = np.argsort(blocks, kind="stable")
+            names, first = np.unique(blocks[order], return_index=True)
+            packed = [part.tobytes() for part in np.split(rows[order], first[1:])]
+        self.blocks, self.rows, self.size = [], [], 0
+        return pa.record_batch({"block": pa.array(names, pa.int64()), "packed": pa.array(packed, pa.binary())})
 
 
 def covered(blocks: DataFrame, unit: str, k: int, gram: int, solve: Solve) -> DataFrame:
-    """(block, spans): packed int64 rows (doc_id, uid, first unit, end unit) covered by an earlier document's windows."""
+    """(block, packed): int32 rows (rank in the block, first unit, end unit) covered by an earlier document's windows."""
 
     def report(key: tuple, table: pa.Table) -> pa.Table:
-        block = Block(table.filter(pa.compute.is_valid(table["doc_id"])), unit)
+        block = Block(_originals(table), unit)
         hashes = block.hashes()
         anchor, start, windows, row = block.runs(hashes, k, gram)
-        names, documents = _distinct_per(anchor, block.doc[row] if len(row) else row)
+        ids = np.array([doc for doc, _ in block.names], np.int64)
+        names, documents = _distinct_per(anchor, ids[row])
         _, different = _distinct_per(anchor, hashes.of(start, start + windows + k - 1))
         return pa.table(
             {
@@ -177,16 +227,26 @@ def covered(blocks: DataFrame, unit: str, k: int, gram: int, solve: Solve) -> Da
             }
         )
 
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = ByBlock()
+        for batch in batches:
+            rows = np.zeros(batch.num_rows, ANSWER)
+            rows["anchor"], rows["hot"] = batch.column("anchor").to_numpy(), batch.column("hot").to_numpy(zero_copy_only=False)
+            out.add(batch.column("block").to_numpy(), rows)
+            if out.full():
+                yield out.take()
+        yield out.take()
+
     def pieces(key: tuple, table: pa.Table, shared: pa.Table) -> pa.Table:
-        block = Block(table.filter(pa.compute.is_valid(table["doc_id"])), unit)
-        found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        found: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+        block = Block(_originals(table), unit)
+        ranks = ranked(block.names)
         if len(shared):
             hashes = block.hashes()
             anchor, start, windows, row = block.runs(hashes, k, gram)
-            names = shared["anchor"].to_numpy()
-            order = np.argsort(names)
-            names, hot = names[order], shared["hot"].to_numpy(zero_copy_only=False)[order]
-            anchor = _signed(anchor)
+            answers = np.frombuffer(b"".join(shared["packed"].to_pylist()), ANSWER)
+            answers = answers[np.argsort(answers["anchor"])]
+            names, hot, anchor = answers["anchor"], answers["hot"], _signed(anchor)
             at = np.minimum(np.searchsorted(names, anchor), len(names) - 1)
             kept = np.flatnonzero(names[at] == anchor)
             single = kept[hot[at[kept]]]
@@ -198,25 +258,27 @@ def covered(blocks: DataFrame, unit: str, k: int, gram: int, solve: Solve) -> Da
             starts = np.concatenate([start[kept], one_by_one])
             ends = np.concatenate([start[kept] + windows[kept] + k - 1, one_by_one + k])
             rows = np.concatenate([row[kept], np.repeat(row[single], windows[single])])
-            text = block.text
-            for route, a, b, doc, uid, first in zip(
+            text, number = block.text, np.array([ranks[name] for name in block.names], np.int64)
+            for route, a, b, rank, first in zip(
                 routes.tolist(),
                 block.starts[starts].tolist(),
                 block.ends[ends - 1].tolist(),
-                block.doc[rows].tolist(),
-                block.uid[rows].tolist(),
+                number[rows].tolist(),
                 (starts - block.offsets[rows]).tolist(),
                 strict=True,
             ):
-                found.setdefault((route, text[a:b]), []).append((doc, uid, first))
-        places = list(found.values())
+                found.setdefault((route, text[a:b]), []).append((rank, first))
+        ids = [doc for doc, _ in ranks]
+        places = [sorted(p) for p in found.values()]
+        first = [ids[p[0][0]] for p in places]
         return pa.table(
             {
                 "route": pa.array([r for r, _ in found], pa.int64()),
-                "doc": pa.array([min(p)[0] for p in places], pa.int64()),
+                "doc": pa.array(first, pa.int64()),
                 "block": pa.array([key[0].as_py()] * len(found), pa.int64()),
+                "own": pa.array([sum(ids[r] == doc for r, _ in p) for p, doc in zip(places, first, strict=True)], pa.int32()),
                 "piece": pa.array([t for _, t in found], pa.binary()),
-                "places": pa.array([np.array(p, np.int64).tobytes() for p in places], pa.binary()),
+                "places": pa.array([np.array(p, np.int32).tobytes() for p in places], pa.binary()),
             }
         )
 
@@ -230,120 +292,102 @@ def covered(blocks: DataFrame, unit: str, k: int, gram: int, solve: Solve) -> Da
         .withColumn("different", F.sum("different").over(everywhere))
         .where("documents > 1")
         .select("block", "anchor", (F.col("different") > HOT_RUNS).alias("hot"))
+        .mapInArrow(answer, "block long, packed binary")
     )
     sent = (
         blocks.groupBy("block")
         .cogroup(shared.groupBy("block"))
-        .applyInArrow(pieces, "route long, doc long, block long, piece binary, places binary")
+        .applyInArrow(pieces, "route long, doc long, block long, own int, piece binary, places binary")
     )
     return (
         sent.repartition("route")
         .sortWithinPartitions("route", "doc")
-        .mapInArrow(resolve, "block long, spans binary")
+        .mapInArrow(resolve, "block long, packed binary")
     )
 
 
 def _resolved(batches: Iterator[pa.RecordBatch], unit: str, k: int, solve: Solve) -> Iterator[pa.RecordBatch]:
     """Streams pieces sorted by owner and document; holds the different texts of a few groups at a time."""
-    out: dict[int, list[np.ndarray]] = {}
+    out = ByBlock()
     waiting: list[list[tuple[int, bytes]]] = []
     owners: list[list[tuple[int, np.ndarray]]] = []
-    seen: dict[bytes, None] = {}
+    seen: set[bytes] = set()
     group: list[tuple[int, bytes]] = []
     group_owners: list[tuple[int, np.ndarray]] = []
     held, route = 0, None
 
-    def length(piece: bytes) -> int:
-        return piece.count(b" ") + 1 if unit == "words" else len(piece)
-
-    def whole(block: int, places: np.ndarray, units: int) -> None:
-        if len(places):
-            ends = places[:, 2:] + units
-            out.setdefault(block, []).append(np.hstack([places, ends]))
+    def whole(block: int, places: np.ndarray, piece: bytes) -> None:
+        units = piece.count(b" ") + 1 if unit == "words" else len(piece)
+        out.add(block, np.hstack([places, places[:, 1:] + np.int32(units)]))
 
     def close() -> None:
         nonlocal group, group_owners, seen
         if len(group) > 1:
             waiting.append(group)
             owners.append(group_owners)
-        group, group_owners, seen = [], [], {}
+        group, group_owners, seen = [], [], set()
 
     def settle() -> None:
         nonlocal held
         for owner, offsets in zip(owners, solve(waiting) if waiting else [], strict=True):
-            for (block, first), found in zip(owner, offsets, strict=True):
+            for (block, places), found in zip(owner, offsets, strict=True):
                 if len(found):
                     cut = np.flatnonzero(np.diff(found) > 1)
                     begin = found[np.concatenate([[0], cut + 1])]
                     end = found[np.concatenate([cut, [len(found) - 1]])] + k
-                    for at in first:
-                        size = len(begin)
-                        out.setdefault(block, []).append(
-                            np.column_stack([np.full(size, at[0]), np.full(size, at[1]), at[2] + begin, at[2] + end])
-                        )
+                    for rank, at in places.tolist():
+                        out.add(block, np.column_stack([np.full(len(begin), rank), at + begin, at + end]).astype(np.int32))
         waiting.clear()
         owners.clear()
         held = 0
 
-    def flush() -> pa.RecordBatch:
-        batch = pa.record_batch(
-            {
-                "block": pa.array(list(out), pa.int64()),
-                "spans": pa.array([np.vstack(s).astype(np.int64).tobytes() for s in out.values()], pa.binary()),
-            }
-        )
-        out.clear()
-        return batch
-
-    rows = 0
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("route", "doc", "block", "piece", "places"))
-        for owner, doc, block, piece, places in zip(*columns, strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("route", "doc", "block", "own", "piece", "places"))
+        for owner, doc, block, own, piece, packed in zip(*columns, strict=True):
             if owner != route:
                 close()
                 route = owner
                 if held > SOLVE_BYTES:
                     settle()
-            at = np.frombuffer(places, np.int64).reshape(-1, 3)
+            places = np.frombuffer(packed, np.int32).reshape(-1, 2)
             if piece in seen:
-                whole(block, at, length(piece))
+                whole(block, places, piece)
             else:
-                seen[piece] = None
+                seen.add(piece)
                 held += len(piece)
                 group.append((doc, piece))
-                if len(at) > 1:
-                    whole(block, at[at[:, 0] > doc], length(piece))
-                    at = at[at[:, 0] == doc]
-                group_owners.append((block, at))
-        rows += batch.num_rows
-        if rows > 500_000:
-            yield flush()
-            rows = 0
+                group_owners.append((block, places[:own]))
+                whole(block, places[own:], piece)
+        if out.full():
+            yield out.take()
     close()
     settle()
-    yield flush()
+    yield out.take()
 
 
-def without_covered(blocks: DataFrame, spans: DataFrame, unit: str) -> DataFrame:
+def without_covered(blocks: DataFrame, spans: DataFrame, unit: str, k: int) -> DataFrame:
     """(doc_id, kept, n_units, n_removed, n_spans) of every document row; ``kept`` is the text left, as bytes."""
 
     def finish(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
-        block = Block(table, unit)
+        block, copies = Block(table, unit), table["copy"].to_pylist()
         n = int(block.offsets[-1])
-        rows: dict[tuple[int, int], list[int]] = {}
-        for i, name in enumerate(zip(table["doc_id"].to_pylist(), table["uid"].to_pylist(), strict=True)):
-            rows.setdefault(name, []).append(i)
+        rows: dict[int, list[int]] = {}
+        ranks = ranked([name for name, copy in zip(block.names, copies, strict=True) if not copy])
         change = np.zeros(n + 1, np.int64)
-        packed = b"".join(s or b"" for s in found["spans"].to_pylist())
-        all_spans = np.frombuffer(packed, np.int64).reshape(-1, 4)
-        order = np.lexsort((all_spans[:, 1], all_spans[:, 0]))
-        all_spans = all_spans[order]
-        if len(all_spans):
-            fresh = np.flatnonzero(np.append(True, (np.diff(all_spans[:, :2], axis=0) != 0).any(axis=1)))
-            for part in np.split(all_spans, fresh[1:]):
-                for row in rows[int(part[0, 0]), int(part[0, 1])]:
-                    np.add.at(change, part[:, 2] + block.offsets[row], 1)
-                    np.add.at(change, part[:, 3] + block.offsets[row], -1)
+        for i, (name, copy) in enumerate(zip(block.names, copies, strict=True)):
+            if copy and block.offsets[i + 1] - block.offsets[i] >= k:
+                change[block.offsets[i]] += 1
+                change[block.offsets[i + 1]] -= 1
+            elif not copy and name[0] is not None:
+                rows.setdefault(ranks[name], []).append(i)
+        spans = np.frombuffer(b"".join(found["packed"].to_pylist()), np.int32).reshape(-1, 3)
+        spans = spans[np.argsort(spans[:, 0], kind="stable")]
+        if len(spans):
+            fresh = np.flatnonzero(np.diff(spans[:, 0]) != 0) + 1
+            for part in np.split(spans, fresh):
+                for row in rows[int(part[0, 0])]:
+                    np.add.at(change, part[:, 1] + block.offsets[row], 1)
+                    np.add.at(change, part[:, 2] + block.offsets[row], -1)
         gone = np.cumsum(change)[:n] > 0
         kept, removed, runs = [], [], []
         glue = b" " if unit == "words" else b""

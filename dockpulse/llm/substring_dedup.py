@@ -99,4 +99,4 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: in
 
     blocks = in_blocks(docs)
     spans = covered(blocks, "words", min_words, min(anchor_words, min_words), solve)
-    return without_covered(blocks, spans, "words")
+    return without_covered(blocks, spans, "words", min_words)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from dockpulse.llm.repeats import covered, in_blocks, without_covered
 
 MIN_BYTES = 50
-ANCHOR_BYTES = 20
+ANCHOR_BYTES = 16
 SEED_BYTES = 8
 
 
@@ -98,4 +98,4 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, anchor_bytes: in
 
     blocks = in_blocks(docs)
     spans = covered(blocks, "bytes", min_bytes, min(anchor_bytes, min_bytes), solve)
-    return without_covered(blocks, spans, "bytes")
+    return without_covered(blocks, spans, "bytes", min_bytes)
