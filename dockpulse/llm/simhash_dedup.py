@@ -162,9 +162,9 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(values: DataFrame) -> DataFrame:
     """(a, b): links that connect distinct fingerprints at ``MAX_BITS`` or fewer different bits.
 
-    Every pair within that distance shares a key, 32 bits of the fingerprint.  Keys with more than ``BUCKET_LIMIT`` members
-    are dealt again with a second ring over the open 32 bits: 16 bits stay open then, so a bucket has 65,536
-    members at most, however many fingerprints there are.  Within a bucket only a spanning forest comes out.
+    Every pair within that distance shares a key, 30 to 33 bits of the fingerprint.  Keys with more than ``BUCKET_LIMIT``
+    members are dealt again with a second ring over the open bits: 18 bits stay open then at most, which bounds a bucket,
+    however many fingerprints there are.  Within a bucket only a spanning forest comes out.
     """
     keys = F.explode(
         F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(FIRST_MASKS)])
