@@ -309,16 +309,24 @@ def covered(blocks: DataFrame, unit: str, k: int, gram: int, solve: Solve) -> Da
 def _resolved(batches: Iterator[pa.RecordBatch], unit: str, k: int, solve: Solve) -> Iterator[pa.RecordBatch]:
     """Streams pieces sorted by owner and document; holds the different texts of a few groups at a time."""
     out = ByBlock()
+    flat: list[int] = []
     waiting: list[list[tuple[int, bytes]]] = []
-    owners: list[list[tuple[int, np.ndarray]]] = []
+    owners: list[list[tuple[int, list[int]]]] = []
     seen: set[bytes] = set()
     group: list[tuple[int, bytes]] = []
-    group_owners: list[tuple[int, np.ndarray]] = []
+    group_owners: list[tuple[int, list[int]]] = []
     held, route = 0, None
 
-    def whole(block: int, places: np.ndarray, piece: bytes) -> None:
+    def whole(block: int, places: list[int], piece: bytes) -> None:
         units = piece.count(b" ") + 1 if unit == "words" else len(piece)
-        out.add(block, np.hstack([places, places[:, 1:] + np.int32(units)]))
+        for i in range(0, len(places), 2):
+            flat.extend((block, places[i], places[i + 1], places[i + 1] + units))
+
+    def packed_rows() -> pa.RecordBatch:
+        rows = np.array(flat, np.int64).reshape(-1, 4)
+        out.add(rows[:, 0], rows[:, 1:].astype(np.int32))
+        flat.clear()
+        return out.take()
 
     def close() -> None:
         nonlocal group, group_owners, seen
@@ -333,10 +341,11 @@ def _resolved(batches: Iterator[pa.RecordBatch], unit: str, k: int, solve: Solve
             for (block, places), found in zip(owner, offsets, strict=True):
                 if len(found):
                     cut = np.flatnonzero(np.diff(found) > 1)
-                    begin = found[np.concatenate([[0], cut + 1])]
-                    end = found[np.concatenate([cut, [len(found) - 1]])] + k
-                    for rank, at in places.tolist():
-                        out.add(block, np.column_stack([np.full(len(begin), rank), at + begin, at + end]).astype(np.int32))
+                    begins = [found[0], *found[cut + 1]]
+                    ends = [*found[cut], found[-1]]
+                    for i in range(0, len(places), 2):
+                        for begin, end in zip(begins, ends, strict=True):
+                            flat.extend((block, places[i], places[i + 1] + int(begin), places[i + 1] + int(end) + k))
         waiting.clear()
         owners.clear()
         held = 0
@@ -349,20 +358,21 @@ def _resolved(batches: Iterator[pa.RecordBatch], unit: str, k: int, solve: Solve
                 route = owner
                 if held > SOLVE_BYTES:
                     settle()
-            places = np.frombuffer(packed, np.int32).reshape(-1, 2)
+            places = memoryview(packed).cast("i").tolist()
             if piece in seen:
                 whole(block, places, piece)
             else:
                 seen.add(piece)
                 held += len(piece)
                 group.append((doc, piece))
-                group_owners.append((block, places[:own]))
-                whole(block, places[own:], piece)
-        if out.full():
-            yield out.take()
+                group_owners.append((block, places[: 2 * own]))
+                if 2 * own < len(places):
+                    whole(block, places[2 * own :], piece)
+        if len(flat) >= 4 * out.limit:
+            yield packed_rows()
     close()
     settle()
-    yield out.take()
+    yield packed_rows()
 
 
 def without_covered(blocks: DataFrame, spans: DataFrame, unit: str, k: int) -> DataFrame:

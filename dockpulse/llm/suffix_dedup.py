@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from dockpulse.llm.repeats import covered, in_blocks, without_covered
 
 MIN_BYTES = 50
-ANCHOR_BYTES = 16
+ANCHOR_BYTES = 20
 SEED_BYTES = 8
 
 
