@@ -15,6 +15,7 @@ from dockpulse.plans import quality as quality_plan
 from dockpulse.plans import silver as silver_plan
 from dockpulse.schemas import BRONZE_LAKE
 from dockpulse.session import work_path
+from dockpulse.sinks.writers import write_bronze
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.streaming import jobs
 
@@ -125,19 +126,51 @@ def _(spark, sf):
     )
 
 
+def _backfilled(spark, sf):
+    """The late half is loaded and in Gold; the backfill loads the early half.
+
+    The lake also holds rows without a readable time, and a day without a valid row; neither may block anything.
+    """
+    warehouse, path = _warehouse(spark), work_path(spark, "backfill-lake")
+    rows = bronze(spark, sf)
+    late = F.col("ingestion_date") >= F.lit(CUTOFF).cast("date")
+    broken = rows.where("stationcode = '1'").withColumns({"ingestion_timestamp": F.lit("unreadable"), "ingestion_date": F.lit(None).cast("date")})
+    invalid = rows.where("stationcode = '1'").withColumns({"capacity": F.lit(0).cast("bigint"), "ingestion_date": F.lit("2023-12-31").cast("date")})
+    write_bronze(rows.unionByName(broken).unionByName(invalid), path)
+    silver_plan.load_silver(spark, scan_bronze(spark, path).where(late), warehouse)
+    gold_plan.run(spark, warehouse)
+    backfill.run(spark, warehouse, path, apply=True, days_per_run=8)
+    if backfill.run(spark, warehouse, path).pending:
+        raise AssertionError("days stay pending")
+    return warehouse
+
+
+@query("run_backfill", o.final("hourly", o.HOURLY_COLUMNS))
+def _(spark, sf):
+    return _backfilled(spark, sf).table("fact_hourly_availability").read(spark)
+
+
+@query("run_backfill_daily", o.final("daily", o.DAILY_COLUMNS))
+def _(spark, sf):
+    return without(_backfilled(spark, sf).table("fact_daily_station_stats").read(spark))
+
+
+SUMMARY_GAP = ("2024-01-08", "2024-01-27")
+
+
 @query(
-    "run_backfill",
-    f"""{o.chain("hourly")} SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, CAST(sum(num_snapshots) AS BIGINT) AS snapshots
-        FROM hourly GROUP BY 1""",
+    "run_summary",
+    f"""{o.chain("fact")} SELECT strftime(date_trunc('hour', snapshot_timestamp), '%Y-%m-%d %H:%M:%S.%f') AS snapshot_hour,
+           count(*) AS rows_added, count(DISTINCT station_id) AS stations_count
+        FROM fact WHERE snapshot_date NOT BETWEEN DATE '{SUMMARY_GAP[0]}' AND DATE '{SUMMARY_GAP[1]}'
+        GROUP BY 1 ORDER BY 1 DESC LIMIT 100""",
 )
 def _(spark, sf):
-    """Half the days are loaded beforehand; the backfill finds and loads the others, then Gold."""
-    warehouse, path = _warehouse(spark), lake(spark, sf)
-    early = scan_bronze(spark, path).where(F.col("ingestion_date") < F.lit(CUTOFF).cast("date"))
-    silver_plan.load_silver(spark, early, warehouse)
-    backfill.run(spark, warehouse, path, apply=True, days_per_run=8)
-    facts = warehouse.table("fact_hourly_availability").read(spark)
-    return facts.groupBy("snapshot_date").agg(F.sum("num_snapshots").alias("snapshots"))
+    """The latest 100 hours of a table with a gap of three weeks."""
+    warehouse, rows = _warehouse(spark), bronze(spark, sf)
+    first, last = (F.lit(day).cast("date") for day in SUMMARY_GAP)
+    silver_plan.load_silver(spark, rows.where(~F.col("ingestion_date").between(first, last)), warehouse)
+    return silver_plan.summary(spark, warehouse, 100)[1]
 
 
 @query("run_enrichment", o.final("districts", "station_id district_municipality_names"))

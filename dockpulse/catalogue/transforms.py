@@ -250,21 +250,22 @@ def _(spark, sf):
            CAST(capacity - num_bikes_available AS BIGINT) AS free_places,
            CAST(least(num_bikes_available, num_docks_available) AS BIGINT) AS lowest,
            CAST(greatest(num_bikes_available, num_docks_available) AS BIGINT) AS highest,
-           CAST((num_bikes_available * 200 + capacity) // (2 * capacity) AS DOUBLE) AS whole_percent,
+           CAST((num_bikes_available * 200 + capacity) // (2 * nullif(capacity, 0)) AS DOUBLE) AS whole_percent,
            (longitude - 2.3522::DOUBLE) * (longitude - 2.3522::DOUBLE) + (latitude - 48.8566::DOUBLE) * (latitude - 48.8566::DOUBLE) AS distance2
-    FROM enriched WHERE capacity > 0""",
+    FROM enriched""",
 )
 def _(spark, sf):
     bikes, docks, capacity = (F.col(c).cast("bigint") for c in ("num_bikes_available", "num_docks_available", "capacity"))
     dx, dy = F.col("longitude") - F.lit(2.3522), F.col("latitude") - F.lit(48.8566)
-    return silver.enrich(bronze(spark, sf)).where("capacity > 0").select(
+    whole = F.nullif(capacity, F.lit(0).cast("bigint")).cast("decimal(12,0)")
+    return silver.enrich(bronze(spark, sf)).select(
         "station_id",
         "snapshot_timestamp",
         (bikes + docks).alias("places"),
         (capacity - bikes).alias("free_places"),
         F.least(bikes, docks).alias("lowest"),
         F.greatest(bikes, docks).alias("highest"),
-        F.round(bikes.cast("decimal(12,0)") * 100 / capacity.cast("decimal(12,0)"), 0).cast("double").alias("whole_percent"),
+        F.round(bikes.cast("decimal(12,0)") * 100 / whole, 0).cast("double").alias("whole_percent"),
         (dx * dx + dy * dy).alias("distance2"),
     )
 

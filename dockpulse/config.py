@@ -30,6 +30,7 @@ _TABLES: dict[str, tuple[str, schemas.T.StructType, tuple[str, ...], tuple[str,
     "dim_stations": ("gold", None, (), ("station_id",)),
     "mart_station_performance": ("gold", None, (), ("station_id",)),
     "mart_peak_hours_by_district": ("gold", None, (), ()),
+    "backfilled_days": ("silver", schemas.BACKFILLED_DAYS, (), ("day",)),
 }
 
 
@@ -52,11 +53,18 @@ class Warehouse:
         if missing:
             raise ValueError(f"target {self.target!r} needs: {', '.join(missing)}")
 
+    def require_file_tables(self, what: str) -> None:
+        """Refuse a job, before any work, whose tables Spark itself has to rewrite."""
+        if self.target not in ("parquet", "catalog"):
+            raise ValueError(f"{what} rewrites rows, which a {self.target} target leaves to its own server")
+
     def table(self, name: str) -> StoredTable:
         layer, schema, partition_by, sort_by = _TABLES[name]
         if self.target == "parquet":
             return StoredTable("parquet", f"{self.settings['root']}/{layer}/{name}", schema, {}, partition_by, sort_by)
-        schema_name = self.settings.get(f"{layer}_schema", layer)
+        # With a target schema, layers are told apart by a suffix; without one, each has its own schema.
+        own = self.settings.get(f"{layer}_schema", layer)
+        schema_name = resolve_schema(self.settings.get("schema", own), own, split="schema" in self.settings)
         if self.target == "catalog":
             return StoredTable("catalog", f"{schema_name}.{name}", schema, {}, partition_by, sort_by)
         if self.target == "jdbc":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -12,16 +13,21 @@ from dockpulse.operators.gold import DISTRICT
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, *keys: str) -> DataFrame:
-    """Incoming rows whose key is not stored yet."""
-    return incoming.join(existing.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    """Incoming rows whose key is not stored yet.
+
+    The stored side is reduced to its keys first: a key with a third of all stored rows is one row of the join.
+    """
+    stored = existing.select(*keys).distinct()
+    return incoming.join(stored, list(keys), "left_anti").select(*incoming.columns)
 
 
 def batch_bounds(batch: DataFrame) -> DataFrame:
-    """Time bounds and size of a batch; the scan is pruned to the timestamp."""
+    """Time bounds, size and days of a batch; the scan is pruned to the timestamp."""
     return batch.agg(
         F.min("snapshot_timestamp").alias("min_ts"),
         F.max("snapshot_timestamp").alias("max_ts"),
         F.count(F.lit(1)).alias("rows"),
+        F.array_sort(F.collect_set(F.to_date("snapshot_timestamp"))).alias("days"),
     )
 
 
@@ -37,8 +43,13 @@ def rebuild_from(target: DataFrame | None, column: str = "snapshot_date", days:
     return target.agg(lookback_start(column, days).alias("start")).first()["start"]
 
 
-def filter_from(source: DataFrame, start: date, column: str = "snapshot_date") -> DataFrame:
-    return source.where(F.col(column) >= F.lit(start))
+def filter_from(source: DataFrame, start: date, column: str = "snapshot_date", days: Iterable[date] = ()) -> DataFrame:
+    """Rows from a day on, and of the given earlier days; both are literals, so that partitions prune statically."""
+    wanted = F.col(column) >= F.lit(start)
+    earlier = sorted(day for day in days if day < start)
+    if earlier:
+        wanted = wanted | F.col(column).isin(*[F.lit(day) for day in earlier])
+    return source.where(wanted)
 
 
 def update_attribute(

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockpulse.session import stage
-
 
 @dataclass(frozen=True)
 class Rank:
@@ -28,29 +26,46 @@ def with_ranks(df: DataFrame, *ranks: Rank) -> DataFrame:
     has at most 199,999 distinct values however many rows it holds: the rows are counted per value
     (combined before the shuffle), the running total goes over those counts only, and each row
     looks its value up.  A plain ``rank()`` would send all rows, or a third of them for a crowded
-    group, through one task.  The input is written once, so that no rank computes it again.
+    group, through one task.  No job runs while the plan is built: all counts come from one pass over the input.
     """
-    staged = stage(df, "rank-input")
-    ranked = staged
     for rank in ranks:
-        ranked = _with_rank(ranked, staged, rank)
+        dtype = df.schema[rank.column].dataType
+        if not (isinstance(dtype, T.DecimalType) and dtype.precision <= 5):
+            raise TypeError(f"{rank.column} must be DECIMAL(5,2) or narrower, not {dtype.simpleString()}")
+    lookup = _all_ranks(df, ranks)
+    ranked = df
+    for number, rank in enumerate(ranks):
+        ranked = _with_rank(ranked, lookup.where(F.col("rank") == number), rank)
     return ranked.select(*df.columns, *[r.name for r in ranks])
 
 
-def _with_rank(rows: DataFrame, source: DataFrame, rank: Rank) -> DataFrame:
-    dtype = source.schema[rank.column].dataType
-    if not (isinstance(dtype, T.DecimalType) and dtype.precision <= 5):
-        raise TypeError(f"{rank.column} must be DECIMAL(5,2) or narrower, not {dtype.simpleString()}")
-    keys = [rank.within, rank.column] if rank.within else [rank.column]
-    best_first = F.desc_nulls_last(rank.column) if rank.descending else F.asc_nulls_last(rank.column)
-    better = Window.partitionBy(*keys[:-1]).orderBy(best_first).rowsBetween(Window.unboundedPreceding, -1)
-    lookup = (
-        source.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(
-            *[F.col(c).alias(f"{rank.name}_{c}") for c in keys],
-            (F.coalesce(F.sum("rows").over(better), F.lit(0)) + 1).cast("int").alias(rank.name),
+def _all_ranks(df: DataFrame, ranks: tuple[Rank, ...]) -> DataFrame:
+    """(rank, within, value, place): every value of every rank, counted in one aggregation."""
+    entries = [
+        F.struct(
+            F.lit(number).alias("rank"),
+            (F.col(rank.within).cast("string") if rank.within else F.lit(None).cast("string")).alias("within"),
+            F.col(rank.column).cast("decimal(5,2)").alias("value"),
+            F.lit(-1 if rank.descending else 1).alias("sign"),
         )
+        for number, rank in enumerate(ranks)
+    ]
+    counts = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").groupBy("rank", "within", "value", "sign").count()
+    better = (
+        Window.partitionBy("rank", "within")
+        .orderBy(F.asc_nulls_last(F.col("value") * F.col("sign")))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return counts.select(
+        "rank", "within", "value", (F.coalesce(F.sum("count").over(better), F.lit(0)) + 1).cast("int").alias("place")
+    )
+
+
+def _with_rank(rows: DataFrame, lookup: DataFrame, rank: Rank) -> DataFrame:
+    found = lookup.select(
+        F.col("within").alias(f"{rank.name}_within"), F.col("value").alias(f"{rank.name}_value"), F.col("place").alias(rank.name)
     )
-    same = [F.col(c).eqNullSafe(F.col(f"{rank.name}_{c}")) for c in keys]
-    return rows.join(lookup, same, "left").drop(*[f"{rank.name}_{c}" for c in keys])
+    same = F.col(rank.column).cast("decimal(5,2)").eqNullSafe(F.col(f"{rank.name}_value"))
+    if rank.within:
+        same = same & F.col(rank.within).cast("string").eqNullSafe(F.col(f"{rank.name}_within"))
+    return rows.join(found, same, "left").drop(f"{rank.name}_within", f"{rank.name}_value")

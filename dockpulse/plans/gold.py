@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,18 +35,34 @@ def staging(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     return views
 
 
-def _refresh(spark, source: DataFrame, build, table: StoredTable, keys: tuple[str, ...], incremental: bool, replace_days: bool):
+def _refresh(
+    spark,
+    source: DataFrame,
+    build,
+    table: StoredTable,
+    keys: tuple[str, ...],
+    incremental: bool,
+    replace_days: bool,
+    days: Collection[date],
+):
     stored = scan_table(spark, table) if incremental else None
     if stored is None:
         materialize_full(build(source), table)
         return
     start = rebuild_from(stored)
-    batch = build(filter_from(source, start) if str(start) != EMPTY_TARGET_DATE else source)
+    batch = build(filter_from(source, start, days=days) if str(start) != EMPTY_TARGET_DATE else source)
     incremental_replace(spark, batch, table, *keys, replace_days=replace_days)
 
 
-def run(spark: SparkSession, warehouse: Warehouse, incremental: bool = True, replace_days: bool = False) -> None:
-    """Build every Gold table.  ``incremental`` rebuilds the last two stored days of the facts."""
+def run(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    incremental: bool = True,
+    replace_days: bool = False,
+    days: Collection[date] = (),
+) -> None:
+    """Build every Gold table.  ``incremental`` rebuilds the last two stored days of the facts, and the given ``days``."""
+    warehouse.require_file_tables("Gold")
     views = staging(spark, warehouse)
     hourly, daily = warehouse.table("fact_hourly_availability"), warehouse.table("fact_daily_station_stats")
     _refresh(
@@ -54,10 +73,10 @@ def run(spark: SparkSession, warehouse: Warehouse, incremental: bool = True, rep
         ("station_id", "snapshot_date", "snapshot_hour"),
         incremental,
         replace_days,
+        days,
     )
-    _refresh(
-        spark, hourly.read(spark), gold.fact_daily, daily, ("station_id", "snapshot_date"), incremental, replace_days
-    )
+    daily_keys = ("station_id", "snapshot_date")
+    _refresh(spark, hourly.read(spark), gold.fact_daily, daily, daily_keys, incremental, replace_days, days)
     materialize_full(
         gold.dim_stations(warehouse.table("stations").read(spark)), warehouse.table("dim_stations")
     )

@@ -76,12 +76,26 @@ def validate(spark: SparkSession, warehouse: Warehouse, date: str, hour: int | s
 
 
 def summary(spark: SparkSession, warehouse: Warehouse, hours: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Table row counts, and the latest hours of the newest stored day."""
+    """Table row counts, and the latest ``hours`` hours that hold rows, however far back they lie."""
     stations, availability = (warehouse.table(t).read(spark) for t in ("stations", "station_availability"))
     counts = table_counts({"stations": stations, "station_availability": availability})
-    newest = availability.agg(F.max("snapshot_date")).first()[0]
-    recent = availability.where(F.col("snapshot_date") >= F.date_sub(F.lit(newest), 1))
-    return counts, latest_hours(recent, hours)
+    return counts, recent_hours(availability, hours)
+
+
+def recent_hours(availability: DataFrame, hours: int) -> DataFrame:
+    """``latest_hours`` that reads the newest days only: twice as many each time, until they hold enough hours.
+
+    The days come from the partition column; no measurement is read for them.
+    """
+    newest_first = availability.select("snapshot_date").distinct().orderBy(F.desc("snapshot_date"))
+    days = [row["snapshot_date"] for row in newest_first.collect()]
+    take = max(1, -(-hours // 24))
+    while True:
+        recent = availability.where(F.col("snapshot_date").isin(*[F.lit(day) for day in days[:take]]))
+        found = latest_hours(recent, hours)
+        if take >= len(days) or found.count() >= hours:
+            return found
+        take *= 2
 
 
 def main(args: list[str] | None = None) -> None:

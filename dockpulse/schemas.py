@@ -156,3 +156,8 @@ BOUNDARY_FILE = T.StructType(
 RING = T.ArrayType(T.ArrayType(_DBL))
 POLYGON = T.ArrayType(RING)
 MULTIPOLYGON = T.ArrayType(POLYGON)
+
+# Days that a backfill has read, with what came of them.
+BACKFILLED_DAYS = T.StructType(
+    [T.StructField("day", T.DateType()), T.StructField("rows_read", T.LongType()), T.StructField("rows_written", T.LongType())]
+)

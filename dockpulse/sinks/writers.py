@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ FACT_KEYS = ("station_id", "snapshot_timestamp")
 class LoadResult:
     rows_in: int = 0
     rows_written: int = 0
+    days: tuple[date, ...] = ()
 
 
 def _arranged(df: DataFrame, table: StoredTable, written: Observation | None = None) -> DataFrame:
@@ -107,7 +109,7 @@ def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable) -
         fresh = new_rows(fresh, stored, *FACT_KEYS)
     written = Observation()
     write_table(fresh, table, written=written)
-    return LoadResult(bounds["rows"], written.get["rows"])
+    return LoadResult(bounds["rows"], written.get["rows"], tuple(bounds["days"]))
 
 
 def materialize_full(df: DataFrame, table: StoredTable) -> None:

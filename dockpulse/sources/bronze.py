@@ -20,11 +20,14 @@ def scan_bronze(spark: SparkSession, path: str, date: str | None = None, hour: i
 
 
 def list_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Days present in the lake, from its folder names: no file is listed or opened."""
+    """Days present in the lake, from its folder names: no file is listed or opened.
+
+    The folder of rows without a readable time is no day; ``scan_bronze`` gives its rows with a NULL day.
+    """
     days = [name.split("=", 1)[1] for name in child_folders(spark, path, "ingestion_date=*")]
     return spark.createDataFrame([(d,) for d in days], "day string").select(
         F.col("day").try_cast("date").alias("ingestion_date")
-    )
+    ).where("ingestion_date IS NOT NULL")
 
 
 def partition_files(spark: SparkSession, path: str) -> DataFrame:

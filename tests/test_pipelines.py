@@ -142,6 +142,39 @@ def test_backfill(spark, lake, warehouse):
     assert backfill.run(spark, warehouse, lake).pending == []
 
 
+def test_backfill_completes_gold_and_skips_unreadable_and_invalid_days(spark, folder, warehouse):
+    path = f"{folder}/lake"
+    extra = (
+        {"ingestion_timestamp": "soon"},
+        {"capacity": 0, "ingestion_timestamp": "2026-02-20T08:00:00+01:00", "snapshot_id": "20260220_080000"},
+    )
+    writers.write_bronze(network(spark, extra), path)
+    silver.run(spark, warehouse, path, "2026-02-27")
+    gold.run(spark, warehouse)
+    done = backfill.run(spark, warehouse, path, apply=True)
+    assert done.pending == ["2026-02-20", "2026-02-25", "2026-02-26"] and not done.failed and done.gold_built
+    assert done.unreadable_rows == 1 and [str(d) for d in sorted(done.days)] == ["2026-02-25", "2026-02-26"]
+    assert backfill.run(spark, warehouse, path).pending == []
+    full = parquet_warehouse(f"{folder}/full")
+    silver.run(spark, full, path)
+    gold.run(spark, full, incremental=False)
+    for name in ("fact_hourly_availability", "fact_daily_station_stats", "mart_station_performance", "mart_peak_hours_by_district"):
+        assert table_rows(spark, warehouse, name) == table_rows(spark, full, name), name
+
+
+def test_summary_reaches_over_gaps(spark, lake, warehouse):
+    silver.run(spark, warehouse, lake)
+    assert silver.summary(spark, warehouse, 100)[1].count() == 6
+    assert silver.summary(spark, warehouse, 3)[1].count() == 3
+
+
+def test_gold_refuses_targets_of_other_servers(spark):
+    target = Warehouse("jdbc", {"url": "jdbc:postgresql://h/db", "user": "u", "password": "p"})
+    for job in (lambda: gold.run(spark, target), lambda: backfill.run(spark, target, "/none", apply=True)):
+        with pytest.raises(ValueError, match="its own server"):
+            job()
+
+
 def test_backfill_isolates_failures_and_skips_gold(spark, lake, warehouse, monkeypatch):
     real = backfill.load_silver
     calls = []
@@ -239,6 +272,9 @@ def test_schema_names():
     assert resolve_schema("gold", "staging ", split=True) == "gold_staging"
     assert resolve_schema("gold", None, split=True) == "gold"
     assert resolve_schema("gold", "staging", split=False) == "gold"
+    split = Warehouse("catalog", {"schema": "dev", "silver_schema": "silver", "gold_schema": "gold"})
+    assert split.table("stations").location == "dev_silver.stations"
+    assert split.table("dim_stations").location == "dev_gold.dim_stations"
 
 
 def test_jdbc_reads_are_bounded_and_split():
