@@ -35,19 +35,31 @@ def _finish(job):
         raise job.exception()
 
 
-STREAM_BRONZE = "stationcode name capacity:l numdocksavailable:l numbikesavailable:l lon lat"
-
-
-@query("stream_ingest", o.final("bronze", STREAM_BRONZE))
+# All 18 columns of the contract, an extra one of the feed, and the partition; the poll instant is the landing folder's UTC midnight.
+LANDED = f"""{o.chain("bronze")}
+    SELECT stationcode, name, is_installed, capacity, numdocksavailable, numbikesavailable, mechanical, ebike, is_renting, is_returning,
+           CAST(NULL AS VARCHAR) AS duedate, nom_arrondissement_communes, code_insee_commune, lon, lat,
+           CAST(NULL AS VARCHAR) AS station_opening_hours,
+           strftime(ingestion_timestamp - INTERVAL 1 HOUR, '%Y-%m-%dT01:00:00.000000+01:00') AS ingestion_timestamp,
+           strftime(ingestion_timestamp - INTERVAL 1 HOUR, '%Y%m%d_010000') AS snapshot_id, 'op-' || code_insee_commune AS operator,
+           strftime(ingestion_timestamp - INTERVAL 1 HOUR, '%Y-%m-%d') AS ingestion_date, 1 AS hour
+    FROM bronze"""
+
+
+@query("stream_ingest", LANDED)
 def _(spark, sf):
     path, checkpoint = work_path(spark, "stream-lake"), work_path(spark, "stream-checkpoint")
     job = jobs.stream_ingest(
-        spark, landing(spark, sf), path, checkpoint, "value string, poll_date date", F.col("poll_date").cast("timestamp")
+        spark,
+        landing(spark, sf),
+        path,
+        checkpoint,
+        "value string, poll_date date",
+        F.col("poll_date").cast("timestamp"),
+        extra=("operator",),
     )
     _finish(job)
-    return scan_bronze(spark, path).select(
-        "stationcode", "name", "capacity", "numdocksavailable", "numbikesavailable", "lon", "lat"
-    )
+    return scan_bronze(spark, path, extra=("operator",))
 
 
 @query("stream_dedup", o.final("fact", "station_id snapshot_timestamp:t occupancy_rate:c"))
@@ -196,13 +208,11 @@ def _(spark, sf):
     )
 
 
-@query("run_ingest", o.final("bronze", STREAM_BRONZE))
+@query("run_ingest", LANDED)
 def _(spark, sf):
     path = work_path(spark, "ingested-lake")
     ingest.run(spark, landing(spark, sf), path, F.col("poll_date").cast("timestamp"), lines=True)
-    return scan_bronze(spark, path).select(
-        "stationcode", "name", "capacity", "numdocksavailable", "numbikesavailable", "lon", "lat"
-    )
+    return scan_bronze(spark, path, extra=("operator",))
 
 
 @query("run_quality", "SELECT CAST(6 AS BIGINT) AS tests, count(*) > 0 AS checked FROM events")

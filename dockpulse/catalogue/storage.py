@@ -63,7 +63,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     stations = flatten_geo(scan_snapshot_json(spark, landing(spark, sf), lines=True))
-    return stations.drop("duedate", "station_opening_hours", "poll_date")
+    return stations.drop("duedate", "station_opening_hours", "poll_date", "operator")
 
 
 @query("scan_warehouse_filtered", o.final("fact", "station_id snapshot_timestamp:t", "WHERE is_empty"))
@@ -289,14 +289,15 @@ def _(spark, sf):
 @query(
     "ingest_payloads",
     f"""{o.chain("bronze")}
-    SELECT strftime(ingestion_timestamp - INTERVAL 1 HOUR, '%Y%m%d_010000') AS snapshot_id, stationcode, name, capacity,
-           numdocksavailable, numbikesavailable, lon, lat FROM bronze""",
+    SELECT strftime(ingestion_timestamp - INTERVAL 1 HOUR, '%Y%m%d_010000') AS snapshot_id, stationcode, name, is_installed, capacity,
+           numdocksavailable, numbikesavailable, mechanical, ebike, is_renting, is_returning, CAST(NULL AS VARCHAR) AS duedate,
+           nom_arrondissement_communes, code_insee_commune, lon, lat, CAST(NULL AS VARCHAR) AS station_opening_hours,
+           strftime(ingestion_timestamp - INTERVAL 1 HOUR, '%Y-%m-%dT01:00:00.000000+01:00') AS ingestion_timestamp,
+           'op-' || code_insee_commune AS operator
+    FROM bronze""",
 )
 def _(spark, sf):
     """Landing texts to typed Bronze rows; the poll instant is the landing folder's UTC midnight."""
     stations = scan_snapshot_json(spark, landing(spark, sf), lines=True)
     typed = apply_type_contract(add_lineage(flatten_geo(stations), F.col("poll_date").cast("timestamp")))
-    return with_bronze_partitions(typed).select(
-        "snapshot_id", "stationcode", "name", "capacity", "numdocksavailable", "numbikesavailable", "lon", "lat"
-    )
-
+    return with_bronze_partitions(typed).drop("poll_date", "ingestion_date", "hour")

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dockpulse.schemas import BRONZE_LAKE
+from dockpulse.schemas import BRONZE, BRONZE_PARTITIONS
 from dockpulse.session import child_folders, path_exists
 
 
-def scan_bronze(spark: SparkSession, path: str, date: str | None = None, hour: int | str | None = None) -> DataFrame:
-    """Read the lake with its declared schema; date and hour prune partitions."""
-    lake = spark.read.schema(BRONZE_LAKE).parquet(path)
+def scan_bronze(
+    spark: SparkSession, path: str, date: str | None = None, hour: int | str | None = None, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Read the lake with its declared schema; date and hour prune partitions.
+
+    ``extra`` names further text columns that the feed delivered; snapshots without them give NULL.
+    """
+    schema = T.StructType(BRONZE.fields + [T.StructField(c, T.StringType()) for c in extra] + BRONZE_PARTITIONS.fields)
+    lake = spark.read.schema(schema).parquet(path)
     if date is not None:
         lake = lake.where(F.col("ingestion_date") == F.lit(date).cast("date"))
     if hour is not None:

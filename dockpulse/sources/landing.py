@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,27 +11,65 @@ from pyspark.sql import types as T
 from dockpulse.functions.clock import snapshot_id, wall_clock
 from dockpulse.schemas import BRONZE, STATION_PAYLOAD
 
-_STATIONS = T.ArrayType(STATION_PAYLOAD)
+_STATIONS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 _ENVELOPE = T.StructType([T.StructField("results", _STATIONS)])
 
 
 def payload_stations(text: Column) -> Column:
-    """Stations of one payload: either a list, or an object with a ``results`` list."""
+    """Stations of one payload, each as a map of texts: either a list, or an object with a ``results`` list."""
     body = F.ltrim(text, F.lit(" \t\r\n"))
     return F.when(body.startswith("["), F.from_json(body, _STATIONS)).otherwise(
         F.from_json(body, _ENVELOPE)["results"]
     )
 
 
-def explode_payloads(payloads: DataFrame, text: str = "value") -> DataFrame:
-    """One row per station of every payload; other payload columns are kept."""
+def loose_number(text: Column, dtype: T.DataType) -> Column:
+    """A number as feeds write it: ``12``, ``12.0`` or ``"12"``.  Whole columns take whole values only; the rest is NULL."""
+    number = F.trim(text).try_cast("double")
+    if isinstance(dtype, T.LongType):
+        exact = F.coalesce(F.trim(text).try_cast(T.DecimalType(38, 10)), number.try_cast(T.DecimalType(38, 10)))
+        return F.when(exact == F.floor(exact), exact).try_cast(dtype)
+    return number
+
+
+def _payload_column(field: T.StructField) -> Column:
+    value = F.try_element_at("station", F.lit(field.name))
+    if isinstance(field.dataType, T.StringType):
+        return value.alias(field.name)
+    if isinstance(field.dataType, T.StructType):
+        parts = F.from_json(value, T.MapType(T.StringType(), T.StringType()))
+        inner = [loose_number(F.try_element_at(parts, F.lit(f.name)), f.dataType).alias(f.name) for f in field.dataType]
+        return F.when(parts.isNotNull(), F.struct(*inner)).alias(field.name)
+    return loose_number(value, field.dataType).alias(field.name)
+
+
+def extra_columns(payloads: DataFrame, text: str = "value") -> list[str]:
+    """Names that the feed delivers beside the contract: one pass over the payloads, one row to the driver."""
+    keys = F.explode(F.flatten(F.transform(payload_stations(F.col(text)), F.map_keys))).alias("key")
+    found = payloads.select(keys).distinct().where(~F.col("key").isin(STATION_PAYLOAD.fieldNames()))
+    return sorted(row["key"] for row in found.collect())
+
+
+def explode_payloads(payloads: DataFrame, text: str = "value", extra: Sequence[str] = ()) -> DataFrame:
+    """One row per station of every payload; other payload columns are kept.
+
+    ``extra`` names columns of the feed beside the contract, which come out as text.
+    """
     keep = [c for c in payloads.columns if c != text]
-    return payloads.select(*keep, F.explode(payload_stations(F.col(text))).alias("station")).select(*keep, "station.*")
+    stations = payloads.select(*keep, F.explode(payload_stations(F.col(text))).alias("station"))
+    others = [F.try_element_at("station", F.lit(name)).alias(name) for name in extra]
+    return stations.select(*keep, *[_payload_column(field) for field in STATION_PAYLOAD], *others)
+
 
+def scan_snapshot_json(
+    spark: SparkSession, path: str, lines: bool = False, extra: Sequence[str] | None = None
+) -> DataFrame:
+    """Stations of every payload in a landing folder: one payload per file, or one per line.
 
-def scan_snapshot_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Stations of every payload in a landing folder: one payload per file, or one per line."""
-    return explode_payloads(spark.read.text(path, wholetext=not lines))
+    Columns that the feed sends beside the contract pass through; they are looked up unless ``extra`` names them.
+    """
+    payloads = spark.read.text(path, wholetext=not lines)
+    return explode_payloads(payloads, extra=extra_columns(payloads) if extra is None else extra)
 
 
 def flatten_geo(df: DataFrame) -> DataFrame:
@@ -47,7 +87,11 @@ def flatten_geo(df: DataFrame) -> DataFrame:
 
 def apply_type_contract(df: DataFrame) -> DataFrame:
     """Cast the contract columns that are present; keep every other column as it is."""
-    present = {f.name: F.col(f.name).try_cast(f.dataType) for f in BRONZE if f.name in df.columns}
+    present = {}
+    for f in BRONZE:
+        if f.name in df.columns:
+            text = isinstance(df.schema[f.name].dataType, T.StringType) and not isinstance(f.dataType, T.StringType)
+            present[f.name] = loose_number(F.col(f.name), f.dataType) if text else F.col(f.name).try_cast(f.dataType)
     return df.withColumns(present)
 
 
@@ -68,5 +112,3 @@ def to_bronze(stations: DataFrame, instant: Column) -> DataFrame:
 def with_bronze_partitions(df: DataFrame) -> DataFrame:
     local = wall_clock("ingestion_timestamp")
     return df.withColumns({"ingestion_date": F.to_date(local), "hour": F.hour(local)})
-
-

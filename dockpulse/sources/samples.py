@@ -75,14 +75,23 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payloads(bronze: DataFrame) -> DataFrame:
     """Bronze snapshots as raw feed payloads, one JSON text per poll of a station.
 
-    Even hours deliver a plain list, odd hours an object with ``results``.
+    Even hours deliver a plain list, odd hours an object with ``results``.  Numbers come in three spellings, ``12``, ``12.0`` and
+    ``"12"``, and one column beside the contract, ``operator``.
     """
     left_out = {"lon", "lat", "ingestion_timestamp", "snapshot_id", "ingestion_date", "hour"}
     station = F.struct(
         *[F.col(name) for name in BRONZE_LAKE.fieldNames() if name not in left_out],
         F.struct("lon", "lat").alias("coordonnees_geo"),
+        F.concat(F.lit("op-"), "code_insee_commune").alias("operator"),
     )
-    listed = F.concat(F.lit("["), F.to_json(station), F.lit("]"))
+    text, kind = F.to_json(station), F.col("numbikesavailable") % 3
+    numbers = r'"(capacity|numdocksavailable|numbikesavailable|mechanical|ebike)":([0-9]+)'
+    text = (
+        F.when(kind == 1, F.regexp_replace(text, numbers, '"$1":$2.0'))
+        .when(kind == 2, F.regexp_replace(text, numbers, '"$1":"$2"'))
+        .otherwise(text)
+    )
+    listed = F.concat(F.lit("["), text, F.lit("]"))
     value = F.when(F.col("hour") % 2 == 0, listed).otherwise(F.concat(F.lit('{"results":'), listed, F.lit("}")))
     return bronze.select(value.alias("value"), F.try_to_timestamp("ingestion_timestamp").alias("poll"))
 

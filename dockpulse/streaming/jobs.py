@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,19 +20,37 @@ from dockpulse.sources.tables import StoredTable
 HOURLY_KEYS = ("station_id", "snapshot_date", "snapshot_hour")
 
 
+# Every started job takes another trigger; this one works off what has arrived and ends.
+ONCE = {"availableNow": True}
+# Files that a micro-batch writes for an hour, at most.
+FILES_PER_HOUR = 4
+
+
 def stream_ingest(
-    spark: SparkSession, landing: str, lake: str, checkpoint: str, schema: str, instant: Column
+    spark: SparkSession,
+    landing: str,
+    lake: str,
+    checkpoint: str,
+    schema: str,
+    instant: Column,
+    extra: Sequence[str] = (),
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
-    """Land payload texts as typed Bronze snapshots, exactly once per landed file."""
+    """Land payload texts as typed Bronze snapshots, exactly once per landed file.
+
+    ``extra`` names columns of the feed beside the contract.  Rows of an hour meet in a few tasks, so that a micro-batch
+    does not leave a file for every task and hour.
+    """
     payloads = spark.readStream.schema(schema).text(landing)
-    bronze = to_bronze(explode_payloads(payloads), instant)
+    bronze = to_bronze(explode_payloads(payloads, extra=extra), instant)
     return (
         bronze.withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
+        .repartition("ingestion_date", "hour", F.pmod(F.xxhash64("stationcode"), F.lit(FILES_PER_HOUR)))
         .writeStream.format("parquet")
         .partitionBy("ingestion_date", "hour")
         .option("path", lake)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -51,7 +71,11 @@ def hourly_stream(staged: DataFrame, lateness: str = "2 days") -> DataFrame:
 
 
 def start_hourly(
-    staged: DataFrame, table: StoredTable, checkpoint: str, lateness: str = "2 days"
+    staged: DataFrame,
+    table: StoredTable,
+    checkpoint: str,
+    lateness: str = "2 days",
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Keep the hourly fact current: changed hours are replaced by key, so a replay is harmless."""
 
@@ -63,13 +87,17 @@ def start_hourly(
         .writeStream.outputMode("update")
         .foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
 
 def start_silver_upsert(
-    bronze: DataFrame, warehouse: Warehouse, checkpoint: str, boundaries: DataFrame | None = None
+    bronze: DataFrame,
+    warehouse: Warehouse,
+    checkpoint: str,
+    boundaries: DataFrame | None = None,
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Micro-batches of Bronze rows into both Silver tables; reruns of a batch add nothing."""
 
@@ -79,6 +107,6 @@ def start_silver_upsert(
     return (
         bronze.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

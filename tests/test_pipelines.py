@@ -234,6 +234,19 @@ def test_payload_forms(spark, tmp_path):
     assert (row["ingestion_timestamp"], row["snapshot_id"]) == ("2026-07-01T12:00:00.000000+02:00", "20260701_120000")
 
 
+def test_loose_numbers_and_extra_columns(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.json").write_text(
+        '[{"stationcode":1,"capacity":12.0,"numbikesavailable":"7","ebike":" 3 ","mechanical":2.5,"coordonnees_geo":{"lon":"2.5","lat":48},"new":true,"deep":{"x":1}},'
+        '{"stationcode":"2","capacity":"many","coordonnees_geo":"none"}]'
+    )
+    one, two = landing.flatten_geo(landing.scan_snapshot_json(spark, str(folder))).orderBy("stationcode").collect()
+    assert (one["stationcode"], one["capacity"], one["numbikesavailable"], one["ebike"], one["mechanical"]) == ("1", 12, 7, 3, None)
+    assert (one["lon"], one["lat"], one["new"], one["deep"]) == (2.5, 48.0, "true", '{"x":1}')
+    assert (two["capacity"], two["lon"], two["new"]) == (None, None, None)
+
+
 def test_ingest_refuses_an_empty_feed(spark, tmp_path):
     (tmp_path / "empty.json").write_text("[]")
     with pytest.raises(ValueError):
