@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,9 @@ MIN_QUESTION, MIN_ANSWER = 0.7, 0.5
 ANSWER_SHARE = 0.25
 MIN_STRIDE = 64
 BLOCKS = 64
+SLICE_PASSAGES = 512
+# For the rounding of block maxima.
+SLACK = 1e-4
 # Text of the items that one index holds; more items make more indexes, each searched in its own pass.
 INDEX_BYTES = 16 << 20
 
@@ -35,8 +39,7 @@ class ItemIndex:
     """Impact-ordered BM25 postings of test items.
 
     Impacts are divided by the item's own score, so that one threshold serves all items: a score is the share of the item
-    that a passage reproduces.  A term in few items is essential; the rest of an item's terms together stay below the
-    threshold, so a passage without essential terms can't reach it.
+    that a passage reproduces.  Items are in blocks, and each term has its largest impact in each block.
     """
 
     def __init__(self, items: list[tuple[int, str]]):
@@ -66,23 +69,10 @@ class ItemIndex:
         for t, row in enumerate(self.postings):
             for n, x in row:
                 self.block_max[t, n // self.block_size] = max(self.block_max[t, n // self.block_size], x)
-        self._split_terms(count)
+        self.most = self.block_max.max(axis=1).tolist()
         self.stride = max(MIN_STRIDE, max((len(w) for _, w in self.items), default=0))
         self.parts = [self._parts(words) for _, words in self.items]
 
-    def _split_terms(self, count: int) -> None:
-        """Terms in the most items first, as long as no item gets half the threshold from them."""
-        rest, self.essential = np.zeros(count), np.ones(len(self.postings), bool)
-        self.essential[0] = False
-        for t in sorted(range(1, len(self.postings)), key=lambda t: (-len(self.postings[t]), t)):
-            numbers = [n for n, _ in self.postings[t]]
-            gains = np.array([x for _, x in self.postings[t]])
-            if (rest[numbers] + gains > MIN_SCORE / 2).any():
-                break
-            rest[numbers] += gains
-            self.essential[t] = False
-        self.rest = float(rest.max(initial=0.0))
-
     @staticmethod
     def _parts(words: list[bytes]) -> tuple[list[bytes], int]:
         """The item's shingles and the number of its question words; the last part of an item is its answer."""
@@ -91,29 +81,33 @@ class ItemIndex:
         return shingles, len(words) - max(1, round(len(words) * ANSWER_SHARE))
 
     def candidates(self, terms: np.ndarray) -> np.ndarray:
-        """First words of the passages in which some block of items may reach the threshold."""
-        chunks = -(-len(terms) // self.stride)
-        at = np.flatnonzero(self.essential[terms])
-        if not len(at):
-            return at
-        chunk = at // self.stride
-        first = np.flatnonzero(np.append(True, np.diff(chunk) > 0))
-        sums = np.zeros((chunks + 1, self.block_max.shape[1]), np.float32)
-        sums[chunk[first]] = np.add.reduceat(self.block_max[terms[at]], first, axis=0)
-        bound = (sums[:-1] + sums[1:]).max(axis=1) + self.rest
-        return np.flatnonzero(bound >= MIN_SCORE - 1e-4) * self.stride
+        """First words of the passages whose different terms let some block of items reach the threshold."""
+        found, size = [np.empty(0, np.int64)], len(self.postings)
+        for start in range(0, len(terms), self.stride * SLICE_PASSAGES):
+            part = terms[start : start + self.stride * (SLICE_PASSAGES + 1)].astype(np.int64)
+            at = np.flatnonzero(part)
+            chunk = at // self.stride
+            pairs = np.concatenate([chunk, chunk - 1]) * size + np.concatenate([part[at], part[at]])
+            pairs = np.unique(pairs[pairs >= 0])
+            passage = pairs // size
+            pairs, passage = pairs[passage < SLICE_PASSAGES], passage[passage < SLICE_PASSAGES]
+            if len(pairs):
+                first = np.flatnonzero(np.append(True, np.diff(passage) > 0))
+                bound = np.add.reduceat(self.block_max[pairs % size], first, axis=0).max(axis=1)
+                found.append(start + passage[first][bound >= MIN_SCORE - SLACK] * self.stride)
+        return np.concatenate(found)
 
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
         """Block-max WAND: items whose score reaches the threshold."""
         lists = [(t, self.postings[t]) for t in sorted(set(terms)) if t]
-        cursors = [[row[0][0], 0, t, row, float(self.block_max[t].max())] for t, row in lists]
+        cursors = [[row[0][0], 0, t, row, self.most[t]] for t, row in lists]
         out = []
         while cursors:
             cursors.sort(key=lambda c: c[0])
             total, pivot = 0.0, None
             for i, cursor in enumerate(cursors):
                 total += cursor[4]
-                if total >= MIN_SCORE - 1e-4:
+                if total >= MIN_SCORE - SLACK:
                     pivot = i
                     break
             if pivot is None:
@@ -122,7 +116,7 @@ class ItemIndex:
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == number:
                 pivot += 1
             block = number // self.block_size
-            if sum(self.block_max[c[2], block] for c in cursors[: pivot + 1]) < MIN_SCORE - 1e-4:
+            if sum(self.block_max[c[2], block] for c in cursors[: pivot + 1]) < MIN_SCORE - SLACK:
                 target = (block + 1) * self.block_size
                 if pivot + 1 < len(cursors):
                     target = min(target, cursors[pivot + 1][0])
@@ -155,7 +149,7 @@ class ItemIndex:
     def hits(self, text: str | None) -> list[tuple[int, int, float, float, float]]:
         """(item_id, first word of the passage, score, question overlap, answer overlap), the best passage of each item."""
         words = words_of(text)
-        terms = np.fromiter(map(self._number, words), np.int32, len(words))
+        terms = np.fromiter(map(self.term.get, words, repeat(0)), np.int32, len(words))
         best: dict[int, tuple[float, float, float, int]] = {}
         for start in self.candidates(terms).tolist():
             end = start + 2 * self.stride
@@ -166,9 +160,6 @@ class ItemIndex:
                     best[item] = max(best.get(item, (0.0, 0.0, 0.0, 0)), (score, question, answer, -start))
         return [(i, -start, score, q, a) for i, (score, q, a, start) in sorted(best.items())]
 
-    def _number(self, word: bytes) -> int:
-        return self.term.get(word, 0)
-
 
 def item_indexes(benchmark: DataFrame) -> Iterator[ItemIndex]:
     """Indexes of bounded size that hold all items between them; BM25 statistics are those of an index."""
