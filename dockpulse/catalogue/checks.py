@@ -94,38 +94,62 @@ def _(spark, sf):
     return quality.consistency_counts(_broken(spark, sf))
 
 
+def _null_items() -> str:
+    """The columns with too many NULLs, as the report lists them."""
+    share = "CAST(null_{0} AS DOUBLE) / total_rows"
+    items = [f"CASE WHEN {share.format(c)} > 0.05 THEN printf('{c}: %.2f%%', {share.format(c)} * 100) END" for c in quality.CRITICAL_COLUMNS]
+    return f"concat_ws(', ', {', '.join(items)})"
+
+
+def _range_items() -> str:
+    items = [f"CASE WHEN range_{c} > 0 THEN '{c}: ' || range_{c} || ' values out of [0, 110]' END" for c in quality.RANGE_COLUMNS]
+    return f"concat_ws('; ', {', '.join(items)})"
+
+
 DQ_REPORT = f"""{o.chain("bronze")},
     measured AS (
         SELECT snapshot_id, count(*) AS total_rows, max(ingestion_timestamp) AS latest,
                count(*) - count(DISTINCT (stationcode, ingestion_timestamp)) AS duplicates,
-               greatest(count(*) FILTER (WHERE stationcode IS NULL), count(*) FILTER (WHERE name IS NULL),
-                        count(*) FILTER (WHERE lon IS NULL), count(*) FILTER (WHERE lat IS NULL),
-                        count(*) FILTER (WHERE capacity IS NULL), count(*) FILTER (WHERE numdocksavailable IS NULL),
-                        count(*) FILTER (WHERE numbikesavailable IS NULL)) AS nulls,
-               count(*) FILTER (WHERE capacity NOT BETWEEN 0 AND 110 OR numbikesavailable NOT BETWEEN 0 AND 110
-                                OR numdocksavailable NOT BETWEEN 0 AND 110) AS out_of_range,
+               {", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in quality.CRITICAL_COLUMNS)},
+               {", ".join(f"count(*) FILTER (WHERE {c} NOT BETWEEN 0 AND 110) AS range_{c}" for c in quality.RANGE_COLUMNS)},
                count(*) FILTER (WHERE numbikesavailable + numdocksavailable <> capacity) AS inconsistent
         FROM bronze GROUP BY snapshot_id),
+    texts AS (
+        SELECT *, CAST(date_diff('microsecond', latest, TIMESTAMP '{AS_OF_LOCAL}') AS DOUBLE) / 3600e6 AS age,
+               {_null_items()} AS nulls, {_range_items()} AS ranges FROM measured),
+    details AS (
+        SELECT snapshot_id, total_rows, unnest([
+            {{'name': 'consistency', 'passed': inconsistent = 0, 'message': CASE WHEN inconsistent = 0 THEN 'Data consistency check passed'
+              ELSE 'Detected ' || inconsistent || ' inconsistent rows (numbikesavailable + numdocksavailable != capacity)' END}},
+            {{'name': 'duplicates', 'passed': duplicates = 0, 'message': CASE WHEN duplicates = 0 THEN 'No duplicates detected'
+              ELSE printf('Detected %d duplicates (%.2f%%)', duplicates, CAST(duplicates AS DOUBLE) / total_rows * 100) END}},
+            {{'name': 'freshness', 'passed': age <= 1, 'message': CASE WHEN age <= 1 THEN printf('Data freshness is valid (%.1fh old)', age)
+              ELSE printf('Data is too old: %.1fh (max=1h)', age) END}},
+            {{'name': 'nulls', 'passed': nulls = '', 'message': CASE WHEN nulls = '' THEN 'Missing values are within threshold (< 5.0%)'
+              ELSE 'Too many missing values: ' || nulls END}},
+            {{'name': 'ranges', 'passed': ranges = '', 'message': CASE WHEN ranges = '' THEN 'All numeric values are within expected ranges'
+              ELSE 'Out-of-range values found: ' || ranges END}},
+            {{'name': 'schema', 'passed': true, 'message': 'Schema is valid (18 columns)'}}]) AS d FROM texts),
     judged AS (
-        SELECT snapshot_id, total_rows, inconsistent = 0 AS consistent, inconsistent,
-               1 + CAST(CAST(nulls AS DOUBLE) / total_rows <= 0.05 AS INTEGER) + CAST(duplicates = 0 AS INTEGER)
-               + CAST(date_diff('microsecond', latest, TIMESTAMP '{AS_OF_LOCAL}') <= 3600000000 AS INTEGER)
-               + CAST(out_of_range = 0 AS INTEGER) + CAST(inconsistent = 0 AS INTEGER) AS passed FROM measured)"""
+        SELECT snapshot_id, total_rows, count(*) FILTER (WHERE d.passed) AS passed,
+               string_agg((CASE WHEN d.passed THEN 'PASS ' ELSE 'FAIL ' END) || d.name || ': ' || d.message, chr(10) ORDER BY d.name) AS details
+        FROM details GROUP BY snapshot_id, total_rows)"""
 
 
 @query(
     "dq_report",
-    f"""{DQ_REPORT} SELECT snapshot_id, total_rows, CAST(passed AS BIGINT) AS tests_passed, CAST(6 - passed AS BIGINT) AS tests_failed,
-        CAST(passed AS DOUBLE) / 6 * 100 AS success_rate, CAST(passed AS DOUBLE) / 6 * 100 >= 80 AS gate_ok, passed < 6 AS alert,
-        CASE WHEN consistent THEN 'Data consistency check passed' ELSE 'Detected ' || inconsistent
-             || ' inconsistent rows (numbikesavailable + numdocksavailable != capacity)' END AS consistency
+    f"""{DQ_REPORT} SELECT snapshot_id, total_rows, passed AS tests_passed, 6 - passed AS tests_failed,
+        CAST(passed AS DOUBLE) / 6 * 100 AS success_rate, CAST(passed AS DOUBLE) / 6 * 100 >= 80 AS gate_ok, passed < 6 AS alert, details
         FROM judged""",
 )
 def _(spark, sf):
-    """One report per snapshot of the whole lake."""
+    """One report per snapshot of the whole lake, with all six details."""
     report = quality.quality_report(bronze(spark, sf), _as_of())
-    consistency = F.filter("details", lambda d: d["check"] == "consistency")[0]["message"]
-    return report.withColumn("consistency", consistency).drop("details")
+    lines = F.transform(
+        "details",
+        lambda d: F.concat(F.when(d["passed"], "PASS ").otherwise("FAIL "), d["check"], F.lit(": "), d["message"]),
+    )
+    return report.withColumn("details", F.array_join(lines, "\n"))
 
 
 @query(

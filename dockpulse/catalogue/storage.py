@@ -20,6 +20,7 @@ from dockpulse.catalogue.base import (
     station_rows,
     without,
 )
+from dockpulse.catalogue.checks import AS_OF, DQ_REPORT
 from dockpulse.config import parquet_warehouse
 from dockpulse.operators import gold
 from dockpulse.operators.hygiene import loaded_days
@@ -141,8 +142,11 @@ def _(spark, sf):
 
 @query("write_bronze", o.final("bronze", LAKE_COLUMNS))
 def _(spark, sf):
+    """Written twice, as after a failure; nothing is doubled."""
     path = work_path(spark, "bronze-copy")
-    writers.write_bronze(bronze(spark, sf), path)
+    writers.write_bronze(before_cutoff(bronze(spark, sf), "ingestion_date"), path)
+    for _attempt in range(2):
+        writers.write_bronze(bronze(spark, sf), path)
     return _lake_rows(lake_source.scan_bronze(spark, path))
 
 
@@ -230,17 +234,16 @@ def _(spark, sf):
 
 @query(
     "write_dq_report",
-    f"""{o.chain("bronze")}
-    SELECT snapshot_id, substr(snapshot_id, 1, 4) || '-' || substr(snapshot_id, 5, 2) || '-' || substr(snapshot_id, 7, 2) AS report_date,
-           CAST(substr(snapshot_id, 10, 2) AS INTEGER) AS hour, c.check_name AS "check"
-    FROM (SELECT DISTINCT snapshot_id FROM bronze) CROSS JOIN
-         (VALUES ('schema'), ('nulls'), ('duplicates'), ('freshness'), ('ranges'), ('consistency')) AS c(check_name)""",
+    f"""{DQ_REPORT}
+    SELECT snapshot_id, total_rows, substr(snapshot_id, 1, 4) || '-' || substr(snapshot_id, 5, 2) || '-' || substr(snapshot_id, 7, 2)
+           AS report_date, CAST(substr(snapshot_id, 10, 2) AS INTEGER) AS hour, d.name AS "check", d.passed AS passed, d.message AS message
+    FROM details""",
 )
 def _(spark, sf):
     path = work_path(spark, "quality-reports")
-    rows = check_rows(bronze(spark, sf), F.lit("2024-01-31 00:00:00").cast("timestamp"))
+    rows = check_rows(bronze(spark, sf), F.lit(f"{AS_OF}+00:00").cast("timestamp"))
     writers.write_quality_report(rows, path, F.to_timestamp_ntz("snapshot_id", F.lit("yyyyMMdd_HHmmss")))
-    return spark.read.parquet(path).select("snapshot_id", F.col("report_date").cast("string").alias("report_date"), "hour", "check")
+    return spark.read.parquet(path).withColumn("report_date", F.col("report_date").cast("string"))
 
 
 @query(
@@ -279,6 +282,22 @@ def _(spark, sf):
     return _lake_rows(lake_source.scan_bronze(spark, mirror))
 
 
+@query(
+    "mirror_null_ids",
+    f"""{o.chain("bronze")} SELECT CAST(ingestion_date AS VARCHAR) AS ingestion_date,
+        CASE WHEN numbikesavailable > 5 THEN snapshot_id END AS snapshot_id, count(*) AS rows FROM bronze GROUP BY ALL""",
+)
+def _(spark, sf):
+    """Snapshots without an id are copied too, once."""
+    source, mirror = work_path(spark, "mirror-source"), work_path(spark, "mirror")
+    rows = bronze(spark, sf)
+    writers.write_bronze(rows.withColumn("snapshot_id", F.when(F.col("numbikesavailable") > 5, F.col("snapshot_id"))), source)
+    writers.write_bronze(before_cutoff(lake_source.scan_bronze(spark, source), "ingestion_date"), mirror)
+    for _attempt in range(2):
+        writers.mirror_partitions(spark, source, mirror)
+    return lake_source.scan_bronze(spark, mirror).groupBy("ingestion_date", "snapshot_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("sink_by_target", f"{o.chain('stations')} SELECT 'parquet' AS kind, count(*) AS stations FROM stations")
 def _(spark, sf):
     table = _empty_warehouse(spark).table("stations")

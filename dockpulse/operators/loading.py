@@ -21,6 +21,19 @@ def new_rows(incoming: DataFrame, existing: DataFrame, *keys: str) -> DataFrame:
     return incoming.join(stored, list(keys), "left_anti").select(*incoming.columns)
 
 
+def matching(left: DataFrame, right: DataFrame, how: str, *keys: str) -> DataFrame:
+    """Semi- or anti-join by keys where NULL equals NULL."""
+    other = right.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return left.join(other, same, how)
+
+
+def without_stored(rows: DataFrame, stored: DataFrame, *keys: str) -> DataFrame:
+    return matching(rows, stored, "left_anti", *keys)
+
+
 def batch_bounds(batch: DataFrame) -> DataFrame:
     """Time bounds, size and days of a batch; the scan is pruned to the timestamp."""
     return batch.agg(

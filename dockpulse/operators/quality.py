@@ -112,26 +112,26 @@ def consistency_counts(df: DataFrame) -> DataFrame:
 
 
 def snapshot_measures(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    """All measures per snapshot: one narrow aggregation, plus one over the duplicate keys.
-
-    Both give one row per snapshot, which a last small aggregation merges (NULL ids included).
-    """
+    """All measures per snapshot, in one pass: the rows are first reduced to the duplicate keys, then to the snapshots."""
     measures = [F.count(F.lit(1)).alias("total_rows"), F.max(F.try_to_timestamp("ingestion_timestamp")).alias("latest")]
     measures += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS if c in df.columns]
     measures += [out_of_range(c).alias(f"range_{c}") for c in RANGE_COLUMNS if c in df.columns]
     if not missing_columns(df, RANGE_COLUMNS):
         measures.append(inconsistent().alias("inconsistent"))
-    stats = df.groupBy(*group).agg(*measures)
-    if missing_columns(df, DUPLICATE_KEYS):
-        return stats
-    both = stats.unionByName(
-        duplicate_counts(df, group=group).select(*group, "duplicates"), allowMissingColumns=True
-    )
-    return both.groupBy(*group).agg(*[F.max(c).alias(c) for c in both.columns if c not in group])
+    if not missing_columns(df, DUPLICATE_KEYS):
+        # A struct is never NULL, so keys with NULLs count like any other.
+        measures.append((F.count(F.lit(1)) - F.count_distinct(F.struct(*DUPLICATE_KEYS))).alias("duplicates"))
+    return df.groupBy(*group).agg(*measures)
 
 
 def check_rows(df: DataFrame, as_of: Column, group: Sequence[str] = ("snapshot_id",)) -> DataFrame:
     """Six rows (check, passed, message) per snapshot."""
+    details = _with_details(df, as_of, group)
+    return details.select(*group, "total_rows", F.explode("details").alias("c")).select(*group, "total_rows", "c.*")
+
+
+def _with_details(df: DataFrame, as_of: Column, group: Sequence[str]) -> DataFrame:
+    """(group, total_rows, details): the six checks of a snapshot as an array, by name."""
     measures = snapshot_measures(df, group)
     total = F.nullif(F.col("total_rows"), F.lit(0).cast("bigint"))
     missing = missing_columns(df)
@@ -161,9 +161,7 @@ def check_rows(df: DataFrame, as_of: Column, group: Sequence[str] = ("snapshot_i
         bad = F.col("inconsistent")
         checks[5] = _check("consistency", bad == 0, F.lit(CONSISTENCY_OK), F.format_string(CONSISTENCY_BAD, bad))
 
-    return measures.select(*group, "total_rows", F.explode(F.array(*checks)).alias("c")).select(
-        *group, "total_rows", "c.*"
-    )
+    return measures.select(*group, "total_rows", F.array_sort(F.array(*checks)).alias("details"))
 
 
 def _check(name: str, passed: Column, good: Column, bad: Column) -> Column:
@@ -182,15 +180,10 @@ def _issues(findings: list[tuple[Column, Column]], separator: str) -> Column:
 
 def quality_report(df: DataFrame, as_of: Column, group: Sequence[str] = ("snapshot_id",)) -> DataFrame:
     """One report row per snapshot: counts, success rate, gate, alert, and the six details."""
-    rows = check_rows(df, as_of, group)
-    detail = F.struct("check", "passed", "message")
+    report = _with_details(df, as_of, group)
+    passed = F.size(F.filter("details", lambda d: d["passed"])).cast("bigint")
     return (
-        rows.groupBy(*group, "total_rows")
-        .agg(
-            F.count_if("passed").alias("tests_passed"),
-            F.count_if(~F.col("passed")).alias("tests_failed"),
-            F.array_sort(F.collect_list(detail)).alias("details"),
-        )
+        report.select(*group, "total_rows", passed.alias("tests_passed"), (F.size("details") - passed).alias("tests_failed"), "details")
         .withColumn("success_rate", F.col("tests_passed") / (F.col("tests_passed") + F.col("tests_failed")) * 100)
         .withColumns({"gate_ok": F.col("success_rate") >= PASS_GATE_PCT, "alert": F.col("tests_failed") > 0})
     )

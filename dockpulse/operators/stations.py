@@ -13,11 +13,15 @@ from dockpulse.schemas import STATIONS
 def latest_by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     """The row with the highest ``order`` columns per key; remaining columns break ties.
 
-    A struct maximum is combined before the shuffle: a key with a third of all rows ships one row
-    per map task, and no task sorts the whole key.
+    The highest first ``order`` column of each key is a hash aggregation with a fixed buffer, combined before the
+    shuffle.  Only the rows that reach it (one per key, and ties) are compared as a whole: a maximum of whole rows over all
+    rows would sort them in every map task.
     """
     rest = [c for c in df.columns if c != key and c not in order]
-    top = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("top"))
+    highest = df.groupBy(key).agg(F.max(order[0]).alias("_highest")).withColumnRenamed(key, "_key")
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(order[0]).eqNullSafe(F.col("_highest"))
+    near = df.join(highest, same).drop("_key", "_highest")
+    top = near.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("top"))
     return top.select(key, "top.*").select(*df.columns)
 
 

@@ -53,7 +53,9 @@ def load_silver(
     with staged_for_use(transform_silver(bronze, metrics), "silver-batch") as silver:
         read = metrics.get
         stations = load_dim_insert_only(spark, stations_dimension(silver, boundaries), warehouse.table("stations"))
-        facts = load_fact_dedup(spark, stored_fact(project_fact(silver)), warehouse.table("station_availability"))
+        facts = load_fact_dedup(
+            spark, stored_fact(project_fact(silver)), warehouse.table("station_availability"), stored=True
+        )
     return SilverRun(read["rows_read"], read["rows_rejected"], facts, stations, time.monotonic() - started)
 
 

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.operators.loading import batch_bounds, new_rows, replace_by_key
+from dockpulse.operators.loading import batch_bounds, matching, new_rows, replace_by_key, without_stored
 from dockpulse.operators.silver import dedup_in_batch
 from dockpulse.session import path_exists, staged_for_use, swap_folder
 from dockpulse.sources.bronze import scan_bronze
@@ -65,24 +65,36 @@ def write_table(df: DataFrame, table: StoredTable, mode: str = "append", written
     df.write.format(table.kind).options(**table.options, **extra).option(key, table.location).mode(mode).save()
 
 
-def write_bronze(df: DataFrame, path: str, attempts: int = 2) -> None:
+BRONZE_KEYS = ("ingestion_date", "hour", "snapshot_id", "stationcode")
+
+
+def write_bronze(df: DataFrame, path: str, skip_stored: bool = True) -> None:
     """Append snapshots under ``ingestion_date=YYYY-MM-DD/hour=HH``.
 
-    The commit protocol publishes files only when the job succeeds, so a failed attempt leaves
-    nothing behind and can be repeated.
+    Rows of a snapshot and station that the lake has already are left out, so a load that failed halfway, or was simply
+    repeated, can run again.  Only the keys of the batch's own days are read for that.
     """
+    spark = df.sparkSession
+    if not skip_stored or not path_exists(spark, path):
+        _append_bronze(df, path)
+        return
+    with staged_for_use(df, "bronze-batch") as rows:
+        days = [row["ingestion_date"] for row in rows.select("ingestion_date").distinct().collect()]
+        if not days:
+            return
+        day = F.col("ingestion_date")
+        wanted = day.isin(*[F.lit(d) for d in days if d is not None])
+        stored = scan_bronze(spark, path).where(wanted | day.isNull() if None in days else wanted)
+        _append_bronze(without_stored(rows, stored, *BRONZE_KEYS), path)
+
+
+def _append_bronze(df: DataFrame, path: str) -> None:
     arranged = (
         df.withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
         .hint("rebalance", "ingestion_date", "hour")
         .sortWithinPartitions("ingestion_date", "hour", "stationcode")
     )
-    for attempt in range(1, attempts + 1):
-        try:
-            arranged.write.mode("append").partitionBy("ingestion_date", "hour").parquet(path)
-            return
-        except Exception:
-            if attempt == attempts:
-                raise
+    arranged.write.mode("append").partitionBy("ingestion_date", "hour").parquet(path)
 
 
 def load_dim_insert_only(spark: SparkSession, batch: DataFrame, table: StoredTable) -> LoadResult:
@@ -94,12 +106,20 @@ def load_dim_insert_only(spark: SparkSession, batch: DataFrame, table: StoredTab
     return LoadResult(rows_written=written.get["rows"])
 
 
-def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable) -> LoadResult:
+def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable, stored: bool = False) -> LoadResult:
     """Append measurements whose (station, timestamp) is new, within the batch and in the table.
 
     The stored side is read only between the batch's first and last timestamp.  The duplicate
-    removal and the anti-join use the same keys, so the batch is shuffled once.
+    removal and the anti-join use the same keys, so the batch is shuffled once.  The batch is computed once and stored for both of
+    its uses; ``stored`` says that it comes from storage already.
     """
+    if stored:
+        return _load_fact(spark, batch, table)
+    with staged_for_use(batch, "fact-batch") as rows:
+        return _load_fact(spark, rows, table)
+
+
+def _load_fact(spark: SparkSession, batch: DataFrame, table: StoredTable) -> LoadResult:
     bounds = batch_bounds(batch).first()
     if bounds["min_ts"] is None:
         return LoadResult()
@@ -166,26 +186,28 @@ def incremental_replace(
 
 
 def write_quality_report(report: DataFrame, path: str, local_time) -> None:
-    """Append reports under ``report_date=.../hour=HH``."""
+    """Append reports under ``report_date=.../hour=HH``, the rows of an hour in as few files as their size asks for."""
     report.withColumns(
         {"report_date": F.date_format(local_time, "yyyy-MM-dd"), "hour": F.date_format(local_time, "HH")}
-    ).write.mode("append").partitionBy("report_date", "hour").parquet(path)
+    ).hint("rebalance", "report_date", "hour").write.mode("append").partitionBy("report_date", "hour").parquet(path)
 
 
 def mirror_partitions(spark: SparkSession, source: str, target: str) -> None:
     """Copy snapshots that the target lake lacks, keeping the partition layout.
 
     Both lakes are compared by snapshot id alone; whole rows are read only from the days that
-    lack something.
+    lack something.  NULL ids and hours are keys like any other.
     """
     rows = scan_bronze(spark, source)
     if not path_exists(spark, target):
-        write_bronze(rows, target)
+        write_bronze(rows, target, skip_stored=False)
         return
-    keys = ["ingestion_date", "hour", "snapshot_id"]
-    present = scan_bronze(spark, target).select(*keys).distinct()
-    lacking = rows.select(*keys).distinct().join(present, keys, "left_anti")
-    with staged_for_use(lacking, "mirror-lacking") as lacking:
+    keys = ("ingestion_date", "hour", "snapshot_id")
+    missing = without_stored(rows.select(*keys).distinct(), scan_bronze(spark, target), *keys)
+    with staged_for_use(missing, "mirror-lacking") as lacking:
         days = [row["ingestion_date"] for row in lacking.select("ingestion_date").distinct().collect()]
         if days:
-            write_bronze(rows.where(F.col("ingestion_date").isin(*days)).join(lacking, keys, "left_semi"), target)
+            day = F.col("ingestion_date")
+            wanted = day.isin(*[F.lit(d) for d in days if d is not None])
+            near = rows.where(wanted | day.isNull() if None in days else wanted)
+            write_bronze(matching(near, lacking, "left_semi", *keys), target, skip_stored=False)
