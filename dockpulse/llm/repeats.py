@@ -70,6 +70,11 @@ class RangeHash:
         return mix((self.sums[size:] - self.sums[:n]) * self.shift[:n])
 
 
+def named(hashes: np.ndarray) -> np.ndarray:
+    """The 48 bits of a hash that owners are found by.  Different grams under one name cost a comparison, nothing else."""
+    return hashes >> np.uint64(16)
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     size, out = 1, values
     while size * 2 <= width:
@@ -113,7 +118,7 @@ class Block:
         width, n = k - gram + 1, int(self.offsets[-1])
         if n < k:
             return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3))
-        anchors = sliding_min(hashes.grams(gram), width)
+        anchors = named(sliding_min(hashes.grams(gram), width))
         inside = np.zeros(n + 1, np.int32)
         last = np.maximum(self.offsets[1:] - k + 1, self.offsets[:-1])
         np.add.at(inside, self.offsets[:-1], 1)
@@ -254,7 +259,7 @@ def covered(blocks: DataFrame, unit: str, k: int, gram: int, solve: Solve) -> Da
             one_by_one = np.repeat(start[single], windows[single]) + (
                 np.arange(windows[single].sum()) - np.repeat(np.cumsum(windows[single]) - windows[single], windows[single])
             )
-            routes = np.concatenate([anchor[kept], _signed(hashes.of(one_by_one, one_by_one + k))])
+            routes = np.concatenate([anchor[kept], _signed(named(hashes.of(one_by_one, one_by_one + k)))])
             starts = np.concatenate([start[kept], one_by_one])
             ends = np.concatenate([start[kept] + windows[kept] + k - 1, one_by_one + k])
             rows = np.concatenate([row[kept], np.repeat(row[single], windows[single])])
