@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,8 @@ from dockpulse.session import work_path
 END_ID = 1
 CHUNK_IDS = 1 << 14
 FILE_CHUNKS = 64
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
+PORTION_BYTES = 4 << 20
 LEVEL = 3
 
 FILE_SCHEMA = (
@@ -46,28 +48,118 @@ def from_planes(planes: list[bytes], count: int, kind: str) -> np.ndarray:
 
 
 class WordEncoder:
-    """Ids of texts, with the ids of words kept.
+    """Ids of texts, with the ids of up to ``CACHED_WORDS`` words kept.
 
-    The tokenizer splits at white space and joins nothing across it, so a text's ids are those of its words in turn.
+    The tokenizer splits at white space and joins nothing across it, so a text's ids are those of its words in turn.  It ignores
+    case and splits a word before closing punctuation, so only the lower-case core of a new word is encoded.  Its tokens close
+    words by a suffix, which tells the words of a line apart.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        # Words are made of one or two forms; form 0 is empty.
+        self.number, self.form = defaultdict[bytes, int](), {b"": 0}
+        self.number.default_factory = self.number.__len__
+        self.forms_of = np.empty((0, 2), np.int64)
+        self.sizes, self.first, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, "<u4")
+
+    @staticmethod
+    def of_worker(path: str) -> WordEncoder:
+        """One encoder for all tasks of a worker process."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+        if path not in kept:
+            kept[path] = WordEncoder(path)
+        return kept[path]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text, followed by the end id."""
         split = [t.split() for t in texts]
-        missing = list(set(chain.from_iterable(split)).difference(self.known))
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known = {}
-            missing = list(set(chain.from_iterable(split)))
-        if missing:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            self.known.update(zip(missing, (e.ids for e in found), strict=True))
-        look = self.known.__getitem__
-        return [np.array([*chain.from_iterable(map(look, words)), END_ID], "<u4") for words in split]
+        counts = np.array([len(w) for w in split], np.int64)
+        if len(self.number) > CACHED_WORDS:
+            self._clear()
+        known, total = len(self.number), int(counts.sum())
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, total)
+        self._learn(list(islice(self.number, known, None)))
+        forms = self.forms_of[numbers].reshape(-1)
+        sizes = self.sizes[forms]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.first[forms] - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = ends[2 * np.concatenate([[0], np.cumsum(counts)])]
+        ids = np.insert(ids, bounds[1:], END_ID)
+        return np.split(ids, bounds[1:-1] + np.arange(1, len(texts))) if texts else []
+
+    def _learn(self, words: list[bytes]) -> None:
+        pairs, forms, start = [], self.form, len(self.form)
+        for word in words:
+            core, tail = self._core(word)
+            pairs.append((forms.setdefault(core, len(forms)), forms.setdefault(tail, len(forms)) if tail else 0))
+        self.forms_of = np.concatenate([self.forms_of, np.array(pairs, np.int64).reshape(-1, 2)])
+        new = [form.decode() for form in islice(forms, start, None)]
+        sizes, flat = self._ids(new)
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat = np.concatenate([self.flat, flat])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def _ids(self, forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, ids) of forms.  Plain words are encoded many at a time: each ends at its first closing token."""
+        plain = np.array([form.isalpha() and form < "\u0250" and max(form) < "\u0250" for form in forms], bool)
+        run = [form for form, p in zip(forms, plain.tolist(), strict=True) if p]
+        lines = [" ".join(run[i : i + 1000]) for i in range(0, len(run), 1000)]
+        ids = np.array([*chain.from_iterable(e.ids for e in self._encoded(lines))], "<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(run):
+            plain[:], ids, ends = False, np.empty(0, "<u4"), np.empty(0, np.int64)
+        others = [e.ids for e in self._encoded([f for f, p in zip(forms, plain.tolist(), strict=True) if not p])]
+        sizes = np.zeros(len(forms), np.int64)
+        sizes[plain] = np.diff(ends, prepend=0)
+        sizes[~plain] = [len(x) for x in others]
+        flat = np.empty(int(sizes.sum()), "<u4")
+        of_plain = np.repeat(plain, sizes)
+        flat[of_plain] = ids
+        flat[~of_plain] = [*chain.from_iterable(others)]
+        return sizes, flat
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+
+    @staticmethod
+    def _core(word: bytes) -> tuple[bytes, bytes]:
+        """The word without closing punctuation, and that; in lower case where this cannot make a special token."""
+        if b"<|" in word:
+            return word, b""
+        word = word.lower()
+        core = word.rstrip(b".,;:!?")
+        if len(core) == len(word) or not core:
+            return word, b""
+        last = core[-1]
+        if last >= 0x80:
+            letter = core.decode()[-1]
+            if letter > "\u024f" or not letter.lower().isalpha():
+                return word, b""
+        elif not (0x30 <= last <= 0x39 or 0x61 <= last <= 0x7A):
+            return word, b""
+        return core, word[len(core) :]
+
+
+def _portions(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``PORTION_BYTES``, so that few words are held at a time."""
+    start = size = 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= PORTION_BYTES or i == len(texts):
+            yield start, i
+            start, size = i, 0
 
 
 def encode(docs: DataFrame, tokenizer_path: str, planes: str = "byte") -> DataFrame:
@@ -80,7 +172,7 @@ def encode(docs: DataFrame, tokenizer_path: str, planes: str = "byte") -> DataFr
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, packer, part = WordEncoder(tokenizer_path), zstandard.ZstdCompressor(LEVEL), TaskContext.get().partitionId()
+        encoder, packer, part = WordEncoder.of_worker(tokenizer_path), zstandard.ZstdCompressor(LEVEL), TaskContext.get().partitionId()
         limit, file = CHUNK_IDS * FILE_CHUNKS, 0
         names, sizes, held, filled, continues = [], [], [], 0, False
 
@@ -102,7 +194,8 @@ def encode(docs: DataFrame, tokenizer_path: str, planes: str = "byte") -> DataFr
 
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+            ids_of = (ids for a, b in _portions(texts) for ids in encoder.encode(texts[a:b]))
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
                 begun = False
                 while len(ids):
                     take = min(len(ids), limit - filled)
