@@ -8,6 +8,7 @@ from dockpulse.catalogue import oracle as o
 from dockpulse.catalogue.base import (
     CUTOFF,
     before_cutoff,
+    boundary_table,
     bronze,
     daily,
     dim,
@@ -122,6 +123,56 @@ def _(spark, sf):
     return spatial.nearest_centroid_join(_points(spark, sf), districts(spark, sf)).select("station_id", "nearest_number")
 
 
+@query(
+    "district_of_every_snapshot",
+    f"""{o.chain("bronze", "edges", "centroids")},
+    places AS (SELECT DISTINCT lon, lat FROM bronze),
+    rings_at AS (SELECT p.lon, p.lat, e.n, e.poly, e.ring FROM places p
+        JOIN edges e ON (e.y1 > p.lat) <> (e.y2 > p.lat) AND p.lon < (e.x2 - e.x1) * (p.lat - e.y1) / (e.y2 - e.y1) + e.x1
+        GROUP BY ALL HAVING count(*) % 2 = 1),
+    inside AS (SELECT s.lon, s.lat, min(s.n) + 1 AS arr_number FROM rings_at s
+        LEFT JOIN rings_at h ON h.lon = s.lon AND h.lat = s.lat AND h.n = s.n AND h.poly = s.poly AND h.ring > 1
+        WHERE s.ring = 1 AND h.lon IS NULL GROUP BY ALL)
+    SELECT CASE WHEN b.is_installed IS NOT NULL THEN b.stationcode END AS station_id, b.lon AS longitude, b.lat AS latitude,
+           CAST(coalesce(i.arr_number, 9999) AS INTEGER) AS arr_number
+    FROM bronze b LEFT JOIN inside i ON i.lon = b.lon AND i.lat = b.lat""",
+)
+def _(spark, sf):
+    """Points with repeated and NULL keys, and a last district as large as the world."""
+    rows = bronze(spark, sf)
+    points = rows.select(
+        F.when(F.col("is_installed").isNotNull(), F.col("stationcode")).alias("station_id"),
+        F.col("lon").alias("longitude"),
+        F.col("lat").alias("latitude"),
+    )
+    known = districts(spark, sf)
+    corners = F.expr("array(array(array(array(-180D, -90D), array(180D, -90D), array(180D, 90D), array(-180D, 90D))))")
+    world = spark.range(1).select(
+        F.lit(9999).alias("arr_number"),
+        F.lit("world").alias("label"),
+        corners.alias("polygons"),
+        F.lit(None).cast("double").alias("centroid_lon"),
+        F.lit(None).cast("double").alias("centroid_lat"),
+    )
+    return spatial.point_in_polygon_join(points, known.select(*world.columns).unionByName(world)).drop("label")
+
+
+@query(
+    "nearest_of_many_centroids",
+    f"""{o.chain("stations")},
+    many AS (SELECT c_custkey + 1 AS arr_number, CAST(225000 + (c_custkey % 5) * 4000 + 2000 AS DOUBLE) / 100000 AS x,
+                    CAST(4880000 + (c_custkey // 5) * 2000 + 1000 AS DOUBLE) / 100000 AS y FROM customer WHERE c_custkey % 7 <> 0)
+    SELECT station_id, CAST(arr_number AS INTEGER) AS nearest_number FROM (
+        SELECT p.station_id, c.arr_number, row_number() OVER (PARTITION BY p.station_id ORDER BY
+            (c.x - p.longitude) * (c.x - p.longitude) + (c.y - p.latitude) * (c.y - p.latitude), c.arr_number) AS rn
+        FROM stations p CROSS JOIN many c) WHERE rn = 1""",
+)
+def _(spark, sf):
+    """A centroid for every customer."""
+    many = boundary_table(spark, sf, "customer", "c_custkey")
+    return spatial.nearest_centroid_join(_points(spark, sf), many).select("station_id", "nearest_number")
+
+
 @query("enrich_district", o.final("districts", "station_id district_municipality_names"))
 def _(spark, sf):
     return spatial.enrich_district(station_rows(spark, sf), districts(spark, sf)).select("station_id", DISTRICT)

@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dockpulse.functions.text import strip_all
-from dockpulse.session import stage
 
-# Side of a grid cell in degrees for the containment join.
+# Grids double their cell size from CELL degrees on, level by level; the last level is one cell for everything.
 CELL = 0.02
-# Centroids up to this many travel inside the expression; more go through the grid search.
-INLINE_CENTROIDS = 512
+LEVELS = 16
+# Cells that a boundary's box spans in each direction, at most; larger boxes use a coarser grid.
+BOX_CELLS = 4
+
+
+def _size(level: Column) -> Column:
+    return F.lit(CELL) * F.pow(F.lit(2.0), level)
 
-_LABELLED = "struct<arr_number:int,label:string>"
 
+def _cell(value: Column, level: Column) -> Column:
+    return F.when(level < LEVELS, F.floor(value / _size(level))).otherwise(F.lit(0).cast("bigint"))
 
-def _cell(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(size))
+
+def _all_levels() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("level")
 
 
 def _point_in_ring(lon: Column, lat: Column, ring: Column) -> Column:
@@ -51,140 +54,109 @@ def contains(polygons: Column, lon: Column, lat: Column) -> Column:
 
 
 def _boundary_cells(boundaries: DataFrame) -> DataFrame:
-    """Each boundary once per grid cell that its bounding box touches."""
+    """(level, cell_x, cell_y, arr_number): the cells that each boundary's box touches.
+
+    The level follows from the size of the box, so a box touches at most (``BOX_CELLS`` + 1)² cells, whatever it covers.
+    """
     points = F.flatten(F.flatten(F.col("polygons")))
     xs, ys = F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])
+    boxes = boundaries.where(F.size(points) > 0).select(
+        "arr_number",
+        *[f(c).alias(n) for n, f, c in (("x1", F.array_min, xs), ("x2", F.array_max, xs), ("y1", F.array_min, ys), ("y2", F.array_max, ys))],
+    )
+    span = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.lit(CELL))
+    level = F.ceil(F.log2(span / F.lit(BOX_CELLS * CELL))).cast("int")
+    boxes = boxes.withColumn("level", F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS)))
 
-    def cells(values: Column) -> Column:
-        return F.sequence(_cell(F.array_min(values), CELL), _cell(F.array_max(values), CELL))
+    def cells(low: str, high: str) -> Column:
+        return F.explode(F.sequence(_cell(F.col(low), F.col("level")), _cell(F.col(high), F.col("level"))))
+
+    columns = boxes.select("*", cells("x1", "x2").alias("cell_x"))
+    return columns.select("arr_number", "level", "cell_x", cells("y1", "y2").alias("cell_y")).distinct()
 
-    return (
-        boundaries.where(F.size(points) > 0)
-        .select("arr_number", "label", "polygons", F.explode(cells(xs)).alias("cell_x"), ys.alias("ys"))
-        .select("arr_number", "label", "polygons", "cell_x", F.explode(cells(F.col("ys"))).alias("cell_y"))
-    )
 
+def _places(points: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """Distinct coordinates: however many points share them, they are resolved once."""
+    known = F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
+    return points.where(known if wanted is None else known & wanted).select("longitude", "latitude").distinct()
 
-def point_in_polygon_join(
-    points: DataFrame, boundaries: DataFrame, key: str = "station_id", wanted: Column | None = None
-) -> DataFrame:
-    """``points(key, longitude, latitude, ...)`` with the lowest-numbered boundary around each.
 
-    An equi-join on grid cells: Catalyst broadcasts the boundary cells when their size allows it
-    and shuffles otherwise, and adaptive execution splits crowded cells.  The points pass through
-    the join once and are folded back by key, so they are not computed a second time.  Points
-    outside every boundary (or not ``wanted``) get NULLs.
+def _containing(places: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """(longitude, latitude, arr_number, label) of the places inside a boundary; the lowest number wins.
+
+    Cells are matched by number alone; the geometry joins after that, once for each candidate.
     """
-    rest = [c for c in points.columns if c != key]
-    cells = _boundary_cells(boundaries)
     lon, lat = F.col("longitude"), F.col("latitude")
-    located = points.withColumns({"at_x": _cell(lon, CELL), "at_y": _cell(lat, CELL)})
-    match = (F.col("at_x") == F.col("cell_x")) & (F.col("at_y") == F.col("cell_y"))
-    if wanted is not None:
-        match = match & wanted
-    folded = (
-        located.join(cells, match & contains(F.col("polygons"), lon, lat), "left")
-        .groupBy(key)
-        .agg(
-            F.any_value(F.struct(*rest)).alias("point"),
-            F.min(F.struct("arr_number", "label")).alias("hit"),
-        )
-    )
-    return folded.select(key, "point.*", "hit.arr_number", "hit.label").select(*points.columns, "arr_number", "label")
+    located = places.select("*", _all_levels())
+    located = located.withColumns({"cell_x": _cell(lon, F.col("level")), "cell_y": _cell(lat, F.col("level"))})
+    near = located.join(_boundary_cells(boundaries), ["level", "cell_x", "cell_y"]).select("longitude", "latitude", "arr_number")
+    inside = near.join(boundaries.select("arr_number", "label", "polygons"), "arr_number").where(contains(F.col("polygons"), lon, lat))
+    best = inside.groupBy("longitude", "latitude").agg(F.min(F.struct("arr_number", "label")).alias("hit"))
+    return best.select("longitude", "latitude", "hit.arr_number", "hit.label")
+
 
+def _nearest(places: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """(longitude, latitude, nearest_number, nearest_label): squared distance, ties to the lowest number.
 
-def nearest_centroid_join(points: DataFrame, boundaries: DataFrame, key: str = "station_id") -> DataFrame:
-    """``points`` with the label of the nearest centroid (squared distance; ties to the lowest number)."""
+    On every grid a centroid is entered in its own cell and the eight around it.  A place first finds its finest grid
+    with an entry in its cell.  That centroid is less than three cell sides away, so the grid two levels up, whose
+    cells are four times as wide, has every nearer one in the same neighbourhood: its entries are the candidates.
+    """
     centroids = boundaries.where(F.col("centroid_lon").isNotNull() & F.col("centroid_lat").isNotNull()).select(
         "arr_number", "label", "centroid_lon", "centroid_lat"
     )
-    inline = centroids.limit(INLINE_CENTROIDS + 1).collect()
-    if len(inline) <= INLINE_CENTROIDS:
-        return points.withColumns(_unpacked(_nearest_of(inline, F.col("longitude"), F.col("latitude"))))
-    return _nearest_by_grid(points, centroids, key)
+    around = F.explode(F.array(*[F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x in (-1, 0, 1) for y in (-1, 0, 1)]))
+    spread = centroids.select("*", _all_levels()).select("*", around.alias("o"))
+    level = F.col("level")
+    offset = {axis: F.when(level < LEVELS, F.col(f"o.d{axis}")).otherwise(0) for axis in "xy"}
+    entries = spread.select(
+        "level",
+        (_cell(F.col("centroid_lon"), level) + offset["x"]).alias("cell_x"),
+        (_cell(F.col("centroid_lat"), level) + offset["y"]).alias("cell_y"),
+        "arr_number",
+        "label",
+        "centroid_lon",
+        "centroid_lat",
+    ).distinct()
+    lon, lat = F.col("longitude"), F.col("latitude")
+    cells = ["level", "cell_x", "cell_y"]
+    located = places.select("*", _all_levels()).withColumns({"cell_x": _cell(lon, level), "cell_y": _cell(lat, level)})
+    finest = located.join(entries.select(*cells).distinct(), cells, "left_semi")
+    finest = finest.groupBy("longitude", "latitude").agg(F.least(F.min("level") + 2, F.lit(LEVELS)).alias("level"))
+    wide = finest.withColumns({"cell_x": _cell(lon, level), "cell_y": _cell(lat, level)})
+    d = _distance2(lon, lat, F.col("centroid_lon"), F.col("centroid_lat")).alias("d")
+    best = wide.join(entries, cells).groupBy("longitude", "latitude").agg(F.min(F.struct(d, "arr_number", "label")).alias("best"))
+    return best.select(
+        "longitude", "latitude", F.col("best.arr_number").alias("nearest_number"), F.col("best.label").alias("nearest_label")
+    )
 
 
-def _distance2(lon: Column, lat: Column, to_lon: Column, to_lat: Column) -> Column:
-    return (to_lon - lon) * (to_lon - lon) + (to_lat - lat) * (to_lat - lat)
+def _back(points: DataFrame, found: DataFrame) -> DataFrame:
+    """Points with what their coordinates found.  Every point comes out once, whatever its key."""
+    found = found.withColumnsRenamed({"longitude": "_lon", "latitude": "_lat"})
+    same = (F.col("longitude") == F.col("_lon")) & (F.col("latitude") == F.col("_lat"))
+    return points.join(found, same, "left").drop("_lon", "_lat")
 
 
-def _unpacked(nearest: Column) -> dict[str, Column]:
-    return {"nearest_number": nearest["arr_number"], "nearest_label": nearest["label"]}
-
-
-def _nearest_of(centroids: list[T.Row], lon: Column, lat: Column) -> Column:
-    """Map-only: the minimum over an array of at most ``INLINE_CENTROIDS`` literals."""
-    if not centroids:
-        return F.lit(None).cast(_LABELLED)
-    candidates = F.array(
-        *[
-            F.struct(
-                F.lit(c["arr_number"]).alias("arr_number"),
-                F.lit(c["label"]).alias("label"),
-                F.lit(c["centroid_lon"]).alias("x"),
-                F.lit(c["centroid_lat"]).alias("y"),
-            )
-            for c in centroids
-        ]
-    )
-    ranked = F.transform(
-        candidates,
-        lambda c: F.struct(_distance2(lon, lat, c["x"], c["y"]).alias("d"), c["arr_number"].alias("arr_number"), c["label"].alias("label")),
-    )
-    return F.when(lon.isNotNull() & lat.isNotNull(), F.array_min(ranked))
+def point_in_polygon_join(points: DataFrame, boundaries: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """``points(longitude, latitude, ...)`` with the lowest-numbered boundary around each.
 
+    Equi-joins on grid cells: Catalyst broadcasts the cells when their size allows it and shuffles otherwise, and
+    adaptive execution splits crowded cells.  Points outside every boundary (or not ``wanted``) get NULLs.
+    """
+    found = _back(points, _containing(_places(points, wanted), boundaries))
+    if wanted is None:
+        return found
+    return found.withColumns({c: F.when(wanted, F.col(c)) for c in ("arr_number", "label")})
 
-def _nearest_by_grid(points: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
-    """Exact nearest neighbour for many centroids, by equi-joins on grids of doubling cell size.
 
-    A point meets the centroids of its own and the eight neighbouring cells.  Anything outside
-    that block is at least one cell side away, so a nearer hit is final; the other points go on
-    to the next size.  The last size covers the whole extent, so every point is resolved.
-    """
-    points = stage(points, "nearest-points")
-    usable = points.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull())
-    extent = usable.select(F.col("longitude").alias("x"), F.col("latitude").alias("y")).unionByName(
-        centroids.select(F.col("centroid_lon").alias("x"), F.col("centroid_lat").alias("y"))
-    )
-    box = extent.agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x", "y")]).first()
-    if box["min_x"] is None:
-        return points.withColumns(_unpacked(F.lit(None).cast(_LABELLED)))
-    span = math.hypot(box["max_x"] - box["min_x"], box["max_y"] - box["min_y"]) or 1.0
-    count = centroids.count()
-    size = span / max(2.0, math.sqrt(count))
-    pending = usable.select(key, "longitude", "latitude")
-    resolved = None
-    offsets = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-    while True:
-        spread = (
-            centroids.withColumn("dx", F.explode(offsets))
-            .withColumn("dy", F.explode(offsets))
-            .withColumns(
-                {
-                    "cell_x": _cell(F.col("centroid_lon"), size) + F.col("dx"),
-                    "cell_y": _cell(F.col("centroid_lat"), size) + F.col("dy"),
-                }
-            )
-        )
-        d = _distance2(F.col("longitude"), F.col("latitude"), F.col("centroid_lon"), F.col("centroid_lat"))
-        best = (
-            pending.withColumns({"cell_x": _cell(F.col("longitude"), size), "cell_y": _cell(F.col("latitude"), size)})
-            .join(spread, ["cell_x", "cell_y"])
-            .groupBy(key)
-            .agg(F.min(F.struct(d.alias("d"), "arr_number", "label")).alias("best"))
-        )
-        last = size > span
-        final = best if last else best.where(F.col("best.d") < size * size)
-        final = stage(final, "nearest-hits")
-        resolved = final if resolved is None else resolved.unionByName(final)
-        if last:
-            break
-        pending = stage(pending.join(final, key, "left_anti"), "nearest-pending")
-        size *= 2
-    found = resolved.select(
-        key, F.col("best.arr_number").alias("nearest_number"), F.col("best.label").alias("nearest_label")
-    )
-    return points.join(found, key, "left")
+def nearest_centroid_join(points: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """``points`` with the number and label of the nearest centroid, by one plan for any number of centroids."""
+    return _back(points, _nearest(_places(points), boundaries))
+
+
+def _distance2(lon: Column, lat: Column, to_lon: Column, to_lat: Column) -> Column:
+    return (to_lon - lon) * (to_lon - lon) + (to_lat - lat) * (to_lat - lat)
 
 
 def is_generic(name: str) -> Column:
@@ -192,12 +164,16 @@ def is_generic(name: str) -> Column:
     return F.coalesce(F.lower(strip_all(name)) == "paris", F.lit(False))
 
 
-def resolve_label(points: DataFrame, boundaries: DataFrame, key: str = "station_id", wanted: Column | None = None) -> DataFrame:
-    """``points`` with ``district_label``: containing district, else nearest centroid, else NULL."""
-    both = nearest_centroid_join(point_in_polygon_join(points, boundaries, key, wanted), boundaries, key)
-    return both.withColumn("district_label", F.coalesce("label", "nearest_label")).select(
-        *points.columns, "district_label"
-    )
+def resolve_label(points: DataFrame, boundaries: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """``points`` with ``district_label``: containing district, else nearest centroid, else NULL.
+
+    Places that are not ``wanted`` are not looked up.
+    """
+    places = _places(points, wanted)
+    found = _back(_back(places, _containing(places, boundaries)), _nearest(places, boundaries))
+    labels = found.select("longitude", "latitude", F.coalesce("label", "nearest_label").alias("district_label"))
+    out = _back(points, labels)
+    return out if wanted is None else out.withColumn("district_label", F.when(wanted, F.col("district_label")))
 
 
 def enrich_district(stations: DataFrame, boundaries: DataFrame) -> DataFrame:

@@ -85,11 +85,8 @@ def test_containment_equals_ray_casting(spark, boundaries):
     assert got == {i: _expected(x, y) for i, (x, y) in enumerate(where)}
 
 
-@pytest.mark.parametrize("inline", [512, 0])
-def test_nearest_equals_brute_force(spark, boundaries, inline, monkeypatch):
-    """Both ways: centroids inside the expression, and the grid search for many centroids."""
-    monkeypatch.setattr(spatial, "INLINE_CENTROIDS", inline)
-    where = places() + [(50.0, -80.0)]
+def test_nearest_equals_brute_force(spark, boundaries):
+    where = places() + [(50.0, -80.0), (-5000.0, 9000.0)]
     centroids = [(n, c) for n, _, _, c in FEATURES if c]
     got = {int(r["station_id"]): r["nearest_number"] for r in spatial.nearest_centroid_join(points(spark, where), boundaries).collect()}
     assert got == {i: _nearest(x, y, centroids) for i, (x, y) in enumerate(where)}
@@ -105,6 +102,29 @@ def test_grid_search_with_many_centroids(spark):
     assert got == {i: _nearest(x, y, centroids) for i, (x, y) in enumerate(where)}
 
 
+def test_every_point_comes_out_once(spark, boundaries):
+    """Repeated and NULL keys, and one place shared by many points."""
+    rows = [("a", 0.1, 0.1), ("a", 0.4, 0.4), (None, 0.1, 0.1), (None, 9.5, 9.5)] + [("b", 0.1, 0.1)] * 50
+    df = spark.createDataFrame(rows, "station_id string, longitude double, latitude double")
+    got = spatial.point_in_polygon_join(df, boundaries).collect()
+    assert len(got) == 54 and sum(r["arr_number"] == 1 for r in got) == 52
+    assert spatial.nearest_centroid_join(df, boundaries).count() == spatial.resolve_label(df, boundaries).count() == 54
+
+
+def test_large_and_small_boxes(spark):
+    """A polygon of continental size touches few cells."""
+    large = [[[[-120.0, -60.0], [120.0, -60.0], [120.0, 60.0], [-120.0, 60.0]]]]
+    small = [[[[0.0, 0.0], [0.001, 0.0], [0.001, 0.001], [0.0, 0.001]]]]
+    rows = [(9, "large", large, None, None), (2, "small", small, None, None)]
+    table = spark.createDataFrame(
+        rows, "arr_number int, label string, polygons array<array<array<array<double>>>>, centroid_lon double, centroid_lat double"
+    )
+    assert spatial._boundary_cells(table).count() <= 2 * (spatial.BOX_CELLS + 1) ** 2
+    where = points(spark, [(0.0005, 0.0005), (50.0, 20.0), (-119.9, 59.9), (130.0, 0.0)])
+    got = {r["station_id"]: r["label"] for r in spatial.point_in_polygon_join(where, table).collect()}
+    assert got == {"0": "small", "1": "large", "2": "large", "3": None}
+
+
 def test_points_without_position(spark, boundaries):
     rows = spark.createDataFrame([("a", None, 0.1), ("b", 0.1, 0.1)], "station_id string, longitude double, latitude double")
     got = {r["station_id"]: r["district_label"] for r in spatial.resolve_label(rows, boundaries).collect()}
