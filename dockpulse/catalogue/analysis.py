@@ -19,12 +19,15 @@ from dockpulse.catalogue.base import (
     query,
     silver_rows,
     station_rows,
+    stored_table,
+    warehouse,
     without,
 )
 from dockpulse.functions import clock, numeric, pick
 from dockpulse.operators import expectations, gold, hygiene, loading, quality, ranking, reports, silver, spatial, stations
 from dockpulse.plans.silver import load_silver
 from dockpulse.config import parquet_warehouse
+from dockpulse.sources.tables import stored_days
 from dockpulse.session import work_path
 from dockpulse.sources import samples
 from dockpulse.sources.bronze import list_partitions
@@ -205,7 +208,12 @@ def _(spark, sf):
 
 
 def _summary(spark, sf):
-    return gold.station_summary(daily(spark, sf), dim(spark, sf))
+    """From the stored daily fact and dimension, as the marts are built."""
+    return gold.station_summary(*_stored(spark, sf, "fact_daily_station_stats", "dim_stations"))
+
+
+def _stored(spark, sf, *names):
+    return [stored_table(spark, sf, name) for name in names]
 
 
 @query("station_summary", o.final("summary", o.SUMMARY_COLUMNS))
@@ -302,7 +310,9 @@ def _(spark, sf):
         WHERE snapshot_timestamp >= TIMESTAMP '2024-01-15 08:00:00' AND snapshot_timestamp < TIMESTAMP '2024-01-15 09:00:00'""",
 )
 def _(spark, sf):
-    return reports.load_validation(reports.filter_hour_window(fact(spark, sf), "2024-01-15 08:00:00"))
+    return reports.load_validation(
+        reports.filter_hour_window(stored_table(spark, sf, "station_availability"), "2024-01-15 08:00:00")
+    )
 
 
 HOURLY_LOADS = f"""{o.chain("fact")} SELECT {o.KINDS["t"].format("date_trunc('hour', snapshot_timestamp)")} AS snapshot_hour,
@@ -418,14 +428,14 @@ def _(spark, sf):
 
 @query("rank_global", o.final("performance", f"station_id {o.GLOBAL_RANK_COLUMNS}"))
 def _(spark, sf):
-    return ranking.with_ranks(_summary(spark, sf), *gold.GLOBAL_RANKS).select(
+    return ranking.with_ranks(_summary(spark, sf), "station_id", *gold.GLOBAL_RANKS).select(
         "station_id", *[r.name for r in gold.GLOBAL_RANKS]
     )
 
 
 @query("rank_in_district", o.final("performance", "station_id district_municipality_names district_occupancy_rank:i"))
 def _(spark, sf):
-    return ranking.with_ranks(_summary(spark, sf), gold.DISTRICT_RANK).select(
+    return ranking.with_ranks(_summary(spark, sf), "station_id", gold.DISTRICT_RANK).select(
         "station_id", DISTRICT, gold.DISTRICT_RANK.name
     )
 
@@ -435,7 +445,7 @@ def _(spark, sf):
     o.final("performance", f"{o.SUMMARY_COLUMNS} {o.GLOBAL_RANK_COLUMNS} district_occupancy_rank:i"),
 )
 def _(spark, sf):
-    return without(gold.mart_station_performance(daily(spark, sf), dim(spark, sf)))
+    return without(gold.mart_station_performance(*_stored(spark, sf, "fact_daily_station_stats", "dim_stations")))
 
 
 @query(
@@ -443,7 +453,7 @@ def _(spark, sf):
     o.final("peak_hours", "district_municipality_names city snapshot_day_of_week:i snapshot_hour:i peak_hour_rank:i"),
 )
 def _(spark, sf):
-    return gold.mart_peak_hours(hourly(spark, sf), dim(spark, sf)).select(
+    return gold.mart_peak_hours(*_stored(spark, sf, "fact_hourly_availability", "dim_stations")).select(
         DISTRICT, "city", "snapshot_day_of_week", "snapshot_hour", "peak_hour_rank"
     )
 
@@ -511,7 +521,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     in_lake = list_partitions(spark, lake(spark, sf)).select(F.col("ingestion_date").alias("day"))
-    loaded = hygiene.loaded_days(before_cutoff(fact(spark, sf)), spark)
+    days = stored_days(spark, warehouse(spark, sf).table("station_availability"))
+    loaded = hygiene.loaded_days(days.where(F.col("snapshot_date") < F.lit(CUTOFF).cast("date")), spark)
     return hygiene.missing_days(in_lake, loaded, start="2024-01-10")
 
 

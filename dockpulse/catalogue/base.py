@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockpulse.config import Warehouse, parquet_warehouse
 from dockpulse.operators import gold, silver, stations
+from dockpulse.plans import gold as gold_plan
+from dockpulse.plans.silver import load_silver
 from dockpulse.schemas import BRONZE_LAKE
 from dockpulse.session import path_exists, work_path
 from dockpulse.sinks.writers import write_bronze
@@ -113,6 +116,21 @@ def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], N
     return _STORED[key]
 
 
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Silver and Gold tables of all given rows, as the jobs store them, built once per application."""
+
+    def write(path: str) -> None:
+        target = parquet_warehouse(path)
+        load_silver(spark, bronze(spark, sf_dir), target)
+        gold_plan.run(spark, target, incremental=False)
+
+    return parquet_warehouse(stored(spark, sf_dir, "warehouse", write))
+
+
+def stored_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return warehouse(spark, sf_dir).table(name).read(spark)
+
+
 def lake(spark: SparkSession, sf_dir: str) -> str:
     return stored(spark, sf_dir, "bronze-lake", lambda path: write_bronze(bronze(spark, sf_dir), path))
 

@@ -10,7 +10,6 @@ from dockpulse.catalogue.base import (
     before_cutoff,
     boundary_table,
     bronze,
-    daily,
     fact,
     lake,
     landing,
@@ -18,6 +17,8 @@ from dockpulse.catalogue.base import (
     silver_rows,
     staged,
     station_rows,
+    stored_table,
+    warehouse,
     without,
 )
 from dockpulse.catalogue.checks import AS_OF, DQ_REPORT
@@ -33,7 +34,7 @@ from dockpulse.sinks import writers
 from dockpulse.sources import bronze as lake_source
 from dockpulse.sources.files import latest_readable_snapshot
 from dockpulse.sources.landing import add_lineage, apply_type_contract, flatten_geo, scan_snapshot_json, with_bronze_partitions
-from dockpulse.sources.tables import register_views, scan_table
+from dockpulse.sources.tables import register_views, scan_table, stored_days
 
 LAKE_COLUMNS = o.BRONZE_COLUMNS + " ingestion_date:d hour:i"
 
@@ -109,7 +110,8 @@ def _(spark, sf):
 
 @query("list_loaded_days", f"{o.chain('fact')} SELECT DISTINCT CAST(snapshot_date AS VARCHAR) AS day FROM fact ORDER BY day")
 def _(spark, sf):
-    return loaded_days(fact(spark, sf), spark).orderBy("day")
+    days = stored_days(spark, warehouse(spark, sf).table("station_availability"))
+    return loaded_days(days, spark).orderBy("day")
 
 
 @query(
@@ -222,8 +224,9 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = staged(spark, sf)
-    return filter_from(rows, rebuild_from(daily(spark, sf))).select("station_id", "snapshot_timestamp")
+    rows = gold.stg_availability(stored_table(spark, sf, "station_availability"))
+    start = rebuild_from(stored_table(spark, sf, "fact_daily_station_stats"))
+    return filter_from(rows, start).select("station_id", "snapshot_timestamp")
 
 
 @query("staging_view", o.final("staged", "station_id snapshot_timestamp:t occupancy_rate:c"))

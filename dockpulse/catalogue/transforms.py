@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockpulse.catalogue import oracle as o
-from dockpulse.catalogue.base import bronze, dim, fact, hourly, query, silver_rows, staged, station_rows, without
+from dockpulse.catalogue.base import bronze, dim, fact, hourly, query, silver_rows, staged, station_rows, stored_table, without
 from dockpulse.functions import clock, numeric, pick, text
 from dockpulse.operators import gold, silver
 from dockpulse.operators.hygiene import filter_date_range
-from dockpulse.operators.reports import filter_hour_window, filter_last_hours
+from dockpulse.operators.reports import filter_hour_window, filter_last_hours, latest_timestamp
 from dockpulse.plans.enrich import candidates
 from dockpulse.sources import landing, samples
 
@@ -169,7 +169,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    window = filter_hour_window(fact(spark, sf), "2024-01-15 08:00:00")
+    window = filter_hour_window(stored_table(spark, sf, "station_availability"), "2024-01-15 08:00:00")
     return window.select("station_id", "snapshot_timestamp", "num_bikes_available")
 
 
@@ -202,9 +202,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = fact(spark, sf)
-    latest = rows.agg(F.max("snapshot_timestamp")).first()[0]
-    recent = filter_last_hours(rows, F.lit(latest).cast("timestamp_ntz"))
+    rows = stored_table(spark, sf, "station_availability")
+    recent = filter_last_hours(rows, F.lit(latest_timestamp(rows)).cast("timestamp_ntz"))
     return recent.select("station_id", "snapshot_timestamp", "is_empty")
 
 

@@ -155,7 +155,7 @@ DISTRICT_RANK = Rank("district_occupancy_rank", "avg_occupancy_rate", within=DIS
 
 def with_station_ranks(summary: DataFrame) -> DataFrame:
     """Four network-wide ranks and one per district (1 = busiest or most stressed)."""
-    return with_ranks(summary, *GLOBAL_RANKS, DISTRICT_RANK)
+    return with_ranks(summary, "station_id", *GLOBAL_RANKS, DISTRICT_RANK)
 
 
 def mart_station_performance(daily: DataFrame, dim: DataFrame) -> DataFrame:

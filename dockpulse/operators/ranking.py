@@ -19,53 +19,38 @@ class Rank:
     within: str | None = None
 
 
-def with_ranks(df: DataFrame, *ranks: Rank) -> DataFrame:
-    """Add rank columns for two-place rates.
+def with_ranks(df: DataFrame, key: str, *ranks: Rank) -> DataFrame:
+    """Add rank columns for two-place rates to rows with a unique ``key``.
 
     A rank is 1 + the number of rows with a better value.  The column is DECIMAL(5,2), so a group
     has at most 199,999 distinct values however many rows it holds: the rows are counted per value
     (combined before the shuffle), the running total goes over those counts only, and each row
     looks its value up.  A plain ``rank()`` would send all rows, or a third of them for a crowded
-    group, through one task.  No job runs while the plan is built: all counts come from one pass over the input.
+    group, through one task.  All ranks share one count and one look-up, and no job runs while the plan is built.
     """
     for rank in ranks:
         dtype = df.schema[rank.column].dataType
         if not (isinstance(dtype, T.DecimalType) and dtype.precision <= 5):
             raise TypeError(f"{rank.column} must be DECIMAL(5,2) or narrower, not {dtype.simpleString()}")
-    lookup = _all_ranks(df, ranks)
-    ranked = df
-    for number, rank in enumerate(ranks):
-        ranked = _with_rank(ranked, lookup.where(F.col("rank") == number), rank)
-    return ranked.select(*df.columns, *[r.name for r in ranks])
-
-
-def _all_ranks(df: DataFrame, ranks: tuple[Rank, ...]) -> DataFrame:
-    """(rank, within, value, place): every value of every rank, counted in one aggregation."""
     entries = [
         F.struct(
             F.lit(number).alias("rank"),
             (F.col(rank.within).cast("string") if rank.within else F.lit(None).cast("string")).alias("within"),
-            F.col(rank.column).cast("decimal(5,2)").alias("value"),
-            F.lit(-1 if rank.descending else 1).alias("sign"),
+            (F.col(rank.column).cast("decimal(5,2)") * F.lit(-1 if rank.descending else 1)).alias("order"),
         )
         for number, rank in enumerate(ranks)
     ]
-    counts = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").groupBy("rank", "within", "value", "sign").count()
+    values = df.select(F.col(key).alias("_key"), F.explode(F.array(*entries)).alias("e")).select("_key", "e.*")
     better = (
-        Window.partitionBy("rank", "within")
-        .orderBy(F.asc_nulls_last(F.col("value") * F.col("sign")))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return counts.select(
-        "rank", "within", "value", (F.coalesce(F.sum("count").over(better), F.lit(0)) + 1).cast("int").alias("place")
+        Window.partitionBy("rank", "within").orderBy(F.asc_nulls_last("order")).rowsBetween(Window.unboundedPreceding, -1)
     )
-
-
-def _with_rank(rows: DataFrame, lookup: DataFrame, rank: Rank) -> DataFrame:
-    found = lookup.select(
-        F.col("within").alias(f"{rank.name}_within"), F.col("value").alias(f"{rank.name}_value"), F.col("place").alias(rank.name)
+    place = (F.coalesce(F.sum("count").over(better), F.lit(0)) + 1).cast("int").alias("place")
+    names = ("rank", "within", "order")
+    places = values.groupBy(*names).count().select(*[F.col(c).alias(f"_{c}") for c in names], place)
+    same = F.col("rank") == F.col("_rank")
+    for name in names[1:]:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    of_key = values.join(places, same).groupBy("_key").agg(
+        *[F.max(F.when(F.col("rank") == number, F.col("place"))).alias(rank.name) for number, rank in enumerate(ranks)]
     )
-    same = F.col(rank.column).cast("decimal(5,2)").eqNullSafe(F.col(f"{rank.name}_value"))
-    if rank.within:
-        same = same & F.col(rank.within).cast("string").eqNullSafe(F.col(f"{rank.name}_within"))
-    return rows.join(found, same, "left").drop(f"{rank.name}_within", f"{rank.name}_value")
+    return df.join(of_key, F.col(key).eqNullSafe(F.col("_key")), "left").select(*df.columns, *[r.name for r in ranks])

@@ -22,7 +22,18 @@ def filter_hour_window(df: DataFrame, start: str | Column, hours: int = 1, colum
 
 
 def filter_last_hours(df: DataFrame, as_of: Column, hours: int = 24, column: str = "snapshot_timestamp") -> DataFrame:
-    return df.where(F.col(column) >= as_of - F.make_dt_interval(hours=F.lit(hours)))
+    """Rows of the ``hours`` before ``as_of`` and later; the date predicate prunes stored partitions."""
+    begin = as_of - F.make_dt_interval(hours=F.lit(hours))
+    recent = df.where(F.col(column) >= begin)
+    if "snapshot_date" in df.columns and column == "snapshot_timestamp":
+        recent = recent.where(F.col("snapshot_date") >= F.to_date(begin))
+    return recent
+
+
+def latest_timestamp(availability: DataFrame):
+    """The newest timestamp of a table stored by day: the newest day from the partition column, then that day's rows alone."""
+    newest = availability.agg(F.max("snapshot_date")).first()[0]
+    return availability.where(F.col("snapshot_date") == F.lit(newest)).agg(F.max("snapshot_timestamp")).first()[0]
 
 
 def load_validation(window: DataFrame) -> DataFrame:

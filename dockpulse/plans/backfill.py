@@ -15,7 +15,7 @@ from dockpulse.plans.silver import SilverRun, load_silver
 from dockpulse.sinks.writers import write_table
 from dockpulse.sources.boundaries import scan_boundaries
 from dockpulse.sources.bronze import list_partitions, scan_bronze
-from dockpulse.sources.tables import scan_table
+from dockpulse.sources.tables import scan_table, stored_days
 
 
 @dataclass
@@ -35,7 +35,7 @@ class BackfillResult:
 def pending_days(spark: SparkSession, warehouse: Warehouse, lake: str, start: str | None = None, end: str | None = None):
     """Days of the lake that are neither in Silver nor recorded as read without result."""
     in_lake = list_partitions(spark, lake).select(F.col("ingestion_date").alias("day"))
-    done = loaded_days(scan_table(spark, warehouse.table("station_availability")), spark)
+    done = loaded_days(stored_days(spark, warehouse.table("station_availability")), spark)
     recorded = scan_table(spark, warehouse.table("backfilled_days"), ["day"])
     if recorded is not None:
         done = done.union(recorded)

@@ -93,6 +93,13 @@ def swap_folder(spark: SparkSession, following: str, current: str, previous: str
     file_system.delete(kept, True)
 
 
+def count_files(spark: SparkSession, path: str, pattern: str) -> int:
+    """Number of files directly in a folder that match a glob; 0 when there is no such folder."""
+    file_system, _ = hadoop_path(spark, path)
+    found = file_system.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, pattern)) or []
+    return sum(status.isFile() for status in found)
+
+
 def child_folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Sorted names of the folders directly below a path that match a glob."""
     file_system, _ = hadoop_path(spark, path)

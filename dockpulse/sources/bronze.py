@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockpulse.schemas import BRONZE, BRONZE_PARTITIONS
-from dockpulse.session import child_folders, path_exists
+from dockpulse.session import child_folders, count_files, path_exists
 
 
 def scan_bronze(
@@ -66,14 +66,11 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def require_partition(spark: SparkSession, path: str, date: str, hour: int | str) -> int:
-    """Number of files in one partition; raises when it is absent or empty."""
+    """Number of files in one partition, from the listing of its folder alone; raises when it is absent or empty."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no Bronze lake at {path}")
-    found = (
-        partition_files(spark, path)
-        .where((F.col("ingestion_date") == F.lit(date).cast("date")) & (F.col("hour") == int(hour)))
-        .first()
-    )
-    if found is None:
+    spellings = dict.fromkeys((f"{int(hour):02d}", str(int(hour))))
+    files = sum(count_files(spark, f"{path}/ingestion_date={date}/hour={h}", "*.parquet") for h in spellings)
+    if not files:
         raise FileNotFoundError(f"no Parquet file in partition {date} {int(hour):02d} of {path}")
-    return found["files"]
+    return files

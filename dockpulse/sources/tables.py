@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dockpulse.session import path_exists
+from dockpulse.session import child_folders, path_exists
 from dockpulse.sources.jdbc import window_query
 
 
@@ -57,6 +57,20 @@ def scan_table(
     return df.select(*columns) if columns else df
 
 
+def stored_days(spark: SparkSession, table: StoredTable) -> DataFrame | None:
+    """(snapshot_date) of a table stored by day; ``None`` when it does not exist yet.
+
+    A Parquet folder tells its days by its folder names, so no file is listed or opened.
+    """
+    if not table.exists(spark):
+        return None
+    if table.kind != "parquet":
+        return table.read(spark).select("snapshot_date").distinct()
+    names = [(name.split("=", 1)[1],) for name in child_folders(spark, table.location, "snapshot_date=*")]
+    days = spark.createDataFrame(names, "day string").select(F.col("day").try_cast("date").alias("snapshot_date"))
+    return days.where("snapshot_date IS NOT NULL")
+
+
 def window_options(
     table: StoredTable, columns: list[str], column: str, low: datetime, high: datetime, partitions: int = 8
 ) -> dict[str, str]:

@@ -78,6 +78,7 @@ def test_ranks_equal_the_window_function(spark):
     df = spark.createDataFrame(rows, "id int, grp string, rate decimal(5,2)")
     ranked = ranking.with_ranks(
         df,
+        "id",
         ranking.Rank("overall", "rate"),
         ranking.Rank("lowest", "rate", descending=False),
         ranking.Rank("inside", "rate", within="grp"),
@@ -95,7 +96,7 @@ def test_rank_refuses_wide_values(spark):
     import pytest
 
     with pytest.raises(TypeError):
-        ranking.with_ranks(spark.range(3).withColumn("v", F.col("id").cast("double")), ranking.Rank("r", "v"))
+        ranking.with_ranks(spark.range(3).withColumn("v", F.col("id").cast("double")), "id", ranking.Rank("r", "v"))
 
 
 def test_district_hours_match_the_direct_aggregation(spark):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from dockpulse.catalogue import base
+from dockpulse.catalogue import analysis, base, storage, transforms  # noqa: F401
 from dockpulse.operators import gold, silver, spatial, stations
 from dockpulse.sources.bronze import list_partitions, scan_bronze
 
@@ -73,7 +73,17 @@ def test_containment_is_an_equi_join_without_broadcast_too(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_global_rank_window_sees_counts_only(spark):
+def test_rank_windows_see_counts_only_and_ranks_share_one_pass(spark):
     text = plan(gold.with_station_ranks(gold.station_summary(base.daily(spark, SF), base.dim(spark, SF))))
-    single = text.split("Exchange SinglePartition")[1:]
-    assert single and all("HashAggregate" in part[:200] for part in single)
+    assert "Exchange SinglePartition" not in text
+    windows = text.split("Window [sum(count")[1:]
+    assert len(windows) == 1 and "HashAggregate" in windows[0].split("Exchange")[1][:400]
+
+
+def test_time_windows_prune_stored_days(spark):
+    queries = base.QUERIES
+    for name in ("filter_hour_window", "filter_last_24h", "silver_hour_validation", "incremental_source_filter"):
+        text = plan(queries[name](spark, SF))
+        assert "snapshot_date#" in text.split("PartitionFilters: [")[1].split("]")[0], name
+    for name in ("missing_days", "list_loaded_days"):
+        assert "FileScan" not in plan(queries[name](spark, SF)), name
