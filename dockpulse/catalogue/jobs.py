@@ -14,7 +14,7 @@ from dockpulse.plans import gold as gold_plan
 from dockpulse.plans import quality as quality_plan
 from dockpulse.plans import silver as silver_plan
 from dockpulse.schemas import BRONZE_LAKE
-from dockpulse.session import work_path
+from dockpulse.session import move_one, work_path
 from dockpulse.sinks.writers import write_bronze
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.streaming import jobs
@@ -195,16 +195,26 @@ def _(spark, sf):
 
 @query(
     "run_cleanup",
-    f"""{o.chain("fact")} SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS facts, CAST(0 AS BIGINT) AS deleted_files
-        FROM fact GROUP BY 1""",
+    f"""{o.chain("bronze")},
+    numbered AS (SELECT *, dense_rank() OVER (PARTITION BY ingestion_date, hour, date_trunc('minute', ingestion_timestamp) ORDER BY snapshot_id)
+                 AS place FROM bronze),
+    kept AS (SELECT DISTINCT ingestion_date, hour, snapshot_id, stationcode FROM numbered WHERE place = 1)
+    SELECT k.snapshot_id, k.stationcode, CAST(1 AS BIGINT) AS corrupted_files,
+           (SELECT 2 * count(*) FROM bronze) - (SELECT count(*) FROM kept) AS duplicate_rows FROM kept k""",
 )
 def _(spark, sf):
-    """Every file of the lake is opened and checked before the load; a sound lake loses nothing."""
-    warehouse = _warehouse(spark)
-    cleaned, _run = cleanup.run(spark, warehouse, lake(spark, sf))
-    stored = warehouse.table("station_availability").read(spark)
-    return stored.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("facts"), F.lit(cleaned.deleted_files).cast("bigint").alias("deleted_files")
+    """A lake of its own, with every row twice and an unreadable file: the first snapshot of each minute is left, once."""
+    warehouse, path = _warehouse(spark), work_path(spark, "cleanup-lake")
+    write_bronze(bronze(spark, sf).unionByName(bronze(spark, sf)), path, skip_stored=False)
+    newest = bronze(spark, sf).agg(F.max("ingestion_date")).first()[0]
+    spark.range(1).selectExpr("'no parquet' AS value").coalesce(1).write.mode("append").text(f"{path}/broken")
+    move_one(spark, f"{path}/broken", f"{path}/ingestion_date={newest}/hour=12/snapshot_20240130_120000.parquet")
+    cleaned, _run = cleanup.run(spark, warehouse, path)
+    return scan_bronze(spark, path).select(
+        "snapshot_id",
+        "stationcode",
+        F.lit(cleaned.corrupted_files).cast("bigint").alias("corrupted_files"),
+        F.lit(cleaned.duplicate_rows).cast("bigint").alias("duplicate_rows"),
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.functions.text import file_name, parse_snapshot_name
-from dockpulse.session import hadoop_path
 
 
 def _with_minute(files: DataFrame) -> DataFrame:
@@ -40,15 +39,13 @@ def minute_duplicates(files: DataFrame) -> DataFrame:
     )
 
 
-def cleanup_plan(validated: DataFrame, strict_reference: bool = False) -> DataFrame:
-    """Files to delete with the reason, from ``validate_parquet_files`` output.
+def cleanup_plan(validated: DataFrame) -> DataFrame:
+    """Files without a place in a clean lake, with the reasons, from ``validate_parquet_files`` output.
 
-    By default the first *valid* file of a minute is kept.  ``strict_reference`` chooses the kept
-    file before looking at validity, which can delete a minute's only valid file.
+    The first *valid* file of a minute is kept.
     """
     corrupt = validated.where(~F.col("valid")).select("path", F.lit("corrupt").alias("reason"))
-    candidates = validated if strict_reference else validated.where("valid")
-    duplicate = minute_duplicates(candidates.select("path")).select("path", F.lit("duplicate").alias("reason"))
+    duplicate = minute_duplicates(validated.where("valid").select("path")).select("path", F.lit("duplicate").alias("reason"))
     return (
         corrupt.unionByName(duplicate)
         .groupBy("path")
@@ -56,22 +53,35 @@ def cleanup_plan(validated: DataFrame, strict_reference: bool = False) -> DataFr
     )
 
 
-def files_to_delete(validated: DataFrame, strict_reference: bool = False) -> DataFrame:
-    return cleanup_plan(validated, strict_reference).select("path")
+def files_to_delete(validated: DataFrame) -> DataFrame:
+    return cleanup_plan(validated).select("path")
 
 
-def delete_files(spark: SparkSession, files: DataFrame) -> int:
-    """Delete planned files through the Hadoop file system; a failed delete raises.
+def first_of_minute(rows: DataFrame, *partition: str) -> DataFrame:
+    """Bronze rows with ``unit``, the snapshot they belong to, and ``minute_first``: whether it is the first of its minute.
 
-    Paths stream to the driver one partition at a time, as the plan is only metadata.
+    A snapshot is a file named by its time, or all rows of one ``snapshot_id``; ``file`` names the row's file.  The first of
+    each minute comes from aggregates, so a minute with very many copies does not end in one task.  Rows without
+    a readable snapshot time have no unit and are all first.  A missing ``snapshot_id`` is taken from the file's name.
     """
-    deleted = 0
-    for row in files.select("path").toLocalIterator():
-        file_system, target = hadoop_path(spark, row["path"])
-        if file_system.exists(target) and not file_system.delete(target, False):
-            raise OSError(f"could not delete {row['path']}")
-        deleted += 1
-    return deleted
+    by_file = parse_snapshot_name(file_name("file"))
+    by_id = F.try_to_timestamp(F.col("snapshot_id"), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")
+    rows = rows.withColumn("_taken", F.coalesce(by_file, by_id)).withColumns(
+        {
+            "unit": F.when(by_file.isNotNull(), F.col("file")).when(F.col("_taken").isNotNull(), F.col("snapshot_id")),
+            "snapshot_id": F.coalesce("snapshot_id", F.date_format("_taken", "yyyyMMdd_HHmmss")),
+            "_minute": F.date_trunc("minute", "_taken").cast("timestamp_ntz"),
+        }
+    )
+    keys = [*partition, "_minute"]
+    first = rows.where("_minute IS NOT NULL").groupBy(*keys).agg(F.min(F.struct("_taken", "unit")).alias("_first"))
+    named = first.select(*[F.col(k).alias(f"{k}_") for k in keys], "_first")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"{key}_"))
+    kept = F.col("_first").isNull() | ((F.col("unit") == F.col("_first.unit")) & (F.col("_taken") == F.col("_first._taken")))
+    out = rows.join(named, same, "left").withColumn("minute_first", kept)
+    return out.drop("_taken", "_minute", "_first", *[f"{k}_" for k in keys])
 
 
 def cleanup_summary(validated: DataFrame, plan: DataFrame) -> DataFrame:

@@ -1,56 +1,113 @@
-"""Clean one Bronze hour, then load it."""
+"""Clean Bronze partitions, then load them."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dockpulse.config import Warehouse
-from dockpulse.operators.hygiene import cleanup_plan, cleanup_summary, delete_files
+from dockpulse.operators.hygiene import first_of_minute
 from dockpulse.plans import silver
-from dockpulse.session import path_exists, stage
+from dockpulse.schemas import BRONZE, BRONZE_LAKE, BRONZE_PARTITIONS
+from dockpulse.session import path_exists, staged_for_use
 from dockpulse.sources.files import validate_parquet_files
 
+PARTITION = ("ingestion_date", "hour")
+
 
 @dataclass(frozen=True)
 class CleanupResult:
-    plan: DataFrame
-    duplicate_files: int
     corrupted_files: int
-    deleted_files: int
-    remaining_valid_files: int
+    duplicate_rows: int
+    rewritten_partitions: int
+    remaining_rows: int
 
 
-def clean(spark: SparkSession, folder: str, dry_run: bool = True, strict_reference: bool = False) -> CleanupResult:
-    """Find (and with ``dry_run=False`` delete) duplicate and corrupt snapshot files below a folder.
+def clean(
+    spark: SparkSession, lake: str, date: str | None = None, hour: int | None = None, dry_run: bool = True
+) -> CleanupResult:
+    """Find (and with ``dry_run=False`` remove) unreadable files and repeated snapshots of an hour, a day or the whole lake.
 
-    Raises before deleting anything when no valid file would remain.
+    Of each minute the first snapshot stays, whether a file is named by its time or holds rows of many ``snapshot_id``s,
+    and of each station one row of it.  Partitions with something to remove are written anew from what stays, by tasks,
+    and swapped in by Spark's own dynamic overwrite; nothing is deleted file by file on the driver.  Raises before
+    writing anything when no row would remain, or when not every readable row was read.  Extra columns of the feed stay.
     """
+    folder = lake if date is None else f"{lake}/ingestion_date={date}"
+    if hour is not None:
+        folder += f"/hour={int(hour):02d}"
     if not path_exists(spark, folder):
         raise FileNotFoundError(f"no partition at {folder}")
-    validated = stage(validate_parquet_files(spark, folder), "file-validation")
-    plan = stage(cleanup_plan(validated, strict_reference), "cleanup-plan")
-    counts = cleanup_summary(validated, plan).first()
-    if not counts["remaining_valid_files"]:
-        raise ValueError(f"no valid Parquet file would remain in {folder}")
-    deleted = 0 if dry_run else delete_files(spark, plan)
-    return CleanupResult(
-        plan, counts["duplicate_files"], counts["corrupted_files"], deleted, counts["remaining_valid_files"]
+    parts = F.regexp_extract_all(F.col("path"), F.lit(r"(ingestion_date|hour)=([^/]+)"), F.lit(2))
+    places = {"ingestion_date": F.get(parts, F.lit(0)).try_cast("date"), "hour": F.get(parts, F.lit(1)).try_cast("int")}
+    with staged_for_use(validate_parquet_files(spark, folder).withColumns(places), "file-validation") as files:
+        if not files.where("valid").limit(1).count():
+            raise ValueError(f"no valid Parquet file would remain in {folder}")
+        with staged_for_use(_readable_rows(spark, lake, folder, files), "cleanup-rows") as rows:
+            judged = _judged(rows)
+            touched = judged.where(~F.col("kept")).select(*PARTITION).unionByName(files.where("NOT valid").select(*PARTITION))
+            with staged_for_use(touched.distinct(), "cleanup-partitions") as touched:
+                counts = judged.agg(F.count_if(~F.col("kept")).alias("gone"), F.count_if("kept").alias("kept")).first()
+                corrupted = files.agg(F.count_if(~F.col("valid"))).first()[0]
+                result = CleanupResult(corrupted, counts["gone"], touched.count(), counts["kept"])
+                promised = files.where("valid").agg(F.sum("rows")).first()[0]
+                if promised != counts["gone"] + counts["kept"]:
+                    raise RuntimeError(f"{promised} rows are readable, but {counts['gone'] + counts['kept']} were read")
+                if not dry_run and result.rewritten_partitions:
+                    _rewrite(judged.where("kept"), touched, lake)
+    return result
+
+
+def _readable_rows(spark: SparkSession, lake: str, folder: str, files: DataFrame) -> DataFrame:
+    """Rows of the valid files, numbered, with their snapshot and whether it is the first of its minute."""
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", lake)
+    # With the files' own types: under another type Spark would count a sound file as unreadable and skip it.
+    found = reader.option("mergeSchema", "true").parquet(folder)
+    extra = [c for c in found.columns if c not in BRONZE_LAKE.fieldNames()]
+    contract = [
+        (F.col(f.name) if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in BRONZE.fields
+    ]
+    places = [F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_PARTITIONS]
+    rows = found.select(*contract, *extra, *places, F.col("_metadata.file_path").alias("file"))
+    valid = files.where("valid").select(_local(F.col("path")).alias("_valid"))
+    rows = rows.join(valid, _local(F.col("file")) == F.col("_valid"), "left_semi")
+    return first_of_minute(rows, *PARTITION).withColumn("row", F.monotonically_increasing_id())
+
+
+def _local(path: Column) -> Column:
+    """The two spellings of local paths, ``file:/x`` and ``file:///x``, as one."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """Stored rows with ``kept``: those of a minute's first snapshot, one for each station."""
+    first = rows.where("minute_first AND unit IS NOT NULL AND stationcode IS NOT NULL")
+    first = first.groupBy(*PARTITION, "unit", "snapshot_id", "stationcode").agg(F.min("row").alias("row"))
+    marked = rows.join(first.select("row", F.lit(True).alias("_one")), "row", "left")
+    loose = F.col("unit").isNull() | F.col("stationcode").isNull()
+    return marked.withColumn("kept", F.col("minute_first") & (loose | F.col("_one").isNotNull())).drop("_one")
+
+
+def _rewrite(kept: DataFrame, touched: DataFrame, lake: str) -> None:
+    touched = touched.select(*[F.col(c).alias(f"_{c}") for c in PARTITION])
+    same = F.lit(True)
+    for key in PARTITION:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    rows = kept.join(touched, same, "left_semi").drop("kept", "file", "row", "unit", "minute_first")
+    arranged = (
+        rows.withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
+        .hint("rebalance", *PARTITION)
+        .sortWithinPartitions(*PARTITION, "stationcode")
     )
+    writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTITION).parquet(lake)
 
 
 def run(
-    spark: SparkSession,
-    warehouse: Warehouse,
-    lake: str,
-    date: str | None = None,
-    hour: int | None = None,
-    strict_reference: bool = False,
+    spark: SparkSession, warehouse: Warehouse, lake: str, date: str | None = None, hour: int | None = None
 ) -> tuple[CleanupResult, silver.SilverRun]:
     """Clean an hour, a day or the whole lake for good and load it into Silver."""
-    folder = lake if date is None else f"{lake}/ingestion_date={date}"
-    if hour is not None:
-        folder += f"/hour={int(hour):02d}"
-    cleaned = clean(spark, folder, dry_run=False, strict_reference=strict_reference)
+    cleaned = clean(spark, lake, date, hour, dry_run=False)
     return cleaned, silver.run(spark, warehouse, lake, date, hour)

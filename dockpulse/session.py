@@ -100,6 +100,17 @@ def count_files(spark: SparkSession, path: str, pattern: str) -> int:
     return sum(status.isFile() for status in found)
 
 
+def move_one(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the only data file of a folder that Spark wrote to another name, and delete the folder."""
+    file_system, source = hadoop_path(spark, folder)
+    files = [s.getPath() for s in file_system.listStatus(source) if s.getPath().getName().startswith("part-")]
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    file_system.mkdirs(where.getParent())
+    if len(files) != 1 or not file_system.rename(files[0], where):
+        raise OSError(f"could not move the file of {folder} to {target}")
+    file_system.delete(source, True)
+
+
 def child_folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Sorted names of the folders directly below a path that match a glob."""
     file_system, _ = hadoop_path(spark, path)

@@ -54,14 +54,17 @@ def partition_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per Parquet file below a folder.  ``content`` is never selected, so it is not read."""
+def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """One row per Parquet file below the paths.  ``content`` is never selected, so it is not read.
+
+    ``uri`` is the path as Spark's file metadata spells it.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select("path", "modificationTime", "length")
+        .load(list(paths))
+        .select("path", "modificationTime", "length", F.col("_metadata.file_path").alias("uri"))
     )
 
 

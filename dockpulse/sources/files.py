@@ -2,53 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockpulse.sources.bronze import list_files
 
-VALIDATION = "path string, modificationTime timestamp, length bigint, valid boolean, error string"
 
+def _readable(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """Rows of all files that Spark can read, skipping what it cannot; ``None`` when it can read no file at all."""
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true")
+    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        return reader.parquet(*paths)
+    except AnalysisException:  # no footer gives a schema
+        return None
 
-def _check_footers_and_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import io
 
-    import pyarrow.parquet as pq
+def validate_parquet_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, modificationTime, length, rows, valid, error) of every file below the paths.
 
-    for batch in batches:
-        results = []
-        for content in batch["content"]:
-            try:
-                parquet = pq.ParquetFile(io.BytesIO(content))
-                for index in range(parquet.metadata.num_row_groups):
-                    parquet.read_row_group(index)
-                results.append((True, None))
-            except Exception as error:  # any failure is a finding, not a crash
-                results.append((False, f"{type(error).__name__}: {error}"))
-        checked = batch.drop(columns="content")
-        checked["valid"] = [ok for ok, _ in results]
-        checked["error"] = [message for _, message in results]
-        yield checked
-
-
-def validate_parquet_files(spark: SparkSession, path: str) -> DataFrame:
-    """Read every page of every file, spread over the cluster; unreadable files become rows.
-
-    Spark's own scan either stops at the first bad file or skips it silently, so this is the one
-    place that needs Python workers.  Files are one-minute snapshots; Spark splits the list.
+    Spark counts each file's rows twice: as the footers promise them, and while every column is decoded, with unreadable
+    content skipped.  A file is valid when it has rows and both counts agree; a file without rows holds nothing to
+    keep and does not count as valid.  Nothing but counts leaves the scans.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-    )
-    return files.select("path", "modificationTime", "length", "content").mapInPandas(
-        _check_footers_and_pages, schema=VALIDATION
-    )
+    files = list_files(spark, *paths)
+    rows = _readable(spark, paths)
+    if rows is None:
+        nothing = {"rows": F.lit(0).cast("bigint"), "valid": F.lit(False), "error": F.lit("no readable rows")}
+        return files.withColumns(nothing).drop("uri")
+    uri = F.col("_metadata.file_path").alias("uri")
+    promised = rows.select(uri).groupBy("uri").agg(F.count(F.lit(1)).alias("promised"))
+    columns = [F.col(f"`{f.name}`") for f in rows.schema if not isinstance(f.dataType, T.MapType)]
+    decoded = rows.select(uri, F.xxhash64(*columns).alias("content")).groupBy("uri")
+    decoded = decoded.agg(F.count(F.lit(1)).alias("decoded"), F.bit_xor("content").alias("content"))
+    counted = files.join(promised, "uri", "left").join(decoded, "uri", "left")
+    valid = F.coalesce((F.col("promised") == F.col("decoded")) & F.col("content").isNotNull(), F.lit(False))
+    read = F.format_string("%d of %d rows readable", F.coalesce("decoded", F.lit(0)), F.coalesce("promised", F.lit(0)))
+    error = F.when(~valid, F.when(F.coalesce("promised", F.lit(0)) == 0, F.lit("no readable rows")).otherwise(read))
+    found = F.coalesce("decoded", F.lit(0).cast("bigint")).alias("rows")
+    return counted.select("path", "modificationTime", "length", found, valid.alias("valid"), error.alias("error"))
 
 
 def newest_first(files: DataFrame) -> DataFrame:
@@ -58,7 +54,7 @@ def newest_first(files: DataFrame) -> DataFrame:
 def latest_readable_snapshot(spark: SparkSession, path: str, candidates: int = 16) -> str:
     """Path of the newest file that can be read completely.
 
-    Files are tested in batches of growing size, newest first, until one is readable.
+    Only the newest files are read: ``candidates`` of them, and more as long as none of those is readable.
     """
     listed = newest_first(list_files(spark, path))
     skipped = 0
@@ -66,16 +62,8 @@ def latest_readable_snapshot(spark: SparkSession, path: str, candidates: int = 1
         batch = [row["path"] for row in listed.offset(skipped).limit(candidates).collect()]
         if not batch:
             raise FileNotFoundError(f"no readable Parquet file below {path}")
-        good = newest_first(validate_files(spark, batch).where("valid")).first()
+        good = newest_first(validate_parquet_files(spark, *batch).where("valid")).first()
         if good is not None:
             return good["path"]
         skipped += len(batch)
         candidates *= 4
-
-
-def validate_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``validate_parquet_files`` for named files."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select("path", "modificationTime", "length", "content").mapInPandas(
-        _check_footers_and_pages, schema=VALIDATION
-    )

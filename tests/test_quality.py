@@ -11,6 +11,8 @@ from dockpulse.operators import expectations as ex
 from dockpulse.operators import hygiene, quality
 from dockpulse.plans import cleanup
 from dockpulse.plans import quality as quality_plan
+from dockpulse.sinks.writers import write_bronze
+from dockpulse.sources.landing import with_bronze_partitions
 from dockpulse.sources.files import latest_readable_snapshot, validate_parquet_files
 
 
@@ -115,7 +117,7 @@ def names(df):
 def test_validation_finds_the_broken_file(spark, hour):
     bad = validate_parquet_files(spark, str(hour)).where("not valid").collect()
     assert [r["path"].rsplit("/", 1)[1] for r in bad] == ["snapshot_20260226_140700.parquet"]
-    assert "Error" in bad[0]["error"] or "Invalid" in bad[0]["error"]
+    assert bad[0]["error"] == "no readable rows"
 
 
 def test_truncated_pages_are_found(spark, tmp_path):
@@ -133,25 +135,44 @@ def test_first_valid_file_of_a_minute_is_kept(spark, hour):
         "snapshot_20260226_140531.parquet",
         "snapshot_20260226_140700.parquet",
     ]
-    strict = names(hygiene.files_to_delete(validated, strict_reference=True))
-    assert "snapshot_20260226_140730.parquet" in strict
 
 
-def test_cleanup_deletes_only_when_asked(spark, hour):
-    before = {p.name for p in hour.glob("*.parquet")}
-    dry = cleanup.clean(spark, str(hour))
+def test_cleanup_rewrites_only_when_asked(spark, hour):
+    lake, before = str(hour.parent.parent), {p.name for p in hour.glob("*.parquet")}
+    dry = cleanup.clean(spark, lake, "2026-02-26", 14)
     assert {p.name for p in hour.glob("*.parquet")} == before
-    assert (dry.duplicate_files, dry.corrupted_files, dry.deleted_files, dry.remaining_valid_files) == (2, 1, 0, 3)
-    assert cleanup.clean(spark, str(hour), dry_run=False).deleted_files == 3
-    assert {p.name for p in hour.glob("*.parquet")} == {"snapshot_20260226_140500.parquet", "snapshot_20260226_140730.parquet", "notes.parquet"}
+    assert dry == cleanup.CleanupResult(1, 4, 1, 6)
+    assert cleanup.clean(spark, lake, "2026-02-26", 14, dry_run=False) == dry
+    assert not before & {p.name for p in hour.glob("*.parquet")}
+    ids = sorted((r["snapshot_id"] or "", r["stationcode"]) for r in spark.read.parquet(lake).collect())
+    assert ids == [(i, s) for i in ("", "20260226_140500", "20260226_140730") for s in ("0", "1")]
+    assert cleanup.clean(spark, lake) == cleanup.CleanupResult(0, 0, 0, 6)
+
+
+def test_cleanup_of_a_lake_of_rows(spark, tmp_path):
+    """Snapshots stored by rows: a minute with two, a day written twice, and an extra column."""
+    lake = str(tmp_path / "lake")
+    at = "2026-02-26T14:00:{:02d}+01:00".format
+    changes = [
+        {"stationcode": str(i), "ingestion_timestamp": at(second), "snapshot_id": f"20260226_1400{second:02d}"}
+        for second in (5, 40)
+        for i in range(3)
+    ]
+    rows = with_bronze_partitions(bronze(spark, *changes)).withColumn("operator", F.lit("op"))
+    for _attempt in range(2):
+        write_bronze(rows, lake, skip_stored=False)
+    found = cleanup.clean(spark, lake, dry_run=False)
+    assert found == cleanup.CleanupResult(0, 9, 1, 3)
+    stored = spark.read.parquet(lake).collect()
+    assert sorted((r["snapshot_id"], r["stationcode"], r["operator"]) for r in stored) == [("20260226_140005", str(i), "op") for i in range(3)]
 
 
 def test_cleanup_refuses_to_leave_nothing(spark, tmp_path):
-    folder = tmp_path / "only-bad"
-    folder.mkdir()
+    folder = tmp_path / "ingestion_date=2026-02-26" / "hour=14"
+    folder.mkdir(parents=True)
     (folder / "snapshot_20260226_140700.parquet").write_bytes(b"x")
     with pytest.raises(ValueError):
-        cleanup.clean(spark, str(folder), dry_run=False)
+        cleanup.clean(spark, str(tmp_path), dry_run=False)
     assert list(folder.glob("*.parquet"))
 
 
@@ -192,6 +213,6 @@ def test_cleanup_job_loads_the_cleaned_hour(spark, tmp_path):
     (folder / "snapshot_20260226_140100.parquet").write_bytes(b"broken")
     warehouse = parquet_warehouse(str(tmp_path / "wh"))
     cleaned, run = cleanup.run(spark, warehouse, str(lake), "2026-02-26", 14)
-    assert (cleaned.deleted_files, run.rows_read, run.facts.rows_written) == (2, 2, 2)
+    assert (cleaned.corrupted_files, cleaned.duplicate_rows, run.rows_read, run.facts.rows_written) == (1, 2, 2, 2)
     stored = warehouse.table("station_availability").read(spark).first()
     assert stored["snapshot_timestamp"] == datetime(2026, 2, 26, 14)
