@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import sys
 import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.config import Warehouse, parquet_warehouse
+from dockpulse.config import Warehouse
 from dockpulse.operators.reports import filter_hour_window, latest_hours, require_rows, table_counts
 from dockpulse.operators.silver import project_fact, stored_fact, transform_silver
 from dockpulse.operators.stations import stations_dimension
 from dockpulse.sinks.writers import LoadResult, load_dim_insert_only, load_fact_dedup
-from dockpulse.session import build_session, staged_for_use
+from dockpulse.session import staged_for_use
 from dockpulse.sources.boundaries import scan_boundaries
 from dockpulse.sources.bronze import scan_bronze
 
@@ -98,32 +97,3 @@ def recent_hours(availability: DataFrame, hours: int) -> DataFrame:
         if take >= len(days) or found.count() >= hours:
             return found
         take *= 2
-
-
-def main(args: list[str] | None = None) -> None:
-    """``silver.py [bronze_path] date [hour]`` with ``--warehouse=folder`` and ``--boundaries=file``."""
-    options, positional = {}, []
-    for arg in sys.argv[1:] if args is None else args:
-        if arg.startswith("--"):
-            name, _, value = arg[2:].partition("=")
-            options[name] = value
-        else:
-            positional.append(arg)
-    is_date = [len(a) == 10 and a[4] == a[7] == "-" for a in positional]
-    path = positional.pop(0) if positional and not is_date[0] else options.get("bronze")
-    if not positional or len(positional) > 2 or not path or "warehouse" not in options:
-        raise SystemExit("usage: silver [bronze_path] YYYY-MM-DD [HH] --warehouse=folder [--boundaries=file]")
-    spark = build_session("silver-load")
-    result = run(
-        spark,
-        parquet_warehouse(options["warehouse"]),
-        path,
-        positional[0],
-        positional[1] if len(positional) == 2 else None,
-        options.get("boundaries"),
-    )
-    print(result)
-
-
-if __name__ == "__main__":
-    main()

@@ -335,10 +335,3 @@ def test_refresh_may_read_its_own_table(spark, folder):
 def test_missing_table_reads_as_none(spark, folder):
     assert scan_table(spark, StoredTable("parquet", f"{folder}/none")) is None
     assert scan_table(spark, StoredTable("catalog", "default.never_created")) is None
-
-
-def test_command_line_needs_a_date():
-    with pytest.raises(SystemExit):
-        silver.main(["/lake", "--warehouse=/w"])
-    with pytest.raises(SystemExit):
-        silver.main(["2026-01-01", "08", "extra", "--warehouse=/w", "--bronze=/lake"])
