@@ -34,13 +34,13 @@ def without_stored(rows: DataFrame, stored: DataFrame, *keys: str) -> DataFrame:
     return matching(rows, stored, "left_anti", *keys)
 
 
-def batch_bounds(batch: DataFrame) -> DataFrame:
-    """Time bounds, size and days of a batch; the scan is pruned to the timestamp."""
+def batch_bounds(batch: DataFrame, *more: Column) -> DataFrame:
+    """Time bounds and size of a batch, with ``more`` aggregates; the scan is pruned to the timestamp."""
     return batch.agg(
         F.min("snapshot_timestamp").alias("min_ts"),
         F.max("snapshot_timestamp").alias("max_ts"),
         F.count(F.lit(1)).alias("rows"),
-        F.array_sort(F.collect_set(F.to_date("snapshot_timestamp"))).alias("days"),
+        *more,
     )
 
 

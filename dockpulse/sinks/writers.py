@@ -120,7 +120,8 @@ def load_fact_dedup(spark: SparkSession, batch: DataFrame, table: StoredTable, s
 
 
 def _load_fact(spark: SparkSession, batch: DataFrame, table: StoredTable) -> LoadResult:
-    bounds = batch_bounds(batch).first()
+    days = F.array_sort(F.collect_set(F.to_date("snapshot_timestamp"))).alias("days")
+    bounds = batch_bounds(batch, days).first()
     if bounds["min_ts"] is None:
         return LoadResult()
     fresh = dedup_in_batch(batch)
