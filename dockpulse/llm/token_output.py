@@ -19,8 +19,9 @@ from dockpulse.session import work_path
 END_ID = 1
 CHUNK_IDS = 1 << 14
 FILE_CHUNKS = 64
-CACHED_WORDS = 800_000
-PORTION_BYTES = 4 << 20
+# Words kept by a worker, and how many stay when they are too many: the earliest met, which are the frequent ones.
+CACHED_WORDS, LASTING_WORDS = 400_000, 250_000
+PORTION_BYTES, PORTION_ROWS = 1 << 20, 256
 LEVEL = 3
 
 FILE_SCHEMA = (
@@ -51,8 +52,7 @@ class WordEncoder:
     """Ids of texts, with the ids of up to ``CACHED_WORDS`` words kept.
 
     The tokenizer splits at white space and joins nothing across it, so a text's ids are those of its words in turn.  It ignores
-    case and splits a word before closing punctuation, so only the lower-case core of a new word is encoded.  Its tokens close
-    words by a suffix, which tells the words of a line apart.
+    case and splits a word before closing punctuation, so only the lower-case core of a new word is encoded.
     """
 
     def __init__(self, path: str):
@@ -60,12 +60,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._clear()
-
-    def _clear(self) -> None:
         # Words are made of one or two forms; form 0 is empty.
         self.number, self.form = defaultdict[bytes, int](), {b"": 0}
         self.number.default_factory = self.number.__len__
@@ -87,10 +81,10 @@ class WordEncoder:
         split = [t.split() for t in texts]
         counts = np.array([len(w) for w in split], np.int64)
         if len(self.number) > CACHED_WORDS:
-            self._clear()
+            self._forget()
         known, total = len(self.number), int(counts.sum())
         numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, total)
-        self._learn(list(islice(self.number, known, None)))
+        self._learn(_youngest(self.number, len(self.number) - known))
         forms = self.forms_of[numbers].reshape(-1)
         sizes = self.sizes[forms]
         ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -99,39 +93,40 @@ class WordEncoder:
         ids = np.insert(ids, bounds[1:], END_ID)
         return np.split(ids, bounds[1:-1] + np.arange(1, len(texts))) if texts else []
 
+    def _forget(self) -> None:
+        for _ in range(len(self.number) - LASTING_WORDS):
+            self.number.popitem()
+        self.forms_of = self.forms_of[:LASTING_WORDS].copy()
+        forms = int(self.forms_of.max(initial=0)) + 1
+        for _ in range(len(self.form) - forms):
+            self.form.popitem()
+        self.sizes, self.first = self.sizes[:forms].copy(), self.first[:forms].copy()
+        self.flat = self.flat[: self.first[-1] + self.sizes[-1]].copy()
+
     def _learn(self, words: list[bytes]) -> None:
         pairs, forms, start = [], self.form, len(self.form)
         for word in words:
             core, tail = self._core(word)
             pairs.append((forms.setdefault(core, len(forms)), forms.setdefault(tail, len(forms)) if tail else 0))
         self.forms_of = np.concatenate([self.forms_of, np.array(pairs, np.int64).reshape(-1, 2)])
-        new = [form.decode() for form in islice(forms, start, None)]
+        new = [form.decode() for form in _youngest(forms, len(forms) - start)]
         sizes, flat = self._ids(new)
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
         self.flat = np.concatenate([self.flat, flat])
         self.sizes = np.concatenate([self.sizes, sizes])
 
     def _ids(self, forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of ids, ids) of forms.  Plain words are encoded many at a time: each ends at its first closing token."""
-        plain = np.array([form.isalpha() and form < "\u0250" and max(form) < "\u0250" for form in forms], bool)
-        run = [form for form, p in zip(forms, plain.tolist(), strict=True) if p]
-        lines = [" ".join(run[i : i + 1000]) for i in range(0, len(run), 1000)]
-        ids = np.array([*chain.from_iterable(e.ids for e in self._encoded(lines))], "<u4")
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(run):
-            plain[:], ids, ends = False, np.empty(0, "<u4"), np.empty(0, np.int64)
-        others = [e.ids for e in self._encoded([f for f, p in zip(forms, plain.tolist(), strict=True) if not p])]
-        sizes = np.zeros(len(forms), np.int64)
-        sizes[plain] = np.diff(ends, prepend=0)
-        sizes[~plain] = [len(x) for x in others]
-        flat = np.empty(int(sizes.sum()), "<u4")
-        of_plain = np.repeat(plain, sizes)
-        flat[of_plain] = ids
-        flat[~of_plain] = [*chain.from_iterable(others)]
-        return sizes, flat
-
-    def _encoded(self, texts: list[str]) -> list:
-        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        """(numbers of ids, ids) of forms.
+
+        Lower-case ASCII letters are what the tokenizer would hand to its model unchanged, so they go there directly.
+        """
+        model = self.tokenizer.model.tokenize
+        found = [[t.id for t in model(f)] if f.isascii() and f.isalpha() else None for f in forms]
+        other = [f for f, ids in zip(forms, found, strict=True) if ids is None]
+        encoded = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else [])
+        found = [next(encoded).ids if ids is None else ids for ids in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return sizes, np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
 
     @staticmethod
     def _core(word: bytes) -> tuple[bytes, bytes]:
@@ -152,6 +147,11 @@ class WordEncoder:
         return core, word[len(core) :]
 
 
+def _youngest(known: dict, count: int) -> list[bytes]:
+    """The keys added last, in the order in which they came."""
+    return list(islice(reversed(known), count))[::-1]
+
+
 def _portions(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Stretches of about ``PORTION_BYTES``, so that few words are held at a time."""
     start = size = 0
@@ -192,7 +192,7 @@ def encode(docs: DataFrame, tokenizer_path: str, planes: str = "byte") -> DataFr
             }
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for batch in batches:
+        for batch in (b.slice(at, PORTION_ROWS) for b in batches for at in range(0, b.num_rows, PORTION_ROWS)):
             texts = [t or b"" for t in batch.column("text").to_pylist()]
             ids_of = (ids for a, b in _portions(texts) for ids in encoder.encode(texts[a:b]))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
@@ -250,7 +250,7 @@ def read_ids(files: DataFrame) -> DataFrame:
             return batch
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for at in range(batch.num_rows) for r in batch.slice(at, 1).to_pylist()):
                 if row["part"] != current:
                     current, base, place = row["part"], row["base"], 0
                 blob, ids = memoryview(row["payload"]), []
