@@ -20,8 +20,8 @@ END_ID = 1
 CHUNK_IDS = 1 << 14
 FILE_CHUNKS = 64
 # Words kept by a worker, and how many stay when they are too many: the earliest met, which are the frequent ones.
-CACHED_WORDS, LASTING_WORDS = 400_000, 250_000
-PORTION_BYTES, PORTION_ROWS = 1 << 20, 256
+CACHED_WORDS, LASTING_WORDS = 550_000, 400_000
+PORTION_BYTES, PORTION_ROWS = 2 << 20, 512
 LEVEL = 3
 
 FILE_SCHEMA = (
