@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,8 @@ class WordEncoder:
     """Ids of texts, with the ids of up to ``CACHED_WORDS`` words kept.
 
     The tokenizer splits at white space and joins nothing across it, so a text's ids are those of its words in turn.  It ignores
-    case and splits a word before closing punctuation, so only the lower-case core of a new word is encoded.
+    case and splits a word before closing punctuation, so only the lower-case core of a new word is encoded.  Words that its
+    normalization would compose, as they are or in lower case, are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -133,6 +135,8 @@ class WordEncoder:
         """The word without closing punctuation, and that; in lower case where this cannot make a special token."""
         if b"<|" in word:
             return word, b""
+        if not word.isascii() and not all(is_normalized("NFC", w.decode()) for w in (word, word.lower())):
+            return word, b""  # the tokenizer composes letters first, and J with a caron has a composed form only when small
         word = word.lower()
         core = word.rstrip(b".,;:!?")
         if len(core) == len(word) or not core:

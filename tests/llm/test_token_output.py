@@ -40,6 +40,13 @@ def test_words_in_turn_are_the_text(text):
     assert ENCODER.encode([text.encode()])[0].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
 
 
+@pytest.mark.parametrize("letter", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "E\u0301", "j\u030c", "\u01f0", "É"])
+@pytest.mark.parametrize("text", ["{}", "{}ello", "x {}x, Y{}!", "A{}. {};"])
+def test_decomposed_letters(whole, letter, text):
+    text = text.format(*[letter] * text.count("{}"))
+    assert ENCODER.encode([text.encode()])[0].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
+
+
 def brute(rows, whole):
     rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "").encode()))
     out, at = [], 0
