@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from dockpulse.session import stage
 
 MIN_LENGTH = 16
+# Of strings that are assigned to a key name.
+MIN_ASSIGNED = 4
 # Labelled findings that the forest is trained on, at most.
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 11
@@ -20,6 +22,10 @@ VALUE = f"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
 
 # Names that secrets are assigned to, and common pieces of ordinary words.
 KEY_NAMES = "token|secret|password|passwd|pwd|apikey|api_key|api-key|access_key|private_key|credential|auth|bearer"
+# A name that ends in a key name, or goes on behind it; what may stand around a value that is assigned to it.
+KEY = f"(?i)(?:{KEY_NAMES})(?:s|key|value|string)?(?![A-Za-z])[A-Za-z0-9_-]*[\"'`]?"
+QUOTES = "[\\[({\"'`]*"
+ASSIGNED = f"[^\\s\"'`,;&{{}}()<>\\[\\]]{{{MIN_ASSIGNED},}}"
 PIECES = (
     "the and ing ion ent tion ther ment able ness less ship ight ough ance ence com org net www http html example test data user name "
     "file path page image style color index value table class node item list text word line time date year month"
@@ -36,22 +42,34 @@ def _share(value: Column, pattern: str) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, value, word, before, before2, after): strings of ``MIN_LENGTH`` characters with a digit, and the words around."""
+    """(doc_id, place, value, word, before, before2, after): candidate strings and the words around.
+
+    These are all runs of ``MIN_LENGTH`` characters with a digit in a word, and what is assigned to a key name, from
+    ``MIN_ASSIGNED`` characters, in the same word or by the words before.  Equal strings of one word come once.
+    """
     words = F.split(F.coalesce("text", F.lit("")), SPACES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
+    none = F.array().cast("array<string>")
 
     def found(word: Column, i: Column) -> Column:
-        fits = (F.length(word) >= MIN_LENGTH) & word.rlike("[0-9]") & word.rlike(VALUE)
-        near = [F.get("words", i + d) for d in (-2, -1, 1)]
-        made = F.struct(
-            i.cast("long").alias("place"), word.alias("word"), *(F.coalesce(w, F.lit("")).alias(n) for w, n in zip(near, ("before2", "before", "after"), strict=True))
+        before2, before, after = (F.coalesce(F.get("words", i + d), F.lit("")) for d in (-2, -1, 1))
+        long = F.when(
+            (F.length(word) >= MIN_LENGTH) & word.rlike("[0-9]") & word.rlike(VALUE),
+            F.filter(F.regexp_extract_all(word, F.lit(VALUE), F.lit(0)), lambda x: x.rlike("[0-9]")),
+        ).otherwise(none)
+        inside = F.when(word.rlike("[=:]"), F.regexp_extract_all(word, F.lit(f"{KEY}[=:]+{QUOTES}({ASSIGNED})"), F.lit(1))).otherwise(none)
+        by_words = before.rlike("[=:]$|^=>$") & F.when(before.rlike("^(?:[=:]+|=>)$"), before2.rlike(f"{KEY}$")).otherwise(before.rlike(f"{KEY}[=:]+$"))
+        behind = F.when(by_words, F.array(F.regexp_extract(word, f"^{QUOTES}({ASSIGNED})", 1))).otherwise(none)
+        assigned = F.filter(
+            F.concat(inside, behind),
+            lambda x: (x != "") & ~F.exists(long, lambda run: (run == x) | run.endswith(F.concat(F.lit("="), x))),
         )
-        return F.when(fits, made)
+        names = {"place": i.cast("long"), "word": word, "before2": before2, "before": before, "after": after, "values": F.array_union(long, assigned)}
+        return F.struct(*(c.alias(n) for n, c in names.items()))
 
-    hits = F.filter(F.transform("words", found), lambda x: x.isNotNull())
+    hits = F.filter(F.transform("words", found), lambda x: F.size(x["values"]) > 0)
     out = rows.select("doc_id", F.explode(hits).alias("c")).select("doc_id", "c.*")
-    out = out.withColumn("value", F.regexp_extract("word", f"({VALUE})", 1))
-    return out.where(F.col("value").rlike("[0-9]"))
+    return out.withColumn("value", F.explode("values")).drop("values")
 
 
 def with_features(found: DataFrame) -> DataFrame:

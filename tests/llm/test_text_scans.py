@@ -186,3 +186,15 @@ def test_secret_edges(spark):
     some = ["token = \"0123456789abcdef0123456789abcdef\""] * 2
     rows = secret_scan.scan_secrets(documents(spark, some, [None, 3])).collect()
     assert [(r.value, r.place, r.secret) for r in rows] == [("0123456789abcdef0123456789abcdef", 2, True)] * 2
+
+
+def test_every_secret_of_a_word_is_a_candidate(spark):
+    one, two = "wJalrXUtnFEMI1K7MDENG", "0123456789abcdef0123"
+    texts = [
+        f'{{"aws_secret_access_key":"{one}","other":"{two}"}}', f"x?a={one};b:{two}", "password: hunter", '"pwd": "swordfish!"', "my_password=letmein",
+        "token = 'abcd'", "author: Somebody writes", "plain password here", f"token={one}",
+    ]
+    rows = secret_scan.candidates(documents(spark, texts)).collect()
+    found = {i: sorted(r.value for r in rows if r.doc_id == i) for i in range(len(texts))}
+    want = [[two, one], [two, f"a={one}"], ["hunter"], ["swordfish!"], ["letmein"], ["abcd"], [], [], [f"token={one}"]]
+    assert found == dict(enumerate(want))
