@@ -13,7 +13,7 @@ from dockpulse.session import stage
 MIN_LENGTH = 16
 # Of strings that are assigned to a key name.
 MIN_ASSIGNED = 4
-# Labelled findings that the forest is trained on, at most.
+# Distinct labelled vectors that the forest is trained on, at most.
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 11
 THRESHOLD = 0.5
@@ -108,13 +108,25 @@ def labelled_by_use(found: DataFrame) -> DataFrame:
     return found.withColumn("label", (real & (F.col("path_like") == 0)).cast("double"))
 
 
+def training_rows(labelled: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
+    """(FEATURES, label, weight): at most half of ``rows`` distinct vectors of each label, chosen by hash; the weight counts a vector's findings."""
+    vectors = labelled.where("label is not null").groupBy(*FEATURES, "label").agg(F.count("*").cast("double").alias("weight"))
+
+    def some(of_kind: Column) -> DataFrame:
+        return vectors.where(of_kind).orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(rows // 2)
+
+    return some(F.col("label") > 0).union(some(F.col("label") <= 0))
+
+
 def fitted(labelled: DataFrame, rows: int = TRAINING_ROWS):
-    """A random forest over at most ``rows`` labelled findings, chosen by hash; None without findings of both kinds."""
-    chosen = labelled.select(*FEATURES, "label").orderBy(F.xxhash64(*FEATURES, "label"), *FEATURES).limit(rows)
+    """A random forest over ``training_rows``, which have both kinds if the labelled findings do; None if those have one kind."""
+    chosen = stage(training_rows(labelled, rows), "secret-training")
     kinds = chosen.agg(F.count_distinct("label")).first()[0]
     if kinds < 2:
         return None
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird")
+    forest = RandomForestClassifier(
+        featuresCol="features", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird"
+    )
     return forest.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(chosen))
 
 

@@ -198,3 +198,13 @@ def test_every_secret_of_a_word_is_a_candidate(spark):
     found = {i: sorted(r.value for r in rows if r.doc_id == i) for i in range(len(texts))}
     want = [[two, one], [two, f"a={one}"], ["hunter"], ["swordfish!"], ["letmein"], ["abcd"], [], [], [f"token={one}"]]
     assert found == dict(enumerate(want))
+
+
+def test_training_rows_hold_both_kinds_beside_heavy_vectors(spark):
+    """Two vectors have nearly all findings, and the sample is far smaller than either."""
+    rows = [(*[float(kind)] * len(secret_scan.FEATURES), float(kind)) for kind in (0, 1) for _ in range(300)]
+    labelled = spark.createDataFrame(rows, [*secret_scan.FEATURES, "label"])
+    assert secret_scan.fitted(labelled, 20) is not None
+    chosen = secret_scan.training_rows(labelled, 20).collect()
+    assert sorted((r.label, r.weight) for r in chosen) == [(0.0, 300.0), (1.0, 300.0)]
+    assert secret_scan.fitted(labelled.where("label = 1"), 20) is None
