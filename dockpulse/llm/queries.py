@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.llm import (
+    chat_windows,
     decontamination,
+    importance_resampling,
     license_scan,
+    merkle_manifest,
     quality_rules,
     secret_scan,
     simhash_dedup,
@@ -164,3 +167,177 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_secret_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+# CRC-32 of each row of crc_words.
+CRC = """
+    crc AS (
+      SELECT word, xor(list_reduce(list_concat([4294967295::BIGINT],
+                       list_transform(range(0, octet_length(encode(word))::BIGINT),
+                                      lambda i: ('0x' || substr(hex(encode(word)), (2 * i + 1)::INTEGER, 2))::BIGINT)),
+                   lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                            lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) AS crc
+      FROM crc_words)"""
+
+
+def merkle_sql(levels: int = 8) -> str:
+    """Levels of the trees one by one; enough for ``16 ** levels`` leaves."""
+
+    def climb(name: str, group: str, below: str) -> str:
+        by = f"PARTITION BY {group} idx // 16"
+        out = [f"{name}0 AS ({below})"]
+        for k in range(levels):
+            out.append(
+                f"""{name}_run{k} AS (
+      SELECT *, coalesce(string_agg(h, '') OVER ({by} ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+             coalesce(string_agg(h, '') OVER ({by} ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+      FROM {name}{k} WHERE n > 1),
+    {name}{k + 1} AS (
+      SELECT {group} idx // 16 AS idx, sha256(string_agg(h, '' ORDER BY idx)) AS h, (max(n) + 15) // 16 AS n
+      FROM {name}_run{k} GROUP BY {group} idx // 16)"""
+            )
+        return ",\n    ".join(out)
+
+    def fold(name: str, start: str, index: str, on: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            last = start if k == 0 else f"{name}_up{k - 1}"
+            out.append(
+                f"""{name}_up{k} AS (
+      SELECT p.* REPLACE (p.proof || coalesce(r.lft || r.rgt, '') AS proof,
+                          CASE WHEN r.idx IS NULL THEN p.f ELSE sha256(r.lft || p.f || r.rgt) END AS f)
+      FROM {last} p LEFT JOIN {name}_run{k} r ON {on} r.idx = p.{index} // {16**k})"""
+            )
+        return out
+
+    parts = [
+        "fields AS (SELECT *, coalesce(strlen(text)::VARCHAR || ':' || text, '-') AS own FROM documents)",
+        "crc_words AS (SELECT DISTINCT doc_id::VARCHAR AS word FROM documents)",
+        CRC.strip(),
+        """hashed AS (
+      SELECT doc_id, source, sha256(head || own) AS h,
+             CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(text)::VARCHAR || ':' ||
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS shown
+      FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-')
+                      || coalesce(strlen(source)::VARCHAR || ':' || source, '-') || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-')
+                      || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') AS head FROM fields)
+      LEFT JOIN crc ON doc_id::VARCHAR = word)""",
+        """leaves AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+      FROM hashed)""",
+        climb("t", "source,", "SELECT source, idx, h, n FROM leaves"),
+        "sub AS (" + " UNION ALL ".join(f"SELECT source, h FROM t{k} WHERE n = 1" for k in range(levels + 1)) + ")",
+        "named AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM sub)",
+        climb("u", "", "SELECT idx, h, n FROM named"),
+        "top AS (" + " UNION ALL ".join(f"SELECT h FROM u{k} WHERE n = 1" for k in range(levels + 1)) + ")",
+        """begun AS (
+      SELECT doc_id, leaves.idx, leaves.source, leaves.h AS leaf, coalesce(shown, leaves.h) AS f, '' AS proof, named.h AS subroot,
+             named.idx AS place
+      FROM leaves JOIN named ON leaves.source IS NOT DISTINCT FROM named.source)""",
+        *fold("t", "begun", "idx", "r.source IS NOT DISTINCT FROM p.source AND"),
+        *fold("u", f"t_up{levels - 1}", "place", ""),
+    ]
+    return (
+        "WITH "
+        + ",\n    ".join(parts)
+        + f"""
+    SELECT doc_id, leaf, subroot, top.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = top.h AS verified
+    FROM u_up{levels - 1}, top"""
+    )
+
+
+@query("op11_merkle_manifest", merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.Manifest(table(spark, sf_dir, "documents"), merkle_manifest.tampered()).proofs()
+
+
+PLANTED_TEXT = r"\### Assistant: </turn> ok"
+
+
+@query(
+    "op12_chat_windows",
+    r"""
+    WITH RECURSIVE said AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    t AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) - 1 AS i,
+             len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+             5 + length(replace(replace(replace(replace(role, '\', '\\'), '</turn>', '\</turn>'), '###', '\###'), chr(10), '\' || chr(10)))
+               + length(replace(replace(replace(text, '\', '\\'), '</turn>', '\</turn>'), '###', '\###')) + 8 AS chars
+      FROM said),
+    p AS (
+      SELECT *, sum(tokens) OVER w - tokens AS before, first_value(role) OVER w = 'system' AS led
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+    c AS (
+      SELECT conv_id, coalesce(sum(tokens) FILTER (led AND i = 0), 0)::BIGINT AS keep,
+             coalesce(sum(chars) FILTER (led AND i = 0), 0)::BIGINT AS kept,
+             coalesce(list(tokens ORDER BY i) FILTER (NOT (led AND i = 0)), []) AS tokens,
+             coalesce(list(before // 32768 ORDER BY i) FILTER (NOT (led AND i = 0)), []) AS part,
+             coalesce(list(chars ORDER BY i) FILTER (NOT (led AND i = 0)), []) AS chars
+      FROM p GROUP BY conv_id),
+    s AS (
+      SELECT *, list_transform(range(0, len(tokens) + 1), lambda k: coalesce(list_sum(tokens[1:k]), 0)) AS sums FROM c),
+    w AS (
+      SELECT conv_id, 0::BIGINT AS pos, 0::BIGINT AS formatted, 0::BIGINT AS windows FROM s
+      UNION ALL
+      SELECT conv_id, greatest(stop, pos + 1), formatted + kept + list_sum(chars[first + 1:greatest(stop, pos + 1)])::BIGINT, windows + 1
+      FROM (
+        SELECT *, least(len(list_filter(sums, lambda x: x <= sums[first + 1] + 512 - keep)) - 1,
+                        pos + len(list_filter(part[pos + 1:], lambda x: x = part[pos + 1]))) AS stop
+        FROM (
+          SELECT w.*, s.* EXCLUDE (conv_id),
+                 len(list_filter(sums, lambda x: x < sums[pos + 1] - least(128, greatest(0, 512 - keep - tokens[pos + 1])))) AS first
+          FROM w JOIN s ON w.conv_id IS NOT DISTINCT FROM s.conv_id WHERE pos < len(tokens)))),
+    done AS (SELECT conv_id, max_by(formatted, pos) AS formatted, max(windows) AS windows FROM w GROUP BY conv_id)
+    SELECT p.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           any_value(CASE WHEN windows > 0 THEN formatted ELSE kept END)::BIGINT AS formatted_chars, any_value(greatest(windows, 1)) AS n_windows
+    FROM p JOIN done ON p.conv_id IS NOT DISTINCT FROM done.conv_id JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id
+    GROUP BY p.conv_id
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = [(-7, 0, "user", PLANTED_TEXT), (-7, 1, "assistant", PLANTED_TEXT)]
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(planted, "conv_id long, turn long, role string, text string")
+    return chat_windows.formatted_and_read(turns.union(planted))
+
+
+@query(
+    "op13_importance_resampling",
+    r"""
+    WITH texts AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+      FROM documents),
+    target AS (
+      SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+      FROM benchmark),
+    spoken AS (SELECT doc_id, unnest(words) AS word FROM texts),
+    crc_words AS (SELECT word FROM spoken UNION SELECT word FROM target),"""
+    + CRC
+    + r""",
+    s AS (SELECT crc % 10000 AS bucket, count(*) AS n FROM spoken JOIN crc USING (word) GROUP BY ALL),
+    t AS (SELECT crc % 10000 AS bucket, count(*) AS n FROM target JOIN crc USING (word) GROUP BY ALL),
+    sums AS (SELECT (SELECT coalesce(sum(n), 0)::DOUBLE FROM s) AS all_s, (SELECT coalesce(sum(n), 0)::DOUBLE FROM t) AS all_t),
+    gains AS (
+      SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (all_s + 10000) / ((s.n::DOUBLE + 1) * (all_t + 10000))))::BIGINT AS gain
+      FROM s LEFT JOIN t USING (bucket), sums),
+    weighed AS (
+      SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+      FROM spoken JOIN crc USING (word) JOIN gains ON crc % 10000 = gains.bucket GROUP BY doc_id),
+    scores AS (
+      SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) +
+             floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+      FROM texts LEFT JOIN weighed USING (doc_id)),
+    able AS (
+      SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scores LEFT JOIN able USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("n_words")
