@@ -13,7 +13,7 @@ from dockpulse.operators import gold, silver, stations
 from dockpulse.plans import gold as gold_plan
 from dockpulse.plans.silver import load_silver
 from dockpulse.schemas import BRONZE_LAKE
-from dockpulse.session import path_exists, work_path
+from dockpulse.session import move_one, path_exists, work_path
 from dockpulse.sinks.writers import write_bronze
 from dockpulse.sources import samples
 from dockpulse.sources.boundaries import scan_boundaries
@@ -145,6 +145,33 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return stored(spark, sf_dir, "landing", write)
 
 
+def broken_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The landing folder of ``landing``, with payloads between that give no station."""
+
+    def write(path: str) -> None:
+        good = samples.payloads(bronze(spark, sf_dir)).select("value", F.to_date("poll").alias("poll_date"))
+        broken = samples.broken_payloads(samples.table(spark, sf_dir, "events"))
+        polls = good.union(broken.select("value", F.to_date("poll").alias("poll_date")))
+        polls.hint("rebalance", "poll_date").write.partitionBy("poll_date").text(path)
+
+    return stored(spark, sf_dir, "broken-landing", write)
+
+
+def mixed_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A Bronze lake of its own whose late files have another type of two columns, with every row twice and an unreadable file a half."""
+    path, rows = work_path(spark, "mixed-lake"), bronze(spark, sf_dir)
+    late = F.col("ingestion_date") >= F.lit(CUTOFF).cast("date")
+    twice = rows.unionByName(rows)
+    write_bronze(twice.where(~late).withColumn("x", F.col("capacity").cast("int")), path, skip_stored=False)
+    texts = {"x": F.concat(F.lit("c"), F.col("capacity").cast("string")), "capacity": F.col("capacity").cast("string")}
+    write_bronze(twice.where(late).withColumns(texts), path, skip_stored=False)
+    for day in rows.groupBy(late).agg(F.max("ingestion_date").alias("day")).collect():
+        spark.range(1).selectExpr("'no parquet' AS value").coalesce(1).write.mode("append").text(f"{path}/broken")
+        name = f"snapshot_{day['day']:%Y%m%d}_120000.parquet"
+        move_one(spark, f"{path}/broken", f"{path}/ingestion_date={day['day']}/hour=12/{name}")
+    return path
+
+
 def boundary_table(spark: SparkSession, sf_dir: str, name: str, number: str) -> DataFrame:
     """District boundaries read back from GeoJSON that Spark wrote from a given table's keys."""
 

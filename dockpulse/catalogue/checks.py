@@ -6,11 +6,25 @@ from pyspark.sql import functions as F
 
 from dockpulse.catalogue import oracle as o
 from dockpulse.catalogue.analysis import FIRST_VALID, ORPHANS, snapshot_files
-from dockpulse.catalogue.base import before_cutoff, bronze, dim, fact, hourly, lake, landing, query, station_rows
+from dockpulse.catalogue.base import (
+    CUTOFF,
+    before_cutoff,
+    broken_landing,
+    bronze,
+    dim,
+    fact,
+    hourly,
+    lake,
+    landing,
+    mixed_lake,
+    query,
+    station_rows,
+)
 from dockpulse.operators import expectations as ex
 from dockpulse.operators import hygiene, quality
 from dockpulse.sources.files import validate_parquet_files
-from dockpulse.sources.landing import scan_snapshot_json
+from dockpulse.sources.landing import explode_payloads, quarantined, scan_payloads, scan_snapshot_json
+from dockpulse.sources.samples import BROKEN_EVERY, BROKEN_PAYLOADS
 
 # Scenario value: the instant at which freshness is judged (local midnight after the period).
 AS_OF = "2024-01-30 23:00:00"
@@ -106,14 +120,16 @@ def _range_items() -> str:
     return f"concat_ws('; ', {', '.join(items)})"
 
 
-DQ_REPORT = f"""{o.chain("bronze")},
+def dq_report_sql(rows: str) -> str:
+    """Common table expressions up to ``judged``: one report for each snapshot of ``rows``."""
+    return f"""
     measured AS (
         SELECT snapshot_id, count(*) AS total_rows, max(ingestion_timestamp) AS latest,
                count(*) - count(DISTINCT (stationcode, ingestion_timestamp)) AS duplicates,
                {", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in quality.CRITICAL_COLUMNS)},
                {", ".join(f"count(*) FILTER (WHERE {c} NOT BETWEEN 0 AND 110) AS range_{c}" for c in quality.RANGE_COLUMNS)},
                count(*) FILTER (WHERE numbikesavailable + numdocksavailable <> capacity) AS inconsistent
-        FROM bronze GROUP BY snapshot_id),
+        FROM {rows} GROUP BY snapshot_id),
     texts AS (
         SELECT *, CAST(date_diff('microsecond', latest, TIMESTAMP '{AS_OF_LOCAL}') AS DOUBLE) / 3600e6 AS age,
                {_null_items()} AS nulls, {_range_items()} AS ranges FROM measured),
@@ -136,6 +152,9 @@ DQ_REPORT = f"""{o.chain("bronze")},
         FROM details GROUP BY snapshot_id, total_rows)"""
 
 
+DQ_REPORT = f"{o.chain('bronze')}, {dq_report_sql('bronze')}"
+
+
 @query(
     "dq_report",
     f"""{DQ_REPORT} SELECT snapshot_id, total_rows, passed AS tests_passed, 6 - passed AS tests_failed,
@@ -232,6 +251,48 @@ def _(spark, sf):
     return quality.validate_ingest(scan_snapshot_json(spark, landing(spark, sf), lines=True))
 
 
+BROKEN_SQL = f"""SELECT CASE event_id % {BROKEN_EVERY} {" ".join(f"WHEN {i} THEN '{reason}'" for i, (reason, _) in enumerate(BROKEN_PAYLOADS))} END AS reason,
+    CASE event_id % {BROKEN_EVERY} {" ".join(f"WHEN {i} THEN replace('{text}', '%d', event_id::VARCHAR)" for i, (_, text) in enumerate(BROKEN_PAYLOADS))} END AS value
+    FROM events WHERE event_id % {BROKEN_EVERY} < {len(BROKEN_PAYLOADS)}"""
+
+
+@query("quarantined_payloads", BROKEN_SQL)
+def _(spark, sf):
+    """Whole payloads that give no station, from a landing folder of good and broken ones."""
+    return quarantined(scan_payloads(spark, broken_landing(spark, sf), lines=True)).select("reason", "value")
+
+
+@query(
+    "validate_ingest_quarantine",
+    f"""WITH broken AS ({BROKEN_SQL}), counts AS (SELECT reason, count(*) AS n FROM broken GROUP BY 1)
+        SELECT (SELECT count(*) FROM events) AS rows, true AS not_empty, true AS has_stationcode, CAST(sum(n) AS BIGINT) AS quarantined,
+               string_agg(reason || '=' || n, ', ' ORDER BY reason) AS reasons,
+               (SELECT count(*) FROM events) + CAST(sum(n) AS BIGINT) AS landed FROM counts""",
+)
+def _(spark, sf):
+    """Each good payload holds one station, so rows and quarantined payloads are all that landed."""
+    payloads = scan_payloads(spark, broken_landing(spark, sf), lines=True)
+    landed = F.lit(payloads.where("trim(value) <> ''").count())
+    found = quality.validate_ingest(explode_payloads(payloads.select("value")), quarantined(payloads))
+    pairs = F.transform(F.array_sort(F.map_entries("reasons")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return found.withColumns({"reasons": F.array_join(pairs, ", "), "landed": landed})
+
+
+@query(
+    "validate_mixed_schemas",
+    f"""{o.chain("bronze")}, days AS (SELECT DISTINCT CAST(ingestion_date AS DATE) AS day, hour FROM bronze),
+    broken AS (SELECT max(day) AS day FROM days GROUP BY day >= DATE '{CUTOFF}')
+    SELECT strftime(day, '%Y-%m-%d') AS day, bool_and(valid) AS all_valid, CAST(sum(rows) AS BIGINT) AS rows
+    FROM (SELECT CAST(ingestion_date AS DATE) AS day, true AS valid, 2 * count(*) AS rows FROM bronze GROUP BY 1
+          UNION ALL SELECT day, false, 0 FROM broken) GROUP BY 1""",
+)
+def _(spark, sf):
+    """Every file has a verdict of its own, though files disagree about the types of two columns."""
+    checked = validate_parquet_files(spark, mixed_lake(spark, sf))
+    day = F.regexp_extract("path", r"ingestion_date=([^/]+)/", 1).alias("day")
+    return checked.groupBy(day).agg(F.bool_and("valid").alias("all_valid"), F.sum("rows").alias("rows"))
+
+
 @query("station_constraints", f"{o.chain('stations')} SELECT station_id, 'station_name_not_null' AS constraint_name FROM stations WHERE capacity > 35")
 def _(spark, sf):
     """Names of large stations are removed, so that each of them breaks one rule."""

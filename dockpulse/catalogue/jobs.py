@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockpulse.catalogue import oracle as o
-from dockpulse.catalogue.base import CUTOFF, bronze, bronze_path, districts, lake, landing, query, without
+from dockpulse.catalogue.base import CUTOFF, broken_landing, bronze, bronze_path, districts, lake, landing, mixed_lake, query, without
+from dockpulse.catalogue.checks import BROKEN_SQL, dq_report_sql
 from dockpulse.config import parquet_warehouse
 from dockpulse.operators import gold, silver
 from dockpulse.operators.gold import DISTRICT
@@ -15,7 +16,7 @@ from dockpulse.plans import quality as quality_plan
 from dockpulse.plans import silver as silver_plan
 from dockpulse.schemas import BRONZE_LAKE
 from dockpulse.session import move_one, work_path
-from dockpulse.sinks.writers import write_bronze
+from dockpulse.sinks.writers import materialize_full, write_bronze
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.streaming import jobs
 
@@ -128,14 +129,53 @@ def _(spark, sf):
     return without(warehouse.table("mart_station_performance").read(spark))
 
 
-@query("gold_checks", "SELECT count(*) * 0 + 30 AS tests, CAST(0 AS BIGINT) AS violations FROM events")
+# What the damaged tables break, by test; every other test finds nothing.
+DAMAGE = {
+    "not_null_stations_station_name": "SELECT count(*) FROM stations WHERE capacity > 35",
+    "unique_stations_station_id": "SELECT count(*) FROM stations WHERE capacity BETWEEN 11 AND 14",
+    "unique_stg_stations_station_id": "SELECT count(*) FROM stg_stations WHERE capacity BETWEEN 11 AND 14",
+    "relationships_station_availability": "SELECT count(*) FROM fact WHERE station_id IN (SELECT station_id FROM stations WHERE capacity = 20)",
+    "not_null_dim_stations_capacity": "SELECT count(*) FROM dim WHERE capacity = 30",
+    "accepted_values_capacity_category": "SELECT count(DISTINCT capacity) FROM dim WHERE capacity > 40",
+    "accepted_values_snapshot_hour": "SELECT count(DISTINCT snapshot_hour) FROM hourly WHERE snapshot_hour >= 20",
+    "not_null_fact_daily_station_stats_snapshot_date": "SELECT count(*) FROM daily WHERE active_hours = 1",
+    "unique_mart_station_performance_station_id": "SELECT count(*) FROM performance WHERE total_snapshots >= 5",
+    "not_null_mart_peak_hours_by_district_snapshot_hour": "SELECT count(*) FROM peak_hours WHERE snapshot_hour < 3",
+}
+TESTS = [f"not_null_{t}_{c}" for t, columns in gold_plan.REQUIRED.items() for c in columns]
+TESTS += [f"unique_{t}_station_id" for t in gold_plan.UNIQUE_STATION]
+TESTS += ["accepted_values_capacity_category", "accepted_values_snapshot_hour", gold_plan.ORPHAN_TEST]
+
+
+@query(
+    "gold_checks",
+    f"""{o.chain("fact", "stg_stations", "dim", "daily", "performance", "peak_hours")}
+    SELECT test_name, CAST(CASE test_name {" ".join(f"WHEN '{t}' THEN ({sql})" for t, sql in DAMAGE.items())} ELSE 0 END AS BIGINT) AS violations
+    FROM (VALUES {", ".join(f"('{t}')" for t in TESTS)}) AS v(test_name)""",
+)
 def _(spark, sf):
+    """All 30 table tests on a built warehouse, ten of whose tests are then broken by damage to the stored tables."""
     warehouse = _warehouse(spark)
     silver_plan.load_silver(spark, bronze(spark, sf), warehouse)
     gold_plan.run(spark, warehouse, incremental=False)
-    return gold_plan.check_results(spark, warehouse).agg(
-        F.count(F.lit(1)).alias("tests"), F.sum("violations").alias("violations")
-    )
+
+    def damage(name, change):
+        table = warehouse.table(name)
+        materialize_full(change(table.read(spark)), table)
+
+    def unnamed(rows):
+        rows = rows.where("capacity <> 20").withColumn("station_name", F.when(F.col("capacity") <= 35, F.col("station_name")))
+        return rows.unionByName(rows.where("capacity BETWEEN 11 AND 14"))
+
+    huge = F.when(F.col("capacity") > 40, F.concat(F.lit("huge"), "capacity")).otherwise(F.col("capacity_category"))
+    late = F.when(F.col("snapshot_hour") >= 20, F.col("snapshot_hour") + 10).otherwise(F.col("snapshot_hour"))
+    damage("stations", unnamed)
+    damage("dim_stations", lambda rows: rows.withColumns({"capacity_category": huge, "capacity": F.when(F.col("capacity") != 30, F.col("capacity"))}))
+    damage("fact_hourly_availability", lambda rows: rows.withColumn("snapshot_hour", late))
+    damage("fact_daily_station_stats", lambda rows: rows.withColumn("snapshot_date", F.when(F.col("active_hours") > 1, F.col("snapshot_date"))))
+    damage("mart_station_performance", lambda rows: rows.unionByName(rows.where("total_snapshots >= 5")))
+    damage("mart_peak_hours_by_district", lambda rows: rows.withColumn("snapshot_hour", F.when(F.col("snapshot_hour") >= 3, F.col("snapshot_hour"))))
+    return gold_plan.check_results(spark, warehouse)
 
 
 def _backfilled(spark, sf):
@@ -225,13 +265,61 @@ def _(spark, sf):
     return scan_bronze(spark, path, extra=("operator",))
 
 
-@query("run_quality", "SELECT CAST(6 AS BIGINT) AS tests, count(*) > 0 AS checked FROM events")
+@query(
+    "run_quality",
+    f"""{o.chain("bronze")},
+    twice AS (
+        SELECT * REPLACE ('last' AS snapshot_id, CASE WHEN stationcode LIKE ' %' THEN numbikesavailable * 5 ELSE numbikesavailable END AS numbikesavailable)
+        FROM bronze WHERE ingestion_date = (SELECT max(ingestion_date) FROM bronze)
+        UNION ALL SELECT * REPLACE ('last' AS snapshot_id) FROM bronze
+        WHERE ingestion_date = (SELECT max(ingestion_date) FROM bronze) AND NOT starts_with(stationcode, ' ')),
+    {dq_report_sql("twice")}
+    SELECT total_rows, passed AS tests_passed, 6 - passed AS tests_failed, CAST(passed AS DOUBLE) / 6 * 100 AS success_rate, details FROM judged""",
+)
 def _(spark, sf):
-    """Report of the newest file of the lake, judged right after its own last row."""
-    path, reports = lake(spark, sf), work_path(spark, "reports")
+    """The stored report of the newest file of a lake: its last day with rows twice and too many bikes, behind a newer unreadable file."""
+    path, reports = work_path(spark, "quality-lake"), work_path(spark, "reports")
+    rows = bronze(spark, sf)
+    last = rows.where(F.col("ingestion_date") == F.lit(rows.agg(F.max("ingestion_date")).first()[0]))
+    padded = F.col("stationcode").startswith(" ")
+    bikes = F.when(padded, F.col("numbikesavailable") * 5).otherwise(F.col("numbikesavailable"))
+    write_bronze(rows.where(F.col("ingestion_date") < F.lit(CUTOFF).cast("date")), path, skip_stored=False)
+    file = last.withColumn("numbikesavailable", bikes).unionByName(last.where(~padded))
+    file.drop("ingestion_date", "hour").coalesce(1).write.parquet(f"{path}/newest")
+    spark.range(1).selectExpr("'no parquet' AS value").coalesce(1).write.text(f"{path}/broken")
+    move_one(spark, f"{path}/broken", f"{path}/newest/snapshot_20240130_230000.parquet")
     quality_plan.run(spark, path, reports, F.lit("2024-01-30 23:00:00+00:00").cast("timestamp"), gate=0.0)
-    stored = spark.read.parquet(reports)
-    return stored.agg(
-        F.sum(F.col("tests_passed") + F.col("tests_failed")).alias("tests"), (F.sum("total_rows") > 0).alias("checked")
+    lines = F.transform(
+        "details", lambda d: F.concat(F.when(d["passed"], "PASS ").otherwise("FAIL "), d["check"], F.lit(": "), d["message"])
     )
+    return spark.read.parquet(reports).select("total_rows", "tests_passed", "tests_failed", "success_rate", F.array_join(lines, "\n").alias("details"))
+
+
+@query(
+    "run_cleanup_mixed",
+    f"""{o.chain("bronze")},
+    numbered AS (SELECT *, dense_rank() OVER (PARTITION BY ingestion_date, hour, date_trunc('minute', ingestion_timestamp) ORDER BY snapshot_id)
+                 AS place FROM bronze),
+    kept AS (SELECT DISTINCT ON (ingestion_date, hour, snapshot_id, stationcode) *, ingestion_date >= DATE '{CUTOFF}' AS late FROM numbered WHERE place = 1)
+    SELECT k.snapshot_id, k.stationcode, k.capacity, CASE WHEN late THEN 'c' ELSE '' END || k.capacity AS x, CAST(2 AS BIGINT) AS corrupted_files,
+           (SELECT 2 * count(*) FROM bronze) - (SELECT count(*) FROM kept) AS duplicate_rows FROM kept k""",
+)
+def _(spark, sf):
+    """Cleanup of a lake whose files disagree about two columns' types; the contract's column gets its type back, the other becomes text."""
+    warehouse, path = _warehouse(spark), mixed_lake(spark, sf)
+    cleaned, _run = cleanup.run(spark, warehouse, path)
+    return scan_bronze(spark, path, extra=("x",)).select(
+        "snapshot_id", "stationcode", "capacity", "x",
+        F.lit(cleaned.corrupted_files).cast("bigint").alias("corrupted_files"),
+        F.lit(cleaned.duplicate_rows).cast("bigint").alias("duplicate_rows"),
+    )
+
+
+@query("stream_quarantine", BROKEN_SQL)
+def _(spark, sf):
+    """Set aside by a stream that ran twice with one checkpoint, in the same form as in batch."""
+    folder, checkpoint = work_path(spark, "stream-quarantine"), work_path(spark, "stream-checkpoint")
+    for _attempt in range(2):
+        _finish(jobs.stream_quarantine(spark, broken_landing(spark, sf), folder, checkpoint, "value string, poll_date date"))
+    return spark.read.parquet(folder).select("reason", "value")
 

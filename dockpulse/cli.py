@@ -81,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("landing")
     sub.add_argument("--instant", help="time of the poll, ISO-8601 with offset; now by default")
     sub.add_argument("--lines", action="store_true", help="one payload a line instead of one a file")
+    sub.add_argument("--quarantine", help="folder for payloads that give no station; without it one of them fails the run")
     return top
 
 
@@ -110,7 +111,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
     if args.job == "quality":
         return quality.run(spark, args.bronze, args.reports, gate=args.gate).asDict(recursive=True)
     instant = F.lit(args.instant).cast("timestamp") if args.instant else F.current_timestamp()
-    return ingest.run(spark, args.landing, args.bronze, instant, args.lines)
+    return ingest.run(spark, args.landing, args.bronze, instant, args.lines, args.quarantine)
 
 
 def main(argv: list[str] | None = None) -> int:

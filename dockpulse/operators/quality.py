@@ -212,8 +212,17 @@ def report_text(report: DataFrame, timestamp: Column) -> DataFrame:
     return report.withColumn("text", text)
 
 
-def validate_ingest(df: DataFrame) -> DataFrame:
-    """One row: is there data, and is the station key there."""
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(
-        "rows", (F.col("rows") > 0).alias("not_empty"), F.lit("stationcode" in df.columns).alias("has_stationcode")
-    )
+def validate_ingest(df: DataFrame, quarantined: DataFrame | None = None) -> DataFrame:
+    """One row: is there data, is the station key there, and how many payloads were set aside, if those are given."""
+    if quarantined is None:
+        return df.agg(F.count(F.lit(1)).alias("rows")).select(
+            "rows", (F.col("rows") > 0).alias("not_empty"), F.lit("stationcode" in df.columns).alias("has_stationcode")
+        )
+    both = df.select(F.lit(None).cast("string").alias("reason")).union(quarantined.select("reason"))
+    counts = both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    given, aside = F.col("reason").isNull(), F.when(F.col("reason").isNotNull(), F.struct("reason", "n"))
+    return counts.agg(
+        F.coalesce(F.sum(F.when(given, F.col("n"))), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(~given, F.col("n"))), F.lit(0)).alias("quarantined"),
+        F.map_from_entries(F.sort_array(F.collect_list(aside))).alias("reasons"),
+    ).select("rows", (F.col("rows") > 0).alias("not_empty"), F.lit("stationcode" in df.columns).alias("has_stationcode"), "quarantined", "reasons")

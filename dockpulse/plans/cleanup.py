@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,8 @@ from dockpulse.operators.hygiene import first_of_minute
 from dockpulse.plans import silver
 from dockpulse.schemas import BRONZE, BRONZE_LAKE, BRONZE_PARTITIONS
 from dockpulse.session import path_exists, staged_for_use
-from dockpulse.sources.files import validate_parquet_files
+from dockpulse.sources.files import readable_rows, validate_parquet_files
+from dockpulse.sources.landing import apply_type_contract
 
 PARTITION = ("ingestion_date", "hour")
 
@@ -31,9 +34,11 @@ def clean(
     """Find (and with ``dry_run=False`` remove) unreadable files and repeated snapshots of an hour, a day or the whole lake.
 
     Of each minute the first snapshot stays, whether a file is named by its time or holds rows of many ``snapshot_id``s,
-    and of each station one row of it.  Partitions with something to remove are written anew from what stays, by tasks,
-    and swapped in by Spark's own dynamic overwrite; nothing is deleted file by file on the driver.  Raises before
-    writing anything when no row would remain, or when not every readable row was read.  Extra columns of the feed stay.
+    and of each station one row of it.  Rows are judged by where they lie: only file, row number, snapshot and station are
+    stored for that.  Partitions with something to remove, or with a file whose types are not the contract's, are written
+    anew from what stays: their rows alone are read whole, and swapped in by Spark's own dynamic overwrite.  Raises before
+    writing anything when no row would remain, or when not every readable row was read.  Extra columns of the feed stay; where
+    files disagree about the type of one, it becomes text.
     """
     folder = lake if date is None else f"{lake}/ingestion_date={date}"
     if hour is not None:
@@ -45,9 +50,11 @@ def clean(
     with staged_for_use(validate_parquet_files(spark, folder).withColumns(places), "file-validation") as files:
         if not files.where("valid").limit(1).count():
             raise ValueError(f"no valid Parquet file would remain in {folder}")
-        with staged_for_use(_readable_rows(spark, lake, folder, files), "cleanup-rows") as rows:
+        groups = readable_rows(spark, [folder], basePath=lake)
+        with staged_for_use(coordinates(groups, files), "cleanup-coordinates") as rows:
             judged = _judged(rows)
-            touched = judged.where(~F.col("kept")).select(*PARTITION).unionByName(files.where("NOT valid").select(*PARTITION))
+            touched = judged.where(~F.col("kept") | F.col("odd")).select(*PARTITION)
+            touched = touched.unionByName(files.where("NOT valid").select(*PARTITION))
             with staged_for_use(touched.distinct(), "cleanup-partitions") as touched:
                 counts = judged.agg(F.count_if(~F.col("kept")).alias("gone"), F.count_if("kept").alias("kept")).first()
                 corrupted = files.agg(F.count_if(~F.col("valid"))).first()[0]
@@ -56,24 +63,28 @@ def clean(
                 if promised != counts["gone"] + counts["kept"]:
                     raise RuntimeError(f"{promised} rows are readable, but {counts['gone'] + counts['kept']} were read")
                 if not dry_run and result.rewritten_partitions:
-                    _rewrite(judged.where("kept"), touched, lake)
+                    _rewrite(groups, judged.where("kept"), touched, lake)
     return result
 
 
-def _readable_rows(spark: SparkSession, lake: str, folder: str, files: DataFrame) -> DataFrame:
-    """Rows of the valid files, numbered, with their snapshot and whether it is the first of its minute."""
-    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", lake)
-    # With the files' own types: under another type Spark would count a sound file as unreadable and skip it.
-    found = reader.option("mergeSchema", "true").parquet(folder)
-    extra = [c for c in found.columns if c not in BRONZE_LAKE.fieldNames()]
-    contract = [
-        (F.col(f.name) if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in BRONZE.fields
-    ]
-    places = [F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_PARTITIONS]
-    rows = found.select(*contract, *extra, *places, F.col("_metadata.file_path").alias("file"))
+def coordinates(groups: Sequence[DataFrame], files: DataFrame) -> DataFrame:
+    """Where each row of the valid files lies, with its snapshot, its station, and whether its snapshot is the first of its minute.
+
+    ``odd`` says that the row's file does not have the contract's types.
+    """
+    contract = {f.name: f.dataType for f in BRONZE}
+
+    def of_group(rows: DataFrame) -> DataFrame:
+        texts = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in ("snapshot_id", "stationcode")]
+        places = [F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_PARTITIONS]
+        odd = any(contract.get(f.name, f.dataType) != f.dataType for f in rows.schema)
+        spot = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index")]
+        return rows.select(*places, *texts, *spot, F.lit(odd).alias("odd"))
+
+    rows = reduce(DataFrame.union, map(of_group, groups))
     valid = files.where("valid").select(_local(F.col("path")).alias("_valid"))
     rows = rows.join(valid, _local(F.col("file")) == F.col("_valid"), "left_semi")
-    return first_of_minute(rows, *PARTITION).withColumn("row", F.monotonically_increasing_id())
+    return first_of_minute(rows, *PARTITION)
 
 
 def _local(path: Column) -> Column:
@@ -82,27 +93,56 @@ def _local(path: Column) -> Column:
 
 
 def _judged(rows: DataFrame) -> DataFrame:
-    """Stored rows with ``kept``: those of a minute's first snapshot, one for each station."""
+    """Coordinates with ``kept``: those of a minute's first snapshot, one for each station."""
+    spot = ("file", "row_index")
     first = rows.where("minute_first AND unit IS NOT NULL AND stationcode IS NOT NULL")
-    first = first.groupBy(*PARTITION, "unit", "snapshot_id", "stationcode").agg(F.min("row").alias("row"))
-    marked = rows.join(first.select("row", F.lit(True).alias("_one")), "row", "left")
+    first = first.groupBy(*PARTITION, "unit", "snapshot_id", "stationcode").agg(F.min(F.struct(*spot)).alias("_one"))
+    marked = rows.join(first.select("_one.*", F.lit(True).alias("_first")), list(spot), "left")
     loose = F.col("unit").isNull() | F.col("stationcode").isNull()
-    return marked.withColumn("kept", F.col("minute_first") & (loose | F.col("_one").isNotNull())).drop("_one")
-
-
-def _rewrite(kept: DataFrame, touched: DataFrame, lake: str) -> None:
-    touched = touched.select(*[F.col(c).alias(f"_{c}") for c in PARTITION])
-    same = F.lit(True)
-    for key in PARTITION:
-        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    rows = kept.join(touched, same, "left_semi").drop("kept", "file", "row", "unit", "minute_first")
-    arranged = (
-        rows.withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
-        .hint("rebalance", *PARTITION)
-        .sortWithinPartitions(*PARTITION, "stationcode")
-    )
-    writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*PARTITION).parquet(lake)
+    return marked.withColumn("kept", F.col("minute_first") & (loose | F.col("_first").isNotNull())).drop("_first")
+
+
+def _whole_rows(groups: Sequence[DataFrame], touched: DataFrame) -> DataFrame:
+    """Rows of the touched partitions under the contract's types, with where they lie."""
+    named = touched.select(*[F.col(c).alias(f"_{c}") for c in PARTITION])
+    extra: dict[str, set] = {}
+    for rows in groups:
+        for field in rows.schema:
+            if field.name not in BRONZE_LAKE.fieldNames():
+                extra.setdefault(field.name, set()).add(field.dataType.simpleString())
+    disputed = [name for name, kinds in extra.items() if len(kinds) > 1]
+
+    def of_group(rows: DataFrame) -> DataFrame:
+        typed = apply_type_contract(rows.withColumns({c: F.col(c).cast("string") for c in disputed if c in rows.columns}))
+        contract = [
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in BRONZE.fields
+        ]
+        places = [F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_PARTITIONS]
+        own = [F.col(f"`{c}`") for c in extra if c in rows.columns]
+        spot = [F.col("_file").alias("file"), F.col("_row_index").alias("row_index")]
+        same = F.lit(True)
+        for key in PARTITION:
+            same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+        return typed.select(*contract, *own, *places, *spot).join(named, same, "left_semi")
+
+    located = [
+        rows.withColumns({"_file": F.col("_metadata.file_path"), "_row_index": F.col("_metadata.row_index")}) for rows in groups
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(of_group, located))
+
+
+def _rewrite(groups: Sequence[DataFrame], kept: DataFrame, touched: DataFrame, lake: str) -> None:
+    spot = ["file", "row_index"]
+    named = kept.select(*spot, F.col("snapshot_id").alias("_snapshot_id"))
+    rows = _whole_rows(groups, touched).join(named, spot).withColumn("snapshot_id", F.col("_snapshot_id"))
+    with staged_for_use(rows.drop(*spot, "_snapshot_id"), "cleanup-rows") as rows:
+        arranged = (
+            rows.withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
+            .hint("rebalance", *PARTITION)
+            .sortWithinPartitions(*PARTITION, "stationcode")
+        )
+        writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*PARTITION).parquet(lake)
 
 
 def run(

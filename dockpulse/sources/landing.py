@@ -23,6 +23,36 @@ def payload_stations(text: Column) -> Column:
     )
 
 
+def payload_fault(text: Column) -> Column:
+    """Why a payload cannot be read as stations, or NULL; a list that is empty has no fault."""
+    body = F.ltrim(text, F.lit(" \t\r\n"))
+    json = F.try_parse_json(body)
+    kind, results = F.schema_of_variant(json), F.try_variant_get(json, "$.results", "variant")
+    stations = payload_stations(text)
+    useless = (F.size(stations) > 0) & (F.size(F.filter(stations, lambda station: station.isNotNull())) == 0)
+    return (
+        F.when(F.coalesce(body, F.lit("")) == "", "empty")
+        .when(json.isNull(), "no JSON")
+        .when(~kind.startswith("ARRAY") & ~kind.startswith("OBJECT"), "neither list nor object")
+        .when(kind.startswith("OBJECT") & (results.isNull() | F.is_variant_null(results)), "no results")
+        .when(stations.isNull() | useless, "no stations")
+    )
+
+
+def quarantined(payloads: DataFrame, text: str = "value") -> DataFrame:
+    """The payloads that cannot be read as stations, whole and with a ``reason``; other payload columns are kept.
+
+    A payload is either here or in ``explode_payloads``, never in both and never in none.
+    """
+    return payloads.withColumn("reason", payload_fault(F.col(text))).where("reason IS NOT NULL")
+
+
+def scan_payloads(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Landed payloads with the file they came in and where Spark's read of it began: (value, file, block_start)."""
+    source = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start")]
+    return spark.read.text(path, wholetext=not lines).select("*", *source)
+
+
 def loose_number(text: Column, dtype: T.DataType) -> Column:
     """A number as feeds write it: ``12``, ``12.0`` or ``"12"``.  Whole columns take whole values only; the rest is NULL."""
     number = F.trim(text).try_cast("double")
@@ -51,12 +81,13 @@ def extra_columns(payloads: DataFrame, text: str = "value") -> list[str]:
 
 
 def explode_payloads(payloads: DataFrame, text: str = "value", extra: Sequence[str] = ()) -> DataFrame:
-    """One row per station of every payload; other payload columns are kept.
+    """One row per station of every payload that can be read; other payload columns are kept, the rest is ``quarantined``.
 
     ``extra`` names columns of the feed beside the contract, which come out as text.
     """
     keep = [c for c in payloads.columns if c != text]
-    stations = payloads.select(*keep, F.explode(payload_stations(F.col(text))).alias("station"))
+    given = F.filter(payload_stations(F.col(text)), lambda station: station.isNotNull())
+    stations = payloads.where(payload_fault(F.col(text)).isNull()).select(*keep, F.explode(given).alias("station"))
     others = [F.try_element_at("station", F.lit(name)).alias(name) for name in extra]
     return stations.select(*keep, *[_payload_column(field) for field in STATION_PAYLOAD], *others)
 

@@ -96,6 +96,28 @@ def payloads(bronze: DataFrame) -> DataFrame:
     return bronze.select(value.alias("value"), F.try_to_timestamp("ingestion_timestamp").alias("poll"))
 
 
+# Every so many events one of each kind of broken payload; ``%d`` is the event.
+BROKEN_EVERY = 40
+BROKEN_PAYLOADS = (
+    ("no JSON", "not json %d"),
+    ("no JSON", '[{"stationcode": "%d", "name": "cut'),
+    ("no JSON", '{"results": [{"stationcode": "%d"}, {"sta'),
+    ("no results", '{"error": "station %d"}'),
+    ("no stations", '{"results": [1], "poll": %d}'),
+    ("no stations", "[%d, 2]"),
+    ("neither list nor object", "%d"),
+)
+
+
+def broken_payloads(events: DataFrame) -> DataFrame:
+    """(value, poll): payloads that give no station, from the keys of a given table."""
+    kind = F.col("event_id") % BROKEN_EVERY
+    value = F.lit(None).cast("string")
+    for i, (_, text) in enumerate(BROKEN_PAYLOADS):
+        value = F.when(kind == i, F.format_string(text.replace("%d", "%s"), F.col("event_id").cast("string"))).otherwise(value)
+    return events.select(value.alias("value"), F.col("ts").cast("timestamp").alias("poll")).where("value IS NOT NULL")
+
+
 def boundary_features(numbers: DataFrame, number: str) -> DataFrame:
     """Synthetic district features, one per row of ``numbers``, on a 5-wide grid of cells.
 

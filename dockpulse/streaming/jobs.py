@@ -14,7 +14,7 @@ from dockpulse.operators.gold import hourly_measures
 from dockpulse.plans.silver import load_silver
 from dockpulse.schemas import FACT_HOURLY
 from dockpulse.sinks.writers import FACT_KEYS, incremental_replace
-from dockpulse.sources.landing import explode_payloads, to_bronze
+from dockpulse.sources.landing import explode_payloads, quarantined, to_bronze
 from dockpulse.sources.tables import StoredTable
 
 HOURLY_KEYS = ("station_id", "snapshot_date", "snapshot_hour")
@@ -55,6 +55,25 @@ def stream_ingest(
     )
 
 
+def stream_quarantine(
+    spark: SparkSession, landing: str, folder: str, checkpoint: str, schema: str, trigger: Mapping[str, object] = ONCE
+) -> StreamingQuery:
+    """Set aside the payloads that ``stream_ingest`` takes no station from, with file and reason, exactly once per landed file.
+
+    A stream of its own beside the ingest: each has one sink and one checkpoint, so neither can repeat rows after a failure.
+    """
+    payloads = spark.readStream.schema(schema).text(landing).withColumn("file", F.col("_metadata.file_path"))
+    return (
+        quarantined(payloads)
+        .coalesce(FILES_PER_HOUR)
+        .writeStream.format("parquet")
+        .option("path", folder)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def dedup_stream(silver: DataFrame, lateness: str = "2 days") -> DataFrame:
     """One row per (station, timestamp) within the watermark; state is dropped behind it."""
     timed = silver.withColumn("event_time", F.col("snapshot_timestamp").cast("timestamp"))

@@ -39,3 +39,17 @@ def test_entry(spark):
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+def test_entry_without_the_optional_part(tmp_path):
+    """The core's queries register on a copy that has neither the optional operators nor the pipeline."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    shutil.copytree(f"{root}/dockpulse", tmp_path / "dockpulse", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]

@@ -335,3 +335,37 @@ def test_refresh_may_read_its_own_table(spark, folder):
 def test_missing_table_reads_as_none(spark, folder):
     assert scan_table(spark, StoredTable("parquet", f"{folder}/none")) is None
     assert scan_table(spark, StoredTable("catalog", "default.never_created")) is None
+
+
+FAULTS = {
+    "not json": "no JSON", '[{"stationcode":"1"': "no JSON", '{"results":[{"stationcode":"1"}': "no JSON", "[1, 2]": "no stations", "[null]": "no stations",
+    '{"error":"x"}': "no results", '{"results":null}': "no results", '{"results":5}': "no stations", "12": "neither list nor object",
+    '"text"': "neither list nor object", " \t ": "empty", "": "empty",
+}
+SOUND = {f"[{PAYLOAD}]": 1, f'  {{"results":[{PAYLOAD},{PAYLOAD}]}}': 2, "[]": 0, '{"results":[]}': 0, f"[{PAYLOAD},null]": 1}
+
+
+def test_every_payload_is_read_or_set_aside(spark):
+    payloads = spark.createDataFrame([(i, v) for i, v in enumerate([*FAULTS, *SOUND, None])], "id int, value string")
+    aside = {r["value"]: r["reason"] for r in landing.quarantined(payloads).collect()}
+    assert aside == FAULTS | {None: "empty"}
+    counts = {r["id"]: r["count"] for r in landing.explode_payloads(payloads).groupBy("id").count().collect()}
+    assert counts == {len(FAULTS) + i: n for i, n in enumerate(SOUND.values()) if n}
+
+
+def test_ingest_sets_broken_payloads_aside(spark, tmp_path):
+    folder, lake, aside = tmp_path / "landing", str(tmp_path / "lake"), str(tmp_path / "aside")
+    folder.mkdir()
+    (folder / "good.json").write_text(f"[{PAYLOAD}]")
+    for i, text in enumerate(FAULTS):
+        (folder / f"bad{i}.json").write_text(text)
+    instant = F.lit("2026-07-01T10:00:00Z").cast("timestamp")
+    with pytest.raises(ingest.PayloadError, match="no results"):
+        ingest.run(spark, str(folder), lake, instant)
+    assert not (tmp_path / "lake").exists()
+    assert ingest.run(spark, str(folder), lake, instant, quarantine=aside) == 1
+    stored = spark.read.parquet(aside).collect()
+    names = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in stored}
+    # Spark's text reader gives no row for a file without a byte.
+    assert names == {f"bad{i}.json": reason for i, (text, reason) in enumerate(FAULTS.items()) if text}
+    assert all(r["block_start"] == 0 for r in stored)

@@ -13,6 +13,7 @@ from dockpulse.plans import cleanup
 from dockpulse.plans import quality as quality_plan
 from dockpulse.sinks.writers import write_bronze
 from dockpulse.sources.landing import with_bronze_partitions
+from dockpulse.sources import files
 from dockpulse.sources.files import latest_readable_snapshot, validate_parquet_files
 
 
@@ -216,3 +217,60 @@ def test_cleanup_job_loads_the_cleaned_hour(spark, tmp_path):
     assert (cleaned.corrupted_files, cleaned.duplicate_rows, run.rows_read, run.facts.rows_written) == (1, 2, 2, 2)
     stored = warehouse.table("station_availability").read(spark).first()
     assert stored["snapshot_timestamp"] == datetime(2026, 2, 26, 14)
+
+
+def odd_lake(spark, tmp_path):
+    """Two files of an hour that disagree about the types of a contract column and another, one that lacks both, and a broken one."""
+    lake = tmp_path / "lake"
+    folder = lake / "ingestion_date=2026-02-26" / "hour=14"
+    folder.mkdir(parents=True)
+    rows = bronze(spark, {}, {"stationcode": "2"}).toPandas()
+    rows.assign(x=[1, 2]).to_parquet(folder / "snapshot_20260226_140000.parquet", index=False)
+    rows.assign(x=["a", "b"], capacity=["20", "21"]).to_parquet(folder / "snapshot_20260226_140100.parquet", index=False)
+    rows.drop(columns="capacity").to_parquet(folder / "snapshot_20260226_140200.parquet", index=False)
+    (folder / "snapshot_20260226_140300.parquet").write_bytes(b"PAR1 broken PAR1")
+    return lake
+
+
+def test_files_of_different_types_have_their_own_verdict(spark, tmp_path):
+    lake = odd_lake(spark, tmp_path)
+    found = {r["path"][-14:-8]: (r["valid"], r["rows"]) for r in validate_parquet_files(spark, str(lake)).collect()}
+    assert found == {"140000": (True, 2), "140100": (True, 2), "140200": (True, 2), "140300": (False, 0)}
+    schemas = {r["path"][-14:-8]: r["schema"] for r in files.footer_schemas(spark, str(lake)).collect()}
+    assert schemas["140300"] is None and len(set(schemas.values())) == 4
+    assert sorted(len(paths) for _, paths in files.schema_groups(spark, str(lake))) == [1, 2]
+    damaged = lake / "ingestion_date=2026-02-26" / "hour=14" / "snapshot_20260226_140100.parquet"
+    data = bytearray(damaged.read_bytes())
+    data[4:120] = b"\xff" * 116
+    damaged.write_bytes(bytes(data))
+    assert [r["path"][-14:-8] for r in validate_parquet_files(spark, str(lake)).where("not valid").orderBy("path").collect()] == ["140100", "140300"]
+
+
+def test_long_files_are_asked_one_by_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FOOTER_BYTES", 10)
+    assert validate_parquet_files(spark, str(odd_lake(spark, tmp_path))).where("valid").count() == 3
+
+
+def test_cleanup_of_files_of_different_types(spark, tmp_path):
+    lake = odd_lake(spark, tmp_path)
+    assert cleanup.clean(spark, str(lake), dry_run=False) == cleanup.CleanupResult(1, 0, 1, 6)
+    stored = spark.read.parquet(str(lake))
+    assert dict(stored.dtypes)["capacity"] == "bigint" and dict(stored.dtypes)["x"] == "string"
+    rows = sorted(((r["snapshot_id"], r["stationcode"], r["capacity"], r["x"]) for r in stored.collect()), key=str)
+    stations = sorted(r["stationcode"] for r in bronze(spark, {}, {"stationcode": "2"}).collect())
+    assert {r[1] for r in rows} == set(stations) and len(rows) == 6
+    assert sorted({(r[2], r[3]) for r in rows}, key=str) == sorted([(20, "1"), (20, "2"), (20, "a"), (21, "b"), (None, None)], key=str)
+
+
+def test_dry_run_stores_coordinates_only(spark, hour):
+    """Of the rows only snapshot and station are read, and what is stored of them does not grow with their columns."""
+    lake = str(hour.parent.parent)
+    groups = files.readable_rows(spark, [lake], basePath=lake)
+    found = cleanup.coordinates(groups, validate_parquet_files(spark, lake))
+    assert set(found.columns) == {
+        "ingestion_date", "hour", "snapshot_id", "stationcode", "file", "row_index", "odd", "unit", "minute_first",
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    read = [part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]]
+    judged = [r for r in read if "row_index" in r]
+    assert judged and not any("capacity" in r or "name" in r for r in judged)
