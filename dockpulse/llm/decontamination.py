@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -12,12 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockpulse.llm.columns import filtered
+from dockpulse.session import stage
+
 K1, B = 1.2, 0.75
 # Least share of an item's own BM25 score that a passage must reach.
 MIN_SCORE = 0.5
 # Words that count as found stand in this many consecutive equal words.
 SHINGLE_WORDS = 5
 MIN_QUESTION, MIN_ANSWER = 0.7, 0.5
+# So many equal words in a row count without the answer: an item that a passage has cut short.
+MIN_RUN = 13
 ANSWER_SHARE = 0.25
 MIN_STRIDE = 64
 BLOCKS = 64
@@ -35,6 +41,20 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_LETTERS).split()
 
 
+@dataclass
+class Statistics:
+    """Of all items: their number, their mean length in words, and how many hold each word."""
+
+    count: int
+    mean: float
+    holders: dict[bytes, int]
+
+    @classmethod
+    def of(cls, items: list[list[bytes]]) -> Statistics:
+        holders = Counter(word for words in items for word in set(words))
+        return cls(len(items), sum(map(len, items)) / max(1, len(items)), holders)
+
+
 class ItemIndex:
     """Impact-ordered BM25 postings of test items.
 
@@ -42,11 +62,12 @@ class ItemIndex:
     that a passage reproduces.  Items are in blocks, and each term has its largest impact in each block.
     """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], whole: Statistics | None = None):
+        """``whole`` has the statistics of all items, where these are a part of them."""
         self.items = [(i, words) for i, text in items if (words := words_of(text))]
         count = len(self.items)
         self.block_size = max(1, math.ceil(count / BLOCKS))
-        mean = sum(len(w) for _, w in self.items) / max(1, count)
+        whole = whole or Statistics.of([words for _, words in self.items])
         holders: dict[bytes, dict[int, int]] = defaultdict(dict)
         for number, (_, words) in enumerate(self.items):
             for word in words:
@@ -56,11 +77,12 @@ class ItemIndex:
         own = [0.0] * count
         for word in sorted(holders):
             found = holders[word]
-            idf = math.log(1 + (count - len(found) + 0.5) / (len(found) + 0.5))
+            holding = whole.holders[word]
+            idf = math.log(1 + (whole.count - holding + 0.5) / (holding + 0.5))
             row = []
             for number, tf in sorted(found.items()):
                 length = len(self.items[number][1])
-                impact = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+                impact = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / whole.mean))
                 own[number] += impact
                 row.append((number, impact))
             self.postings.append(row)
@@ -146,6 +168,12 @@ class ItemIndex:
                 found[i : i + size] = True
         return float(found[:question].mean()) if question else 1.0, float(found[question:].mean())
 
+    def holds_run(self, number: int, passage: list[bytes]) -> bool:
+        """Whether ``MIN_RUN`` words in a row of the item stand in the passage."""
+        words = self.items[number][1]
+        runs = {tuple(words[i : i + MIN_RUN]) for i in range(len(words) - MIN_RUN + 1)}
+        return bool(runs) and any(tuple(passage[i : i + MIN_RUN]) in runs for i in range(len(passage) - MIN_RUN + 1))
+
     def hits(self, text: str | None) -> list[tuple[int, int, float, float, float]]:
         """(item_id, first word of the passage, score, question overlap, answer overlap), the best passage of each item."""
         words = words_of(text)
@@ -155,28 +183,53 @@ class ItemIndex:
             end = start + 2 * self.stride
             for number, score in self.search(terms[start:end].tolist()):
                 question, answer = self.overlap(number, words[start:end])
-                if question >= MIN_QUESTION and answer >= MIN_ANSWER:
+                if (question >= MIN_QUESTION and answer >= MIN_ANSWER) or self.holds_run(number, words[start:end]):
                     item = self.items[number][0]
                     best[item] = max(best.get(item, (0.0, 0.0, 0.0, 0)), (score, question, answer, -start))
         return [(i, -start, score, q, a) for i, (score, q, a, start) in sorted(best.items())]
 
 
 def item_indexes(benchmark: DataFrame) -> Iterator[ItemIndex]:
-    """Indexes of bounded size that hold all items between them; BM25 statistics are those of an index."""
-    items = benchmark.where("item_id is not null and text is not null")
+    """Indexes of bounded size that hold all items between them.
+
+    BM25 statistics are those of all items, so an item's scores do not depend on how many indexes there are.  The driver holds one
+    index at a time, with the statistics of its own words.  Items that are the same in id and text are one.
+    """
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(total / INDEX_BYTES))
-    for shard in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard).select("item_id", "text").collect()
-        yield ItemIndex(sorted((r.item_id, r.text) for r in rows))
+    if shards == 1:
+        yield ItemIndex(sorted((r.item_id, r.text) for r in items.collect()))
+        return
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int").alias("shard")
+    words = stage(items.select("text", shard).mapInArrow(_item_words, "shard int, word binary, n_words long"), "item-words")
+    count, mean = words.where("word is null").agg(F.count("*"), F.avg("n_words")).first()
+    holders = words.where("word is not null").groupBy("word").agg(F.count("*").alias("n"))
+    for number in range(shards):
+        rows = items.where(shard == number).collect()
+        own = words.where((F.col("shard") == number) & F.col("word").isNotNull()).select("word").distinct()
+        held = {bytes(r.word): r.n for r in holders.join(own, "word", "left_semi").collect()}
+        yield ItemIndex(sorted((r.item_id, r.text) for r in rows), Statistics(count, mean or 0.0, held))
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each different word of an item, and one row without a word that has its length; items without words have none."""
+    for batch in batches:
+        rows = []
+        for text, shard in zip(batch.column("text").to_pylist(), batch.column("shard").to_pylist(), strict=True):
+            words = words_of(text)
+            rows += [(shard, None, len(words)), *((shard, w, None) for w in set(words))] if words else []
+        columns = list(zip(*rows, strict=True)) or [()] * 3
+        kinds = {"shard": pa.int32(), "word": pa.binary(), "n_words": pa.int64()}
+        yield pa.record_batch({n: pa.array(c, k) for (n, k), c in zip(kinds.items(), columns, strict=True)})
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, first_word, score, question_overlap, answer_overlap): one row for each document and item it holds.
 
     Every passage of every whole text is a query: passages overlap by half and are twice as long as the longest item,
-    so each item fits into one.  An item counts if its BM25 share reaches ``MIN_SCORE`` and enough of its
-    question and of its answer stands in the passage in runs of equal words.
+    so each item fits into one.  An item counts if its BM25 share reaches ``MIN_SCORE`` and either enough of its
+    question and of its answer stands in the passage in runs of equal words, or ``MIN_RUN`` of its words in a row.
 
     Needs ``doc_id`` and ``text``, and ``item_id`` and ``text`` of the benchmark; others are left out.  Null and empty texts hold
     nothing; items without words or id are not searched for.  Repeated items come out as one.  Ids of documents
@@ -207,15 +260,7 @@ def _search(docs: DataFrame, index: ItemIndex) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows that hold no item, with all their columns.  Nothing is shuffled."""
-
-    def filtered(rows: DataFrame, index: ItemIndex) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array([not index.hits(t) for t in batch.column("text").to_pylist()], pa.bool_()))
-
-        return rows.mapInArrow(run, rows.schema)
-
+    """The rows that hold no item, with all their columns, whatever their names."""
     for index in item_indexes(benchmark):
-        docs = filtered(docs, index)
+        docs = filtered(docs, lambda texts, index=index: [not index.hits(t) for t in texts])
     return docs

@@ -28,6 +28,27 @@ class Template:
 
 
 TEMPLATES = (
+    Template("apache-2.0", "apache license version 2 0 january 2004", ("apache license version 2 0",)),
+    Template("apache-2.0", "spdx license identifier apache 2 0", ("spdx license identifier apache",)),
+    Template("gpl-3.0", "gnu general public license version 3 29 june 2007", ("gnu general public license version 3",)),
+    Template("gpl-2.0", "gnu general public license version 2 june 1991", ("gnu general public license version 2",)),
+    Template("gpl-3.0", "gnu general public license version 3", ("gnu general public license version 3",)),
+    Template("gpl-2.0", "gnu general public license version 2", ("gnu general public license version 2",)),
+    Template("gpl-3.0", "spdx license identifier gpl 3 0", ("spdx license identifier gpl 3",)),
+    Template("gpl-2.0", "spdx license identifier gpl 2 0", ("spdx license identifier gpl 2",)),
+    Template("mit", "the mit license mit", ("mit license",)),
+    Template("mit", "spdx license identifier mit", ("spdx license identifier mit",)),
+    Template("bsd", "spdx license identifier bsd 3 clause", ("spdx license identifier bsd",)),
+    Template(
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+        ("apache license version 2 0", "you may not use this file except in compliance with the license"),
+    ),
+    Template(
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+        ("gnu general public license",),
+    ),
     Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
     Template("gpl-3.0", "licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
     Template("gpl-2.0", "licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
@@ -50,9 +71,7 @@ TEMPLATES = (
     Template("cc-by-nd", "licensed under cc by nd 4 0", ("cc by nd",)),
     Template("cc0", "released under the cc0 1 0 universal public domain dedication", ("public domain dedication",)),
 )
-# Words of a template that it is indexed by, the share of them that must agree on one place, and the share of the template's
-# words that must then stand there.
-RARE_WORDS = 3
+# Places of a template that must agree on where it stands, and the share of its words that must then stand there.
 MIN_VOTES = 2
 MIN_COVERAGE = 0.75
 
@@ -67,10 +86,11 @@ def words_of(text: bytes) -> list[bytes]:
 
 def places(line: bytes, phrase: bytes) -> list[int]:
     """Word numbers where a phrase starts; ``line`` and ``phrase`` have a space on both sides."""
-    out, at = [], line.find(phrase)
+    out, at, last, number = [], line.find(phrase), 0, 0
     while at >= 0:
-        out.append(line.count(b" ", 0, at))
-        at = line.find(phrase, at + 1)
+        number += line.count(b" ", last, at)
+        out.append(number)
+        last, at = at, line.find(phrase, at + 1)
     return out
 
 
@@ -94,17 +114,20 @@ def document_frequencies(docs: DataFrame, templates: tuple[Template, ...]) -> tu
 
 
 class RareTokenIndex:
-    """Postings (template, position) of each template's rarest words."""
+    """Postings (template, position) of each template's rarest words, of so many that ``MIN_COVERAGE`` always leaves ``MIN_VOTES`` of them."""
 
     def __init__(self, templates: tuple[Template, ...], total: int, frequency: dict[bytes, int]):
         self.templates = [(t.label, t.text.encode().split(), [b" " + p.encode() + b" " for p in t.phrases]) for t in templates]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for number, (_, words, _) in enumerate(self.templates):
             idf = {w: math.log((total + 1) / (frequency.get(w, 0) + 1)) for w in words}
-            for word in sorted(idf, key=lambda w: (-idf[w], w))[:RARE_WORDS]:
-                for position, other in enumerate(words):
-                    if other == word:
-                        self.postings[word].append((number, position))
+            wanted = len(words) - math.ceil(MIN_COVERAGE * len(words)) + MIN_VOTES
+            for word in sorted(idf, key=lambda w: (-idf[w], w)):
+                if wanted <= 0:
+                    break
+                held = [position for position, other in enumerate(words) if other == word]
+                self.postings[word] += [(number, position) for position in held]
+                wanted -= len(held)
         self.rare = frozenset(self.postings)
 
     def scan(self, words: list[bytes]) -> tuple[set[str], float]:

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockpulse.llm.columns import filtered
+
 # Documents that the order of the rules is estimated on, and their largest size.  Only the order, and so the speed, depends on
 # them.
 SAMPLE_DOCUMENTS = 500
@@ -149,12 +151,11 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows that no rule rejects, with all their columns; null and empty texts go.  Nothing is shuffled."""
+    """The rows that no rule rejects, with all their columns, whatever their names; null and empty texts go."""
     ordered = best_order(docs, rules)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = (Text(None if t is None else t.encode()) for t in batch.column("text").to_pylist())
-            yield batch.filter(pa.array([not any(r.rejects(t) for r in ordered) for t in texts], pa.bool_()))
+    def keep(texts: list[str | None]) -> list[bool]:
+        read = (Text(None if t is None else t.encode()) for t in texts)
+        return [not any(r.rejects(t) for r in ordered) for t in read]
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, keep)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockpulse.llm.columns import whole_row
 from dockpulse.session import stage
 
 MAX_REPEATS = 2.0
@@ -133,10 +134,9 @@ def mixture(docs: DataFrame, max_repeats: float = MAX_REPEATS, block_tokens: int
 
 
 def mixed(docs: DataFrame, max_repeats: float = MAX_REPEATS) -> DataFrame:
-    """The rows of ``docs``, each as often as the mixture reads it (at least once), with all their columns."""
-    times = mixture(docs, max_repeats).groupBy("doc_id", "digest", "source").agg(F.count("*").alias("__times"))
-    times = times.select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "digest", "source")), "__times")
-    digest = F.md5(F.coalesce(docs["text"], F.lit("")))
-    same = docs["doc_id"].eqNullSafe(F.col("__doc_id")) & (digest == F.col("__digest")) & docs["source"].eqNullSafe(F.col("__source"))
-    rows = docs.join(times, same).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows of ``docs``, each as often as the mixture reads it (at least once), with all their columns, whatever their names."""
+    times = mixture(docs, max_repeats).groupBy("doc_id", "digest", "source").agg(F.count("*").alias("times"))
+    digest = F.md5(F.coalesce("text", F.lit(""))).alias("digest")
+    rows = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("doc_id"), digest, "source")
+    read = rows.join(times, _same(rows, times, "doc_id", "digest", "source")).select("row", "times")
+    return read.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("row.*")

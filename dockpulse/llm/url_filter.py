@@ -44,7 +44,8 @@ PATTERN_RULES = (
     UrlRule("cheap pills", r"^(?:[^/?#]*[.-])?cheap-pills\.", ("cheap", "pills"), "block"),
     UrlRule("casino", r"^(?:[^/?#]*[.-])?casino[.-]", ("casino",), "block"),
     UrlRule("adult", r"^(?:[^/?#]*[.-])?xxx[.-]", ("xxx",), "block"),
-    UrlRule("login page", r"/(?:login|signin)(?:[/?#]|$)", (), "block"),
+    UrlRule("login page", r"/login(?:[/?#]|$)", ("login",), "block"),
+    UrlRule("login page", r"/signin(?:[/?#]|$)", ("signin",), "block"),
     UrlRule("session id", r"[?&]phpsessid=", ("phpsessid",), "block"),
 )
 
@@ -68,7 +69,10 @@ def tokens(target: Column) -> Column:
 
 
 def rule_index(urls: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:
-    """(number, name, regex, verdict, listed, token): the token is the rule's rarest over all urls, null if it has none."""
+    """(number, name, regex, verdict, listed, token): the token is the rule's rarest over all urls."""
+    for rule in rules:
+        if not rule.tokens:
+            raise ValueError(f"rule {rule.name} has no literal token to be found by")
     spark = urls.sparkSession
     rows = [
         F.struct(
@@ -100,8 +104,7 @@ def judge_urls(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, pattern) of every row.
 
-    A url's tokens fetch the rules that are indexed by them (and the few rules without a literal token); only those run their
-    regular expression.  The longest listed rule that fits decides.  Where none fits, ``rule`` is null and the
+    A url's tokens fetch the rules that are indexed by them; only those run their regular expression.  The longest listed rule that fits decides.  Where none fits, ``rule`` is null and the
     patterns decide: blocked if any fits (``pattern`` names the first), else allowed.
 
     Each distinct url is judged once, so a url or host in a third of all rows is no hot group.  Needs ``page_id`` and ``url``; others
@@ -113,8 +116,7 @@ def judge_urls(
     urls = urls.select("url", host.alias("host"), path.alias("path"), target.alias("target"))
     urls = urls.withColumn("tokens", tokens(F.col("target")))
     index = rule_index(urls, listed + patterns)
-    keyed = urls.select("url", "target", F.explode(F.concat("tokens", F.array(F.lit("")))).alias("token"))
-    candidates = keyed.join(index.withColumn("token", F.coalesce("token", F.lit(""))), "token")
+    candidates = urls.select("url", "target", F.explode("tokens").alias("token")).join(index, "token")
     fitting = candidates.where("regexp_like(target, regex)")
     best = fitting.groupBy("url").agg(
         F.max(F.when(F.col("listed"), F.struct(F.length("name").alias("n"), "name", "verdict"))).alias("rule"),

@@ -1,9 +1,12 @@
 """Quality rules, license scans, decontamination and secrets."""
 
+import math
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from dockpulse.llm import decontamination, license_scan, quality_rules, secret_scan
 from dockpulse.llm.quality_rules import RULES
@@ -208,3 +211,84 @@ def test_training_rows_hold_both_kinds_beside_heavy_vectors(spark):
     chosen = secret_scan.training_rows(labelled, 20).collect()
     assert sorted((r.label, r.weight) for r in chosen) == [(0.0, 300.0), (1.0, 300.0)]
     assert secret_scan.fitted(labelled.where("label = 1"), 20) is None
+
+
+def brute_contaminated(docs, benchmark):
+    """Every item against every passage, with plain BM25 sums over all items."""
+    d = decontamination
+    listed = sorted({(i, t) for i, t in benchmark if i is not None and d.words_of(t)})
+    words = [d.words_of(t) for _, t in listed]
+    mean, stride = sum(map(len, words)) / len(words), max(d.MIN_STRIDE, max(map(len, words)))
+
+    def impact(word, own):
+        holding = sum(word in w for w in words)
+        tf = own.count(word)
+        idf = math.log(1 + (len(words) - holding + 0.5) / (holding + 0.5))
+        return idf * tf * (d.K1 + 1) / (tf + d.K1 * (1 - d.B + d.B * len(own) / mean))
+
+    impacts = [{w: impact(w, own) for w in set(own)} for own in words]
+    out = {}
+    for doc, text in docs:
+        body = d.words_of(text)
+        for start in range(0, max(1, len(body)), stride):
+            passage = body[start : start + 2 * stride]
+            for (item, _), own, parts in zip(listed, words, impacts, strict=True):
+                score = sum(x for w, x in parts.items() if w in passage) / sum(parts.values())
+                if score < d.MIN_SCORE:
+                    continue
+                size = min(5, len(own))
+                here = {tuple(passage[i : i + size]) for i in range(len(passage) - size + 1)}
+                found = [any(tuple(own[j : j + size]) in here for j in range(max(0, i - size + 1), min(i, len(own) - size) + 1)) for i in range(len(own))]
+                cut = len(own) - max(1, round(len(own) * d.ANSWER_SHARE))
+                question = sum(found[:cut]) / cut if cut else 1.0
+                answer = sum(found[cut:]) / (len(own) - cut)
+                runs = {tuple(own[i : i + 13]) for i in range(len(own) - 12)} & {tuple(passage[i : i + 13]) for i in range(len(passage) - 12)}
+                if (question >= 0.7 and answer >= 0.5) or runs:
+                    out[doc, item] = max(out.get((doc, item), 0), score)
+    return out
+
+
+@pytest.mark.parametrize("index_bytes", [1 << 10, 16 << 20])
+def test_contaminated_equals_exhaustive_search(spark, monkeypatch, index_bytes):
+    """Items whole, cut short and with other words between; scores do not depend on how many indexes there are."""
+    monkeypatch.setattr(decontamination, "INDEX_BYTES", index_bytes)
+    benchmark, draw = [*items(24), (7, "another text of item seven " * 5), (None, "a b c"), (3, None), (4, "...")], random.Random(9)
+    texts = []
+    for _, text in items(24):
+        words = text.split()
+        cut = words[: round(len(words) * draw.choice([0.3, 0.5, 0.75, 1]))]
+        cut = [w if draw.random() > draw.choice([0, 0, 0.2]) else "other" for w in cut]
+        texts.append(" ".join(["start"] * draw.randint(0, 150) + cut + ["end"] * draw.randint(0, 150)))
+    docs = list(enumerate([*texts, None, "", "start end"]))
+    table = spark.createDataFrame(benchmark, "item_id long, text string")
+    table = table.union(table.limit(3)).withColumn("word", F.lit("own")).withColumn("shard", F.lit("own"))
+    found = decontamination.contaminated(documents(spark, [t for _, t in docs]), table).groupBy("doc_id", "item_id").agg(F.max("score").alias("s"))
+    want = brute_contaminated(docs, benchmark)
+    got = {(r.doc_id, r.item_id): r.s for r in found.collect()}
+    assert set(got) == set(want) and len(want) > 5
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_cut_item_is_found(spark):
+    (item,) = items(1, 3)
+    words = [f"{w}{i}" for i, w in enumerate(item[1].split() * 3)][:59]
+    table = spark.createDataFrame([(1, " ".join(words)), *[(i, t) for i, t in items(20) if i > 1]], "item_id long, text string")
+    assert [r.doc_id for r in decontamination.contaminated(documents(spark, [" ".join(words[:44]), " ".join(words[:10])]), table).collect()] == [0]
+
+
+def test_license_hits_in_linear_time():
+    line = b" " + b"cc by " * 80_000
+    began = time.perf_counter()
+    assert license_scan.places(line, b" cc by ") == list(range(0, 160_000, 2))
+    assert time.perf_counter() - began < 1
+
+
+def test_license_headers(spark):
+    texts = {
+        "Apache License Version 2.0, January 2004": "apache-2.0", "GNU GENERAL PUBLIC LICENSE Version 3": "gpl-3.0", "The MIT License (MIT)": "mit",
+        "# SPDX-License-Identifier: Apache-2.0": "apache-2.0", "SPDX-License-Identifier: MIT": "mit", "GNU General Public License Version 2, June 1991": "gpl-2.0",
+    }
+    rows = license_scan.scan_licenses(documents(spark, list(texts), [None, 1, 1, 2, 3, None])).collect()
+    labels = sorted(r.labels for r in rows)
+    assert all(any(want in found.split(",") for found in labels) for want in texts.values())
+    assert all(r.score >= license_scan.MIN_COVERAGE for r in rows) and [r.doc_id for r in rows].count(None) == 2
