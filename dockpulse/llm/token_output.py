@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from codecs import charmap_decode
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -23,6 +24,15 @@ FILE_CHUNKS = 64
 # Words kept by a worker, and how many stay when they are too many: the earliest met, which are the frequent ones.
 CACHED_WORDS, LASTING_WORDS = 550_000, 400_000
 PORTION_BYTES, PORTION_ROWS = 2 << 20, 512
+# New words that are looked at together.
+LEARNT_WORDS = 1 << 12
+CLOSING = b".,;:!?"
+_IS_CLOSING = np.isin(np.arange(256), list(CLOSING))
+_IS_PLAIN = np.isin(np.arange(256), list(b"0123456789abcdefghijklmnopqrstuvwxyz"))
+# The characters that byte-level tokenizers write bytes as: printable Latin-1 as it is, the rest from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+BYTE_LETTERS = "".join(chr(b if b in _SHOWN else 0x100 + _HIDDEN.index(b)) for b in range(256))
 LEVEL = 3
 
 FILE_SCHEMA = (
@@ -53,8 +63,8 @@ class WordEncoder:
     """Ids of texts, with the ids of up to ``CACHED_WORDS`` words kept.
 
     The tokenizer splits at white space and joins nothing across it, so a text's ids are those of its words in turn.  It ignores
-    case and splits a word before closing punctuation, so only the lower-case core of a new word is encoded.  Words that its
-    normalization would compose, as they are or in lower case, are encoded as they are.
+    case and splits a word before closing punctuation, so texts are put in lower case and split there too, and only the core of a
+    new word is encoded.  Words that its normalization would compose, as they are or in lower case, are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -63,8 +73,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         # Words are made of one or two forms; form 0 is empty.
-        self.number, self.form = defaultdict[bytes, int](), {b"": 0}
-        self.number.default_factory = self.number.__len__
+        self.number, self.form = defaultdict[bytes, int](), defaultdict[bytes, int](int, {b"": 0})
+        self.number.default_factory, self.form.default_factory = self.number.__len__, self.form.__len__
         self.forms_of = np.empty((0, 2), np.int64)
         self.sizes, self.first, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, "<u4")
 
@@ -80,6 +90,9 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text, followed by the end id."""
+        joined = b"\n".join(texts)
+        if b"<|" not in joined and (joined.isascii() or _composed(joined)):
+            texts = _spaced(joined.lower(), np.cumsum([len(t) + 1 for t in texts]))
         split = [t.split() for t in texts]
         counts = np.array([len(w) for w in split], np.int64)
         if len(self.number) > CACHED_WORDS:
@@ -106,11 +119,14 @@ class WordEncoder:
         self.flat = self.flat[: self.first[-1] + self.sizes[-1]].copy()
 
     def _learn(self, words: list[bytes]) -> None:
-        pairs, forms, start = [], self.form, len(self.form)
-        for word in words:
-            core, tail = self._core(word)
-            pairs.append((forms.setdefault(core, len(forms)), forms.setdefault(tail, len(forms)) if tail else 0))
-        self.forms_of = np.concatenate([self.forms_of, np.array(pairs, np.int64).reshape(-1, 2)])
+        forms, start, cores, tails = self.form, len(self.form), [], []
+        for at in range(0, len(words), LEARNT_WORDS):
+            for own, more in zip((cores, tails), self._cores(words[at : at + LEARNT_WORDS]), strict=True):
+                own += more
+        pairs = np.zeros((len(words), 2), np.int64)
+        pairs[:, 0] = np.fromiter(map(forms.__getitem__, cores), np.int64, len(words))
+        pairs[:, 1] = np.fromiter(map(forms.__getitem__, tails), np.int64, len(words))
+        self.forms_of = np.concatenate([self.forms_of, pairs])
         new = [form.decode() for form in _youngest(forms, len(forms) - start)]
         sizes, flat = self._ids(new)
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
@@ -120,25 +136,45 @@ class WordEncoder:
     def _ids(self, forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of ids, ids) of forms.
 
-        Lower-case ASCII letters are what the tokenizer would hand to its model unchanged, so they go there directly.
+        Letters up to U+024F are one piece to the tokenizer.  It would hand them to its model in lower case and byte by byte, so they
+        go there directly.
         """
-        model = self.tokenizer.model.tokenize
-        found = [[t.id for t in model(f)] if f.isascii() and f.isalpha() else None for f in forms]
+        model, found = self.tokenizer.model.tokenize, []
+        for form in forms:
+            letters = None
+            if form.isascii():
+                letters = form if form.isalpha() else None
+            elif form.isalpha() and (small := form.lower()).isalpha() and max(small) <= "\u024f":
+                letters = charmap_decode(small.encode(), "strict", BYTE_LETTERS)[0]
+            found.append(None if letters is None else [t.id for t in model(letters)])
         other = [f for f, ids in zip(forms, found, strict=True) if ids is None]
         encoded = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else [])
         found = [next(encoded).ids if ids is None else ids for ids in found]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return sizes, np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
 
+    def _cores(self, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """``_core`` of many words, which have no white space; what holds for all of them is asked once."""
+        joined = b"\n".join(words)
+        low = joined.lower()
+        if b"<|" in joined or not (joined.isascii() or _composed(joined)):
+            return tuple(map(list, zip(*map(self._core, words), strict=True)))
+        words = low.split(b"\n")
+        cores, tails = [w.rstrip(CLOSING) for w in words], [b""] * len(words)
+        for i, (word, core) in enumerate(zip(words, cores, strict=True)):
+            if len(core) != len(word):
+                cores[i], tails[i] = self._core(word)
+        return cores, tails
+
     @staticmethod
     def _core(word: bytes) -> tuple[bytes, bytes]:
         """The word without closing punctuation, and that; in lower case where this cannot make a special token."""
         if b"<|" in word:
             return word, b""
-        if not word.isascii() and not all(is_normalized("NFC", w.decode()) for w in (word, word.lower())):
+        if not word.isascii() and not _composed(word):
             return word, b""  # the tokenizer composes letters first, and J with a caron has a composed form only when small
         word = word.lower()
-        core = word.rstrip(b".,;:!?")
+        core = word.rstrip(CLOSING)
         if len(core) == len(word) or not core:
             return word, b""
         last = core[-1]
@@ -151,6 +187,20 @@ class WordEncoder:
         return core, word[len(core) :]
 
 
+def _spaced(joined: bytes, ends: np.ndarray) -> list[bytes]:
+    """The texts that end at ``ends``, with a space between a letter or number and closing punctuation."""
+    codes = np.frombuffer(joined, np.uint8)
+    at = np.flatnonzero(_IS_PLAIN[codes[:-1]] & _IS_CLOSING[codes[1:]]) + 1
+    whole = np.insert(codes, at, 0x20).tobytes()
+    ends = (ends + np.searchsorted(at, ends)).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _composed(text: bytes) -> bool:
+    """Whether the tokenizer would compose no letters, in the text as it is and with A-Z in lower case."""
+    return is_normalized("NFC", text.decode()) and is_normalized("NFC", text.lower().decode())
+
+
 def _youngest(known: dict, count: int) -> list[bytes]:
     """The keys added last, in the order in which they came."""
     return list(islice(reversed(known), count))[::-1]

@@ -72,3 +72,30 @@ def test_round_trip(spark, whole, monkeypatch, kind, chunk, chunks):
 
 def test_empty_table(spark):
     assert token_output.encoded(documents(spark, []), PATH).count() == 0
+
+
+LETTERS = "aZéÉßüœŒøØłŁžŽıİǅǆſŉΣςжЖ字ªº\u0301\u0308\u030a\u0331\u200d\ufb01\u01f0ʼnʰʹˈ̈"
+
+
+def test_random_texts(whole):
+    """Made-up texts of letters of all kinds, marks, numbers, controls and closing punctuation, many at a time."""
+    import random
+
+    draw, made = random.Random(13), []
+    pieces = [*LETTERS, *"0123456789¼²٣", *" \t\n\x0b\x85\xa0\u2003\u3000", *".,;:!?'\"()-_<>|&", "'s", "'LL", "<|endoftext|>", "\x00", "\x1c", "the", "The", "ing"]
+    for _ in range(6000):
+        made.append("".join(draw.choices(pieces, k=draw.randint(1, 14))))
+    encoder = token_output.WordEncoder(PATH)
+    for at in range(0, len(made), 500):
+        part = made[at : at + 500]
+        found = encoder.encode([t.encode() for t in part])
+        for text, ids in zip(part, found, strict=True):
+            assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1], repr(text)
+
+
+def test_forgetting_words_changes_nothing(whole, monkeypatch):
+    monkeypatch.setattr(token_output, "CACHED_WORDS", 60)
+    monkeypatch.setattr(token_output, "LASTING_WORDS", 25)
+    encoder, texts = token_output.WordEncoder(PATH), random_texts(21, 80)
+    for text in texts + texts[::-1]:
+        assert encoder.encode([text.encode()])[0].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
