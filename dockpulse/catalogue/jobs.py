@@ -8,7 +8,7 @@ from dockpulse.catalogue import oracle as o
 from dockpulse.catalogue.base import CUTOFF, broken_landing, bronze, bronze_path, districts, lake, landing, mixed_lake, query, without
 from dockpulse.catalogue.checks import BROKEN_SQL, dq_report_sql
 from dockpulse.config import parquet_warehouse
-from dockpulse.operators import gold, silver
+from dockpulse.operators import gold, silver, states
 from dockpulse.operators.gold import DISTRICT
 from dockpulse.plans import backfill, cleanup, enrich, ingest
 from dockpulse.plans import gold as gold_plan
@@ -90,6 +90,22 @@ def _(spark, sf):
     return table.read(spark)
 
 
+@query("stream_hourly_states", o.final("hourly", o.HOURLY_COLUMNS))
+def _(spark, sf):
+    """The hourly fact from appended states: two streams over an early and a late half, a compaction between, and a replayed batch."""
+    store, path = jobs.hourly_states(work_path(spark, "hourly-states")), bronze_path(spark, sf)
+    rows = spark.readStream.schema(BRONZE_LAKE).option("maxFilesPerTrigger", 3).parquet(path)
+    late = F.col("ingestion_date") >= F.lit(CUTOFF).cast("date")
+    for name, part in (("early", rows.where(~late)), ("late", rows.where(late))):
+        facts = silver.stored_fact(silver.project_fact(silver.transform_silver(part)))
+        _finish(jobs.start_hourly_states(gold.stg_availability(facts), store, work_path(spark, "stream-checkpoint"), name))
+        if name == "early":
+            store.compact(spark)
+    staged = gold.stg_availability(silver.stored_fact(silver.project_fact(silver.transform_silver(bronze(spark, sf).where(~late)))))
+    store.append(states.hourly_state(staged), "early", 0)
+    return states.hourly_from_states(store.read(spark))
+
+
 @query("stream_silver_upsert", o.final("fact", f"{o.FACT_COLUMNS} {o.CALENDAR_COLUMNS}"))
 def _(spark, sf):
     """Facts after the stream ran over the lake twice with separate checkpoints: nothing is doubled."""

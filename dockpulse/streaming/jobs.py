@@ -11,8 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from dockpulse.config import Warehouse
 from dockpulse.functions.clock import with_calendar
 from dockpulse.operators.gold import hourly_measures
+from dockpulse.operators.states import STATE_SCHEMA, hourly_state, merged
 from dockpulse.plans.silver import load_silver
 from dockpulse.schemas import FACT_HOURLY
+from dockpulse.sinks.deltas import DeltaStore
 from dockpulse.sinks.writers import FACT_KEYS, incremental_replace
 from dockpulse.sources.landing import explode_payloads, quarantined, to_bronze
 from dockpulse.sources.tables import StoredTable
@@ -111,6 +113,26 @@ def start_hourly(
     )
 
 
+def hourly_states(path: str) -> DeltaStore:
+    """The store of mergeable hourly states below a folder."""
+    return DeltaStore(path, STATE_SCHEMA, merged)
+
+
+def start_hourly_states(
+    staged: DataFrame, store: DeltaStore, checkpoint: str, stream: str = "hourly", trigger: Mapping[str, object] = ONCE
+) -> StreamingQuery:
+    """Append each micro-batch's states of the hours it touches; ``hourly_from_states(store.read(spark))`` is the fact.
+
+    No state is kept between batches and nothing stored is read, so rows of any age count and a batch writes as much as it
+    brings.  A replayed batch replaces what it wrote.  ``stream`` names the checkpoint: another one needs another name.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        store.append(hourly_state(batch), stream, number)
+
+    return staged.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def start_silver_upsert(
     bronze: DataFrame,
     warehouse: Warehouse,
