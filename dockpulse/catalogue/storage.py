@@ -194,6 +194,19 @@ def _(spark, sf):
     return without(table.read(spark))
 
 
+@query("load_fact_by_bitmaps", o.final("fact", f"{o.FACT_COLUMNS} {o.CALENDAR_COLUMNS}"))
+def _(spark, sf):
+    """As above, through bitmaps of the stored keys: a table loaded without them, then the whole period twice, and once more."""
+    warehouse = _empty_warehouse(spark)
+    table, bitmaps = warehouse.table("station_availability"), writers.stored_key_bitmaps(work_path(spark, "key-bitmaps"))
+    rows = fact(spark, sf)
+    writers.load_fact_dedup(spark, before_cutoff(rows), table)
+    writers.load_fact_by_bitmaps(spark, rows.unionByName(rows), table, bitmaps)
+    bitmaps.compact(spark)
+    writers.load_fact_by_bitmaps(spark, rows, table, bitmaps)
+    return without(table.read(spark))
+
+
 @query("materialize_full", o.final("dim", f"{o.STATION_COLUMNS} capacity_category city"))
 def _(spark, sf):
     """The refresh replaces an earlier, smaller version."""

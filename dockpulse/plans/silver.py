@@ -40,6 +40,7 @@ class SilverRun:
             "facts_written": self.facts.rows_written,
             "duplicates_skipped": self.duplicates_skipped,
             "stations_written": self.stations.rows_written,
+            "duration_seconds": self.seconds,
         }
 
 

@@ -43,6 +43,11 @@ class DeltaStore:
         rows = states.select(*self.schema.fieldNames()).hint("rebalance", DAY)
         rows.write.mode("overwrite").partitionBy(DAY).parquet(f"{self.path}/pending/stream={stream}/batch={batch}")
 
+    def last(self, spark: SparkSession, stream: str) -> int | None:
+        """The last batch of a stream that the store holds, folded or pending."""
+        numbers = [n for name, n, _ in self._pending(spark) if name == stream]
+        return max(numbers, default=self._folded(spark).get(stream))
+
     def read(self, spark: SparkSession, low: str | None = None, high: str | None = None) -> DataFrame:
         """One state for each key; ``low`` and ``high`` (inclusive days) prune the folders that are read."""
         return self.merge(self._parts(spark, self._pending(spark), low, high))

@@ -9,9 +9,11 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dockpulse.operators.key_bitmaps import BITMAP_SCHEMA, key_bitmaps, merged_bitmaps, with_maybe_stored
 from dockpulse.operators.loading import batch_bounds, matching, new_rows, replace_by_key, without_stored
 from dockpulse.operators.silver import dedup_in_batch
 from dockpulse.session import path_exists, staged_for_use, swap_folder
+from dockpulse.sinks.deltas import DeltaStore
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.sources.tables import StoredTable, scan_table, scan_window
 
@@ -133,6 +135,40 @@ def _load_fact(spark: SparkSession, batch: DataFrame, table: StoredTable) -> Loa
     return LoadResult(bounds["rows"], written.get["rows"], tuple(bounds["days"]))
 
 
+def stored_key_bitmaps(path: str) -> DeltaStore:
+    """The bitmaps of a fact's stored keys, kept below a folder beside it."""
+    return DeltaStore(path, BITMAP_SCHEMA, merged_bitmaps)
+
+
+def load_fact_by_bitmaps(spark: SparkSession, batch: DataFrame, table: StoredTable, bitmaps: DeltaStore) -> LoadResult:
+    """As ``load_fact_dedup``, but the stored keys are read only where a bit says that they may be there.
+
+    The batch's own bits are stored before its rows: a load that is lost between the two leaves bits without rows, which cost a
+    look at the stored keys when it is repeated, and never the other way round.  All loads of the table must keep its bitmaps; a table
+    that was loaded without gets them from its own keys first.
+    """
+    with staged_for_use(batch, "fact-batch") as rows:
+        days = F.array_sort(F.collect_set(F.to_date("snapshot_timestamp"))).alias("days")
+        bounds = batch_bounds(rows, days).first()
+        if bounds["min_ts"] is None:
+            return LoadResult()
+        if bitmaps.last(spark, "loads") is None and table.exists(spark):
+            bitmaps.append(key_bitmaps(table.read(spark)), "loads", 0)
+            bitmaps.compact(spark)
+        low, high = str(bounds["min_ts"].date()), str(bounds["max_ts"].date())
+        with staged_for_use(with_maybe_stored(dedup_in_batch(rows), bitmaps.read(spark, low, high)), "fact-marked") as marked:
+            fresh, doubtful = (marked.where(c).drop("maybe_stored") for c in ("NOT maybe_stored", "maybe_stored"))
+            near = batch_bounds(doubtful).first()
+            if near["min_ts"] is not None:
+                stored = scan_window(spark, table, list(FACT_KEYS), "snapshot_timestamp", near["min_ts"], near["max_ts"])
+                fresh = fresh.unionByName(doubtful if stored is None else new_rows(doubtful, stored, *FACT_KEYS))
+            last = bitmaps.last(spark, "loads")
+            bitmaps.append(key_bitmaps(marked), "loads", 0 if last is None else last + 1)
+            written = Observation()
+            write_table(fresh, table, written=written)
+    return LoadResult(bounds["rows"], written.get["rows"], tuple(bounds["days"]))
+
+
 def materialize_full(df: DataFrame, table: StoredTable) -> None:
     """Full refresh.  The new version is complete on disk before the old one goes.
 

@@ -6,8 +6,10 @@ import pytest
 from helpers import bronze
 from pyspark.sql import functions as F
 
-from dockpulse.operators import gold, silver, states
+from dockpulse.config import parquet_warehouse
+from dockpulse.operators import gold, key_bitmaps, silver, states
 from dockpulse.schemas import BRONZE
+from dockpulse.sinks import writers
 from dockpulse.streaming import jobs
 
 
@@ -104,3 +106,57 @@ def test_stream_takes_rows_of_any_age(spark, tmp_path):
         job.awaitTermination()
         assert job.exception() is None
     same(states.hourly_from_states(store.read(spark)), gold.fact_hourly(staged(spark.read.parquet(source))))
+
+
+def test_bits_are_the_seconds(spark):
+    times = ["00:00:00", "00:00:07", "00:00:08", "09:06:07", "09:06:08", "12:34:56.5", "18:12:15", "18:12:16", "23:59:59"]
+    rows = spark.createDataFrame([("s", t) for t in times], "station_id string, t string")
+    rows = rows.select("station_id", F.concat(F.lit("2026-02-26 "), "t").cast("timestamp_ntz").alias("snapshot_timestamp"))
+    asked = spark.range(86400).select(
+        F.lit("s").alias("station_id"), F.expr("TIMESTAMP_NTZ '2026-02-26 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)").alias("snapshot_timestamp")
+    )
+    found = key_bitmaps.with_maybe_stored(asked, key_bitmaps.key_bitmaps(rows)).where("maybe_stored").collect()
+    assert sorted(r["snapshot_timestamp"].strftime("%H:%M:%S") for r in found) == [t[:8] for t in times]
+    other = key_bitmaps.with_maybe_stored(asked.withColumn("station_id", F.lit("x")), key_bitmaps.key_bitmaps(rows))
+    assert other.where("maybe_stored").count() == 0
+
+
+def loaded(spark, load, tmp_path, name):
+    table = parquet_warehouse(str(tmp_path / name)).table("station_availability")
+    written = [load(staged_facts(spark, seed, count), table).rows_written for seed, count in ((1, 80), (2, 80), (1, 80), (3, 1))]
+    return table.read(spark).drop("processing_timestamp"), written
+
+
+def staged_facts(spark, seed, count):
+    return silver.stored_fact(silver.project_fact(silver.transform_silver(many(spark, seed, count))))
+
+
+def test_load_by_bitmaps_equals_load_by_keys(spark, tmp_path):
+    bitmaps = writers.stored_key_bitmaps(str(tmp_path / "bits"))
+    plain, counts = loaded(spark, lambda rows, table: writers.load_fact_dedup(spark, rows, table), tmp_path, "a")
+    found, more = loaded(spark, lambda rows, table: writers.load_fact_by_bitmaps(spark, rows, table, bitmaps), tmp_path, "b")
+    same(plain, found)
+    assert counts == more and counts[2] == 0
+
+
+def test_new_keys_need_no_stored_key(spark, tmp_path, monkeypatch):
+    """A batch of new seconds never reads the fact."""
+    table, bitmaps = parquet_warehouse(str(tmp_path / "w")).table("station_availability"), writers.stored_key_bitmaps(str(tmp_path / "bits"))
+    rows = staged_facts(spark, 4, 50)
+    late = F.col("snapshot_date") >= F.lit("2026-02-02").cast("date")
+    writers.load_fact_by_bitmaps(spark, rows.where(~late), table, bitmaps)
+    monkeypatch.setattr(writers, "scan_window", lambda *_: pytest.fail("read the stored keys"))
+    writers.load_fact_by_bitmaps(spark, rows.where(late), table, bitmaps)
+    assert table.read(spark).count() == rows.dropDuplicates(["station_id", "snapshot_timestamp"]).count()
+
+
+def test_load_lost_behind_its_bitmaps_is_repeated(spark, tmp_path, monkeypatch):
+    table, bitmaps = parquet_warehouse(str(tmp_path / "w")).table("station_availability"), writers.stored_key_bitmaps(str(tmp_path / "bits"))
+    rows = staged_facts(spark, 5, 40)
+    monkeypatch.setattr(writers, "write_table", lambda *_, **__: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        writers.load_fact_by_bitmaps(spark, rows, table, bitmaps)
+    monkeypatch.undo()
+    keys = rows.dropDuplicates(["station_id", "snapshot_timestamp"]).count()
+    assert writers.load_fact_by_bitmaps(spark, rows, table, bitmaps).rows_written == keys
+    assert writers.load_fact_by_bitmaps(spark, rows, table, bitmaps).rows_written == 0
