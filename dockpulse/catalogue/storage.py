@@ -32,6 +32,7 @@ from dockpulse.operators.stations import stations_dimension
 from dockpulse.session import work_path
 from dockpulse.sinks import writers
 from dockpulse.sources import bronze as lake_source
+from dockpulse.sources import jdbc
 from dockpulse.sources.files import latest_readable_snapshot
 from dockpulse.sources.landing import add_lineage, apply_type_contract, flatten_geo, scan_snapshot_json, with_bronze_partitions
 from dockpulse.sources.tables import register_views, scan_table, stored_days
@@ -82,6 +83,20 @@ def _(spark, sf):
     return spark.read.parquet(newest).agg((F.count(F.lit(1)) > 0).alias("readable"))
 
 
+@query("jdbc_balanced_splits", f"{o.chain('fact')} SELECT count(*) AS rows, count(*) AS covered_once, 8 AS parts, true AS balanced FROM fact")
+def _(spark, sf):
+    """The conditions of a balanced read, applied to the stored fact: complete, disjoint, and none with twice its share."""
+    rows = stored_table(spark, sf, "station_availability")
+    parts = jdbc.split_predicates("snapshot_timestamp", jdbc.split_bounds(rows, "snapshot_timestamp", 8))
+    hits = [F.expr(p).cast("int") for p in parts]
+    sizes = F.greatest(*[F.sum(h) for h in hits])
+    once = F.count_if(sum(hits[1:], hits[0]) == 1)
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"), once.alias("covered_once"), F.lit(len(parts)).alias("parts"),
+        (sizes * len(parts) <= F.count(F.lit(1)) * 2).alias("balanced"),
+    )
+
+
 @query(
     "scan_boundaries",
     """SELECT s_suppkey + 1 AS arr_number, 'Paris ' || (s_suppkey + 1) || CASE WHEN s_suppkey = 0 THEN 'er' ELSE 'e' END || ' Arrondissement' AS label,

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -79,3 +80,55 @@ def scan_jdbc_pushdown(
 
 def _reader(spark: SparkSession, options: dict[str, str]) -> DataFrameReader:
     return spark.read.format("jdbc").options(**options)
+
+
+# Rows of a batch that a split's bounds may be off by, in a thousandth of the batch.
+BOUND_ERROR = 0.001
+
+
+def split_bounds(batch: DataFrame, column: str, partitions: int) -> list[datetime]:
+    """Ascending instants that cut the batch's rows into about equal parts; equal rows are never cut, so there may be fewer.
+
+    They come from a quantile sketch, one pass and a few numbers to the driver.
+    """
+    micros = F.unix_micros(F.col(column).cast("timestamp"))
+    shares = [i / partitions for i in range(1, partitions)]
+    if not shares:
+        return []
+    found = batch.where(F.col(column).isNotNull()).agg(F.approx_percentile(micros, F.array(*map(F.lit, shares)), F.lit(int(1 / BOUND_ERROR))).alias("at"))
+    cuts = sorted(set(found.first()["at"] or []))
+    lowest = batch.agg(F.min(micros)).first()[0]
+    stamps = batch.sparkSession.createDataFrame([(c,) for c in cuts if c > lowest], "micros bigint").orderBy("micros")
+    # The session's zone, in which the column was read, also spells the bounds.
+    return [row[0] for row in stamps.select(F.timestamp_micros("micros").cast("timestamp_ntz")).collect()]
+
+
+def split_predicates(column: str, bounds: list[datetime]) -> list[str]:
+    """Conditions, one a partition: each row of the table fits exactly one of them, rows without a time the first."""
+    stamps = [quote_literal(t.strftime("%Y-%m-%d %H:%M:%S.%f")) for t in bounds]
+    if not stamps:
+        return ["1 = 1"]
+    out = [f"{column} < TIMESTAMP {stamps[0]} OR {column} IS NULL"]
+    out += [f"{column} >= TIMESTAMP {low} AND {column} < TIMESTAMP {high}" for low, high in zip(stamps, stamps[1:], strict=False)]
+    return [*out, f"{column} >= TIMESTAMP {stamps[-1]}"]
+
+
+def scan_jdbc_balanced(
+    spark: SparkSession,
+    source: JdbcSource,
+    table: str,
+    columns: list[str],
+    column: str,
+    batch: DataFrame,
+    partitions: int = 8,
+) -> DataFrame:
+    """The time window of ``batch`` in parts that hold about as many of the batch's rows each.
+
+    Equal widths would put a window's crowded hours into one query; these bounds follow the rows that are looked up.
+    """
+    start, end = batch.agg(F.min(column), F.max(column)).first()
+    options = table_options(source, "unused")
+    url = options.pop("url")
+    options.pop("dbtable")
+    query = f"({window_query(table, columns, column, start, end)}) AS bounded"
+    return spark.read.jdbc(url, query, predicates=split_predicates(column, split_bounds(batch, column, partitions)), properties=options)

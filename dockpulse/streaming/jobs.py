@@ -15,7 +15,7 @@ from dockpulse.operators.states import STATE_SCHEMA, hourly_state, merged
 from dockpulse.plans.silver import load_silver
 from dockpulse.schemas import FACT_HOURLY
 from dockpulse.sinks.deltas import DeltaStore
-from dockpulse.sinks.writers import FACT_KEYS, incremental_replace
+from dockpulse.sinks.writers import FACT_KEYS, incremental_replace, load_fact_by_bitmaps
 from dockpulse.sources.landing import explode_payloads, quarantined, to_bronze
 from dockpulse.sources.tables import StoredTable
 
@@ -82,6 +82,22 @@ def dedup_stream(silver: DataFrame, lateness: str = "2 days") -> DataFrame:
     return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(list(FACT_KEYS)).drop("event_time")
 
 
+def start_fact_dedup(
+    facts: DataFrame, table: StoredTable, bitmaps: DeltaStore, checkpoint: str, trigger: Mapping[str, object] = ONCE
+) -> StreamingQuery:
+    """Store each (station, timestamp) once, however late or often it comes.
+
+    ``dedup_stream`` forgets keys behind its watermark and drops rows that come later than that.  Here no key is kept in state:
+    repeats within a micro-batch are dropped there, others by the bitmaps of the stored keys, and only rows whose bit is
+    set meet the stored keys themselves.  A replayed micro-batch finds its rows stored.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        load_fact_by_bitmaps(batch.sparkSession, batch, table, bitmaps)
+
+    return facts.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def hourly_stream(staged: DataFrame, lateness: str = "2 days") -> DataFrame:
     """Hourly fact per station.  Grouping by the event-time window bounds the state to ``lateness``."""
     timed = staged.withColumn("event_time", F.col("snapshot_timestamp").cast("timestamp"))

@@ -369,3 +369,23 @@ def test_ingest_sets_broken_payloads_aside(spark, tmp_path):
     # Spark's text reader gives no row for a file without a byte.
     assert names == {f"bad{i}.json": reason for i, (text, reason) in enumerate(FAULTS.items()) if text}
     assert all(r["block_start"] == 0 for r in stored)
+
+
+def test_balanced_splits_cover_every_row_once(spark):
+    """Half of the rows lie in one minute of a week, some have no time."""
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 40 == 0, None)
+        .when(F.col("id") % 2 == 0, F.expr("TIMESTAMP_NTZ '2026-02-03 08:00:00' + make_interval(0, 0, 0, 0, 0, 0, (id % 60) + 0.25)"))
+        .otherwise(F.expr("TIMESTAMP_NTZ '2026-02-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id * 150)"))
+        .alias("ts")
+    )
+    bounds = jdbc.split_bounds(rows, "ts", 8)
+    parts = jdbc.split_predicates("ts", bounds)
+    assert bounds == sorted(set(bounds)) and len(parts) == len(bounds) + 1 == 8
+    marked = rows.select(*[F.coalesce(F.expr(p), F.lit(False)).cast("int").alias(f"p{i}") for i, p in enumerate(parts)]).cache()
+    assert marked.where(" + ".join(marked.columns) + " <> 1").count() == 0
+    sizes = marked.agg(*[F.sum(c).alias(c) for c in marked.columns]).first()
+    assert max(sizes) <= 1.35 * 4000 / 8
+    same = spark.range(50).select(F.expr("TIMESTAMP_NTZ '2026-02-03 08:00:00'").alias("ts"))
+    assert jdbc.split_predicates("ts", jdbc.split_bounds(same, "ts", 8)) == ["1 = 1"]
+    assert jdbc.split_bounds(rows, "ts", 1) == [] == jdbc.split_bounds(rows.where("false"), "ts", 8)

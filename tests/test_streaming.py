@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from dockpulse.config import parquet_warehouse
 from dockpulse.operators import gold, silver
 from dockpulse.schemas import BRONZE
+from dockpulse.sinks import writers
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.streaming import jobs
 
@@ -81,3 +82,17 @@ def test_ingest_lands_each_file_once(spark, tmp_path):
         )
         rows = scan_bronze(spark, str(tmp_path / "lake"), "2026-02-26", 1)
         assert sorted(r["stationcode"] for r in rows.collect()) == ["1", "2"], round_
+
+
+def test_rows_ten_days_late_and_repeated(spark, folder):
+    """What the watermark of ``dedup_stream`` would drop is stored, and once."""
+    source = f"{folder}/in"
+    table, bitmaps = parquet_warehouse(f"{folder}/wh").table("station_availability"), writers.stored_key_bitmaps(f"{folder}/bits")
+    new, late = {"ingestion_timestamp": "2026-02-26T14:00:00+01:00"}, {"ingestion_timestamp": "2026-02-16T14:00:00+01:00"}
+    half = {"ingestion_timestamp": "2026-02-16T14:00:00.500000+01:00"}
+    for changes in ((new, new), (late, late, new), (late, half, late | {"stationcode": "9"}), (half, new)):
+        append(spark, source, *changes)
+        finish(jobs.start_fact_dedup(facts(stream(spark, source)), table, bitmaps, f"{folder}/cp"))
+    found = sorted((r["station_id"], str(r["snapshot_timestamp"])) for r in table.read(spark).collect())
+    times = ["2026-02-16 14:00:00", "2026-02-16 14:00:00.500000", "2026-02-26 14:00:00"]
+    assert found == [*(("501", t) for t in times), ("9", times[0])]
