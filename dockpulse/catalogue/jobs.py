@@ -10,7 +10,7 @@ from dockpulse.catalogue.checks import BROKEN_SQL, dq_report_sql
 from dockpulse.config import parquet_warehouse
 from dockpulse.operators import gold, silver, states
 from dockpulse.operators.gold import DISTRICT
-from dockpulse.plans import backfill, cleanup, enrich, ingest
+from dockpulse.plans import backfill, cleanup, enrich, gold_days, ingest
 from dockpulse.plans import gold as gold_plan
 from dockpulse.plans import quality as quality_plan
 from dockpulse.plans import silver as silver_plan
@@ -159,6 +159,24 @@ def _(spark, sf):
     return without(warehouse.table("mart_station_performance").read(spark))
 
 
+@query("gold_by_days", o.final("performance", f"{o.SUMMARY_COLUMNS} {o.GLOBAL_RANK_COLUMNS} district_occupancy_rank:i"))
+def _(spark, sf):
+    """The stations' mart by days: half of the late days' hours first, then all days in three runs, a wrong day and its removal."""
+    warehouse, path = _warehouse(spark), lake(spark, sf)
+    silver_plan.run(spark, warehouse, path)
+    hours = gold.fact_hourly(gold.stg_availability(warehouse.table("station_availability").read(spark)))
+    days = sorted(r["snapshot_date"] for r in hours.select("snapshot_date").distinct().collect())
+    early = [d for d in days if str(d) < CUTOFF]
+    late = [d for d in days if str(d) >= CUTOFF]
+    wrong = days[0].replace(year=days[0].year - 1)
+    gold_days.refresh(spark, warehouse, hours.where("snapshot_hour < 12"), late)
+    gold_days.refresh(spark, warehouse, hours, early)
+    moved = hours.where(F.col("snapshot_date") == F.lit(early[0])).withColumn("snapshot_date", F.lit(wrong))
+    gold_days.refresh(spark, warehouse, moved, [wrong])
+    gold_days.refresh(spark, warehouse, hours, [*late, wrong])
+    return without(warehouse.table("mart_station_performance").read(spark))
+
+
 # What the damaged tables break, by test; every other test finds nothing.
 DAMAGE = {
     "not_null_stations_station_name": "SELECT count(*) FROM stations WHERE capacity > 35",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass, replace
 from datetime import date
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from dockpulse.operators.key_bitmaps import BITMAP_SCHEMA, key_bitmaps, merged_bitmaps, with_maybe_stored
 from dockpulse.operators.loading import batch_bounds, matching, new_rows, replace_by_key, without_stored
 from dockpulse.operators.silver import dedup_in_batch
-from dockpulse.session import path_exists, staged_for_use, swap_folder
+from dockpulse.session import hadoop_path, path_exists, staged_for_use, swap_folder
 from dockpulse.sinks.deltas import DeltaStore
 from dockpulse.sources.bronze import scan_bronze
 from dockpulse.sources.tables import StoredTable, scan_table, scan_window
@@ -222,6 +223,20 @@ def incremental_replace(
             )
 
 
+def replace_stored_days(spark: SparkSession, rows: DataFrame, table: StoredTable, days: Collection[date]) -> None:
+    """Put ``rows`` in the place of the given days of a Parquet table; days without a row are emptied."""
+    if table.kind != "parquet":
+        raise NotImplementedError(f"replace days in a {table.kind} table with its own statements")
+    held = {r["snapshot_date"] for r in rows.select("snapshot_date").distinct().collect()}
+    if not held <= set(days):
+        raise ValueError(f"rows of other days than those to be replaced: {sorted(map(str, held - set(days)))}")
+    if held:
+        incremental_replace(spark, rows, table, replace_days=True)
+    for day in set(days) - held:
+        system, target = hadoop_path(spark, f"{table.location}/snapshot_date={day}")
+        system.delete(target, True)
+
+
 def write_quality_report(report: DataFrame, path: str, local_time) -> None:
     """Append reports under ``report_date=.../hour=HH``, the rows of an hour in as few files as their size asks for."""
     report.withColumns(

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import date
 from decimal import Decimal
@@ -6,8 +7,11 @@ from helpers import bronze
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dockpulse.operators import gold, loading, ranking, silver, stations
+from dockpulse.config import parquet_warehouse
 from dockpulse.functions import pick
+from dockpulse.operators import gold, loading, ranking, silver, stations
+from dockpulse.plans import gold_days
+from dockpulse.plans.silver import load_silver
 from dockpulse.schemas import FACT_HOURLY
 
 
@@ -129,3 +133,46 @@ def test_lookback_of_an_empty_target_covers_everything(spark):
     assert str(loading.rebuild_from(None)) == "1900-01-01"
     one = spark.sql("SELECT DATE '2026-03-01' AS snapshot_date")
     assert str(loading.rebuild_from(one)) == "2026-02-28"
+
+
+def test_mart_by_days_equals_the_full_build(spark, tmp_path):
+    """Late rows, repeated runs, a station's first and last days gone, and a run that was lost halfway."""
+    draw, warehouse = random.Random(3), parquet_warehouse(str(tmp_path / "w"))
+
+    def rows(days, stations, seed):
+        made = random.Random(seed)
+        return bronze(spark, *[
+            {"stationcode": s, "ingestion_timestamp": f"2026-02-{d:02d}T{made.randint(0, 23):02d}:{made.randint(0, 59):02d}:00+01:00",
+             "numbikesavailable": (b := made.randint(0, 20)), "numdocksavailable": 20 - b}
+            for d in days for s in stations for _ in range(3)
+        ])
+
+    def hours(rows):
+        return gold.fact_hourly(gold.stg_availability(silver.stored_fact(silver.project_fact(silver.transform_silver(rows)))))
+
+    load_silver(spark, rows([1], ["1", "2", "3"], 0), warehouse)
+    current = {d: rows([d], ["1", "2", "3"], d) for d in range(1, 6)}
+
+    def check(days):
+        everything = None
+        for part in current.values():
+            everything = part if everything is None else everything.unionByName(part)
+        gold_days.refresh(spark, warehouse, hours(everything), [date(2026, 2, d) for d in days])
+        dim = warehouse.table("dim_stations").read(spark)
+        want = gold.with_station_ranks(gold.station_summary(gold.fact_daily(hours(everything)), dim))
+        got = warehouse.table("mart_station_performance").read(spark).drop("built_at")
+        assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+    check([1, 2, 3, 4, 5])
+    check([2, 2])
+    current[3] = current[3].unionByName(rows([3], ["1", "4"], 9))
+    check([3])
+    current[1], current[5] = rows([1], ["1"], 11), rows([5], ["2"], 12)
+    check([1, 5])
+    current[1] = current[1].where("false")
+    check([1])
+    os.mkdir(f"{gold_days.totals_table(warehouse).location}.unfinished")
+    current[2] = rows([2], ["2", "3"], draw.randint(0, 99))
+    check([2])
+    assert not os.path.exists(f"{gold_days.totals_table(warehouse).location}.unfinished")
