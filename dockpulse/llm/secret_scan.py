@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.session import stage
@@ -31,6 +31,14 @@ PIECES = (
     "file path page image style color index value table class node item list text word line time date year month"
 ).split()
 
+# Formats of issued keys, of signed tokens, of their parts, of UUIDs and of digests.
+ISSUED = "^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
+TOKEN = "eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}"
+TOKEN_PART = "^[A-Za-z0-9_-]{16,}$"
+UUID = "^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
+DIGEST = "^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
+MADE_FINDINGS = 4000
+
 FEATURES = (
     "n_chars", "digit_share", "upper_share", "lower_share", "other_share", "hex_share", "transitions", "switches_case",
     "repeats", "dictionary", "quoted", "assigned", "key_before", "path_like", "url_like", "plain_before", "plain_after",
@@ -99,13 +107,53 @@ def with_features(found: DataFrame) -> DataFrame:
     return found.withColumns({name: F.coalesce(c.cast("double"), F.lit(0.0)) for name, c in columns.items()})
 
 
-def labelled_by_use(found: DataFrame) -> DataFrame:
-    """Labelled findings of a corpus without reviewed ones: 1 where the string is assigned to a name that secrets have, else 0.
+def labelled_by_form(found: DataFrame) -> DataFrame:
+    """Labels of the candidates whose form tells what they are: 1 a secret, 0 none; null for all others.
+
+    Secrets: strings of the fixed formats of issued keys, wherever they stand, and what is assigned to a key name and is neither words,
+    nor digits, nor a path.  No secrets: numbers, UUIDs, words, parts of paths and addresses, and digests that no key name goes with.
+    """
+    value = F.col("value")
+    issued = value.rlike(ISSUED) | (value.rlike(TOKEN_PART) & F.col("word").rlike(TOKEN))
+    named = (F.col("key_before") > 0) & (F.col("assigned") > 0)
+    assigned = named & (F.col("digit_share") < 1) & (F.col("dictionary") < 0.5) & (F.col("path_like") == 0)
+    plain = (F.col("digit_share") == 1) | value.rlike(UUID) | (F.col("dictionary") >= 0.5) | (F.col("path_like") > 0) | (F.col("url_like") > 0)
+    digest = value.rlike(DIGEST) & (F.col("key_before") == 0)
+    label = F.when(issued | assigned, 1.0).when(plain | digest, 0.0)
+    return found.withColumn("label", label)
+
+
+def made_findings(spark: SparkSession, rows: int = MADE_FINDINGS) -> DataFrame:
+    """Labelled findings of the public formats and of what is mistaken for them, made from digests of numbers.
 
-    Assignments to such names of ordinary words, paths, or of digits alone are false positives.
+    They stand in for the reviewed findings that a corpus lacks, so that a format that it has never shown is known all the same.
+    ``rows`` sentences of ten kinds in turn; a bound, whatever the corpus.
     """
-    real = (F.col("key_before") > 0) & (F.col("assigned") > 0) & (F.col("digit_share") < 1) & (F.col("dictionary") < 0.5)
-    return found.withColumn("label", (real & (F.col("path_like") == 0)).cast("double"))
+    digest = F.sha2(F.col("id").cast("string"), 256)
+    mixed = F.regexp_replace(F.concat(F.base64(F.unhex(digest)), F.base64(F.unhex(F.sha2(digest, 256)))), "[+/=]", "")
+    digits = F.lpad(F.conv(F.substring(digest, 1, 13), 16, 10), 16, "7")
+    capitals = F.concat(F.substring(F.upper(mixed), 1, 13), F.substring(digits, 1, 3))
+    uuid = F.concat_ws("-", *[F.substring(digest, i, n) for i, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    year = (F.col("id") % 30 + 1995).cast("string")
+    kinds = [
+        (1.0, F.concat(F.lit("AKIA"), capitals)),
+        (1.0, F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36))),
+        (1.0, F.concat(F.lit("eyJhbGciOiJIUzI1NiJ9.eyJ"), F.substring(mixed, 1, 40), F.lit("."), F.substring(mixed, 30, 43))),
+        (1.0, F.concat(F.lit("password = \""), F.substring(digest, 1, 32), F.lit("\""))),
+        (1.0, F.concat(F.lit("api_key: "), F.substring(mixed, 1, 40))),
+        (0.0, digits),
+        (0.0, uuid),
+        (0.0, F.concat(F.lit("https://example.org/commit/"), F.substring(digest, 1, 40))),
+        (0.0, F.concat(F.lit("/var/www/html/page-"), digits, F.lit("/index.html"))),
+        (0.0, F.concat(F.element_at(F.array(*map(F.lit, ("user_account_settings_", "getCustomerAddressList", "monthly-report-summary-"))), (F.col("id") % 3 + 1).cast("int")), year)),
+    ]
+    text, label = F.lit(None).cast("string"), F.lit(None).cast("double")
+    for i, (known, value) in enumerate(kinds):
+        kind = F.col("id") % len(kinds) == i
+        text, label = F.when(kind, value).otherwise(text), F.when(kind, F.lit(known)).otherwise(label)
+    before = F.element_at(F.array(*map(F.lit, ("see", "here is", "value", "we found"))), (F.floor(F.col("id") / 10) % 4 + 1).cast("int"))
+    texts = spark.range(rows).select(F.col("id").alias("doc_id"), F.concat_ws(" ", before, text, F.lit("and more words")).alias("text"), label.alias("label"))
+    return with_features(candidates(texts)).join(texts.select("doc_id", "label"), "doc_id")
 
 
 def training_rows(labelled: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
@@ -142,12 +190,15 @@ def scored(found: DataFrame, model) -> DataFrame:
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """(doc_id, place, value, n_chars, score, secret) of every candidate in every whole text.
 
-    ``labelled`` holds reviewed findings (columns ``FEATURES`` and ``label``); without it they are taken from how the corpus
-    uses its strings (``labelled_by_use``).  ``place`` is the word number.
+    ``labelled`` holds reviewed findings (columns ``FEATURES`` and ``label``); without it they are the corpus's own strings whose form
+    tells what they are (``labelled_by_form``) and made ones (``made_findings``).  ``place`` is the word number.
 
     Needs ``doc_id`` and ``text``; others are left out.  Null and empty texts have no candidates.  Ids pass on as they
     are, null or repeated; repeated rows give repeated findings.
     """
     found = stage(with_features(candidates(docs)), "secret-candidates")
-    model = fitted(labelled_by_use(found) if labelled is None else labelled)
+    if labelled is None:
+        own = [*FEATURES, "label"]
+        labelled = labelled_by_form(found).select(own).union(made_findings(docs.sparkSession).select(own))
+    model = fitted(labelled)
     return scored(found, model).select("doc_id", "place", "value", F.col("n_chars").cast("long").alias("n_chars"), "score", "secret")
