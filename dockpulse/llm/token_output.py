@@ -22,7 +22,7 @@ END_ID = 1
 CHUNK_IDS = 1 << 14
 FILE_CHUNKS = 64
 # Words kept by a worker, and how many stay when they are too many: the earliest met, which are the frequent ones.
-CACHED_WORDS, LASTING_WORDS = 550_000, 400_000
+CACHED_WORDS, LASTING_WORDS = 180_000, 120_000
 PORTION_BYTES, PORTION_ROWS = 2 << 20, 512
 # New words that are looked at together.
 LEARNT_WORDS = 1 << 12
