@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from dockpulse.config import Warehouse
 from dockpulse.operators.hygiene import first_of_minute
+from dockpulse.operators.loading import matching
 from dockpulse.plans import silver
 from dockpulse.schemas import BRONZE, BRONZE_LAKE, BRONZE_PARTITIONS
-from dockpulse.session import path_exists, staged_for_use
+from dockpulse.session import hadoop_path, path_exists, staged_for_use
 from dockpulse.sources.files import readable_rows, validate_parquet_files
 from dockpulse.sources.landing import apply_type_contract
 
@@ -64,6 +65,7 @@ def clean(
                     raise RuntimeError(f"{promised} rows are readable, but {counts['gone'] + counts['kept']} were read")
                 if not dry_run and result.rewritten_partitions:
                     _rewrite(groups, judged.where("kept"), touched, lake)
+                    _drop_emptied(spark, judged.where("kept"), files.where("NOT valid"))
     return result
 
 
@@ -145,6 +147,14 @@ def _rewrite(groups: Sequence[DataFrame], kept: DataFrame, touched: DataFrame, l
         writer.partitionBy(*PARTITION).parquet(lake)
 
 
+def _drop_emptied(spark: SparkSession, kept: DataFrame, broken: DataFrame) -> None:
+    """Delete the folders of partitions that hold unreadable files alone: an overwrite without a row for them leaves them as they are."""
+    left = matching(broken, kept, "left_anti", *PARTITION).select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
+    for row in left.collect():
+        system, target = hadoop_path(spark, row["folder"])
+        system.delete(target, True)
+
+
 def run(
     spark: SparkSession, warehouse: Warehouse, lake: str, date: str | None = None, hour: int | None = None
 ) -> tuple[CleanupResult, silver.SilverRun]:

@@ -274,3 +274,14 @@ def test_dry_run_stores_coordinates_only(spark, hour):
     read = [part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]]
     judged = [r for r in read if "row_index" in r]
     assert judged and not any("capacity" in r or "name" in r for r in judged)
+
+
+def test_cleanup_drops_an_hour_of_broken_files(spark, tmp_path):
+    lake = odd_lake(spark, tmp_path)
+    other = lake / "ingestion_date=2026-02-26" / "hour=15"
+    other.mkdir()
+    (other / "snapshot_20260226_150000.parquet").write_bytes(b"broken")
+    found = cleanup.clean(spark, str(lake))
+    assert (found.corrupted_files, found.rewritten_partitions) == (2, 2) and other.exists()
+    assert cleanup.clean(spark, str(lake), dry_run=False) == found
+    assert not other.exists() and spark.read.parquet(str(lake)).count() == 6
