@@ -63,11 +63,11 @@ def stream_quarantine(
     """Set aside the payloads that ``stream_ingest`` takes no station from, with file and reason, exactly once per landed file.
 
     A stream of its own beside the ingest: each has one sink and one checkpoint, so neither can repeat rows after a failure.
+    The landed files are read by as many tasks as they have parts; only tasks that find something write a file.
     """
     payloads = spark.readStream.schema(schema).text(landing).withColumn("file", F.col("_metadata.file_path"))
     return (
         quarantined(payloads)
-        .coalesce(FILES_PER_HOUR)
         .writeStream.format("parquet")
         .option("path", folder)
         .option("checkpointLocation", checkpoint)

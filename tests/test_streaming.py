@@ -96,3 +96,19 @@ def test_rows_ten_days_late_and_repeated(spark, folder):
     found = sorted((r["station_id"], str(r["snapshot_timestamp"])) for r in table.read(spark).collect())
     times = ["2026-02-16 14:00:00", "2026-02-16 14:00:00.500000", "2026-02-26 14:00:00"]
     assert found == [*(("501", t) for t in times), ("9", times[0])]
+
+
+def test_quarantine_reads_landed_parts_apart(spark, tmp_path, monkeypatch):
+    """Eight landed files that are parts of their own meet eight tasks, each of which writes what it found."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for i in range(8):
+        (folder / f"{i}.txt").write_text(f"broken {i}\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8")
+    try:
+        finish(jobs.stream_quarantine(spark, str(folder), str(tmp_path / "aside"), str(tmp_path / "cp"), "value string"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    found = spark.read.parquet(str(tmp_path / "aside"))
+    assert found.select("value").distinct().count() == found.count() == 8
+    assert found.select(F.input_file_name()).distinct().count() == 8
