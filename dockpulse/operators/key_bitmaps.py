@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bits that one of Spark's bitmaps holds; a day has three of them.
-BITS = 32768
+# Seconds of a row of the bitmaps, in words of 64 bits.  Rows exist only where a key is stored: a station that is measured
+# each minute has about nine keys a row, and one measured twice a day has two short rows.
+WORDS = 8
+SPAN = 64 * WORDS
 KEYS = ("station_id", "snapshot_date", "bucket")
+BITS = [f"bits_{i}" for i in range(WORDS)]
 
 BITMAP_SCHEMA = T.StructType(
     [
         T.StructField("station_id", T.StringType()),
         T.StructField("bucket", T.IntegerType()),
-        T.StructField("bits", T.BinaryType()),
+        *[T.StructField(b, T.LongType()) for b in BITS],
         T.StructField("snapshot_date", T.DateType()),
     ]
 )
@@ -24,21 +27,31 @@ def _second(timestamp: str = "snapshot_timestamp") -> Column:
     return F.hour(timestamp) * 3600 + F.minute(timestamp) * 60 + F.second(timestamp)
 
 
+def _bucket(second: Column) -> Column:
+    return F.floor(second / SPAN).cast("int")
+
+
+def _place(second: Column) -> tuple[Column, Column]:
+    """The word of a row that holds the second, and its bit as a mask."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (second % 64).cast("int"))
+    return F.floor(second % SPAN / 64).cast("int"), bit
+
+
 def key_bitmaps(rows: DataFrame) -> DataFrame:
-    """(station_id, snapshot_date, bucket, bits) of rows with ``station_id`` and ``snapshot_timestamp``.
+    """(station_id, snapshot_date, bucket, bits_0, ...) of rows with ``station_id`` and ``snapshot_timestamp``.
 
     Rows without a station or a time have no bit.
     """
     placed = rows.where("station_id IS NOT NULL AND snapshot_timestamp IS NOT NULL").select(
         "station_id", F.to_date("snapshot_timestamp").alias("snapshot_date"), _second().alias("second")
     )
-    bucket = F.floor(F.col("second") / BITS).cast("int").alias("bucket")
-    bits = F.bitmap_construct_agg((F.col("second") % BITS).cast("bigint")).alias("bits")
-    return placed.groupBy("station_id", "snapshot_date", bucket).agg(bits)
+    word, bit = _place(F.col("second"))
+    bits = [F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(b) for i, b in enumerate(BITS)]
+    return placed.groupBy("station_id", "snapshot_date", _bucket(F.col("second")).alias("bucket")).agg(*bits)
 
 
 def merged_bitmaps(states: DataFrame) -> DataFrame:
-    return states.groupBy(*KEYS).agg(F.bitmap_or_agg("bits").alias("bits"))
+    return states.groupBy(*KEYS).agg(*[F.bit_or(b).alias(b) for b in BITS])
 
 
 def with_maybe_stored(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -47,11 +60,11 @@ def with_maybe_stored(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     A clear bit proves that no such key is stored.  A set one may stand for another instant of that second, or for a load that was
     lost behind its bitmaps, so only the stored keys decide about those.
     """
-    known = bitmaps.select(*[F.col(k).alias(f"_{k}") for k in KEYS], "bits")
+    known = bitmaps.select(*[F.col(k).alias(f"_{k}") for k in KEYS], *[F.col(b).alias(f"_{b}") for b in BITS])
     own = rows.withColumns({"_day": F.to_date("snapshot_timestamp"), "_second": _second()})
     match = (F.col("station_id") == F.col("_station_id")) & (F.col("_day") == F.col("_snapshot_date"))
-    joined = own.join(known, match & (F.floor(F.col("_second") / BITS).cast("int") == F.col("_bucket")), "left")
-    bit = F.col("_second") % BITS
-    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.getbit(byte, (bit % 8).cast("int")) == 1
+    joined = own.join(known, match & (_bucket(F.col("_second")) == F.col("_bucket")), "left")
+    word, bit = _place(F.col("_second"))
+    held = F.get(F.array(*[F.col(f"_{b}") for b in BITS]), word)
+    is_set = held.bitwiseAND(bit) != 0
     return joined.withColumn("maybe_stored", F.coalesce(is_set, F.lit(False))).select(*rows.columns, "maybe_stored")

@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.operators.key_bitmaps import BITMAP_SCHEMA, key_bitmaps, merged_bitmaps, with_maybe_stored
+from dockpulse.operators.key_bitmaps import BITMAP_SCHEMA, SPAN, key_bitmaps, merged_bitmaps, with_maybe_stored
 from dockpulse.operators.loading import batch_bounds, matching, new_rows, replace_by_key, without_stored
 from dockpulse.operators.silver import dedup_in_batch
 from dockpulse.session import hadoop_path, path_exists, staged_for_use, swap_folder
@@ -137,8 +137,11 @@ def _load_fact(spark: SparkSession, batch: DataFrame, table: StoredTable) -> Loa
 
 
 def stored_key_bitmaps(path: str) -> DeltaStore:
-    """The bitmaps of a fact's stored keys, kept below a folder beside it."""
-    return DeltaStore(path, BITMAP_SCHEMA, merged_bitmaps)
+    """The bitmaps of a fact's stored keys, kept below a folder beside it.
+
+    The folder is named by their form: bitmaps of another form are not seen, and made anew from the stored keys.
+    """
+    return DeltaStore(f"{path}/words-{SPAN}", BITMAP_SCHEMA, merged_bitmaps)
 
 
 def load_fact_by_bitmaps(spark: SparkSession, batch: DataFrame, table: StoredTable, bitmaps: DeltaStore) -> LoadResult:

@@ -160,3 +160,10 @@ def test_load_lost_behind_its_bitmaps_is_repeated(spark, tmp_path, monkeypatch):
     keys = rows.dropDuplicates(["station_id", "snapshot_timestamp"]).count()
     assert writers.load_fact_by_bitmaps(spark, rows, table, bitmaps).rows_written == keys
     assert writers.load_fact_by_bitmaps(spark, rows, table, bitmaps).rows_written == 0
+
+
+def test_a_lone_key_is_a_short_row(spark):
+    rows = spark.createDataFrame([("s", "2026-02-26 09:06:07")], "station_id string, t string")
+    (row,) = key_bitmaps.key_bitmaps(rows.select("station_id", F.col("t").cast("timestamp_ntz").alias("snapshot_timestamp"))).collect()
+    bits = [v for k, v in row.asDict().items() if k.startswith("bits")]
+    assert len(bits) <= 16 and sum(bin(v & (1 << 64) - 1).count("1") for v in bits) == 1
