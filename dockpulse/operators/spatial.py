@@ -98,33 +98,32 @@ def _containing(places: DataFrame, boundaries: DataFrame) -> DataFrame:
 def _nearest(places: DataFrame, boundaries: DataFrame) -> DataFrame:
     """(longitude, latitude, nearest_number, nearest_label): squared distance, ties to the lowest number.
 
-    On every grid a centroid is entered in its own cell and the eight around it.  A place first finds its finest grid
-    with an entry in its cell.  That centroid is less than three cell sides away, so the grid two levels up, whose
-    cells are four times as wide, has every nearer one in the same neighbourhood: its entries are the candidates.
+    On every grid the cells of the centroids and the eight around each are marked.  A place first finds its finest grid
+    with a mark in its cell.  That centroid is less than three cell sides away, so the grid two levels up, whose
+    cells are four times as wide, has every nearer one in the same neighbourhood: the centroids of the place's cell there
+    and of the eight around it are the candidates.  Cells are told apart before they are spread, and centroids never are.
     """
     centroids = boundaries.where(F.col("centroid_lon").isNotNull() & F.col("centroid_lat").isNotNull()).select(
         "arr_number", "label", "centroid_lon", "centroid_lat"
     )
-    around = F.explode(F.array(*[F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x in (-1, 0, 1) for y in (-1, 0, 1)]))
-    spread = centroids.select("*", _all_levels()).select("*", around.alias("o"))
     level = F.col("level")
-    offset = {axis: F.when(level < LEVELS, F.col(f"o.d{axis}")).otherwise(0) for axis in "xy"}
-    entries = spread.select(
-        "level",
-        (_cell(F.col("centroid_lon"), level) + offset["x"]).alias("cell_x"),
-        (_cell(F.col("centroid_lat"), level) + offset["y"]).alias("cell_y"),
-        "arr_number",
-        "label",
-        "centroid_lon",
-        "centroid_lat",
-    ).distinct()
-    lon, lat = F.col("longitude"), F.col("latitude")
+    steps = F.array(*[F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x in (-1, 0, 1) for y in (-1, 0, 1)])
+    none = F.array(F.struct(F.lit(0).alias("dx"), F.lit(0).alias("dy")))
     cells = ["level", "cell_x", "cell_y"]
-    located = places.select("*", _all_levels()).withColumns({"cell_x": _cell(lon, level), "cell_y": _cell(lat, level)})
-    finest = located.join(entries.select(*cells).distinct(), cells, "left_semi")
+
+    def in_cells(rows: DataFrame, lon: str, lat: str) -> DataFrame:
+        return rows.withColumns({"cell_x": _cell(F.col(lon), level), "cell_y": _cell(F.col(lat), level)})
+
+    def around(rows: DataFrame) -> DataFrame:
+        spread = rows.withColumn("o", F.explode(F.when(level < LEVELS, steps).otherwise(none)))
+        return spread.withColumns({"cell_x": F.col("cell_x") + F.col("o.dx"), "cell_y": F.col("cell_y") + F.col("o.dy")}).drop("o")
+
+    entries = in_cells(centroids.select("*", _all_levels()), "centroid_lon", "centroid_lat")
+    marks = around(entries.select(*cells).distinct()).distinct()
+    finest = in_cells(places.select("*", _all_levels()), "longitude", "latitude").join(marks, cells, "left_semi")
     finest = finest.groupBy("longitude", "latitude").agg(F.least(F.min("level") + 2, F.lit(LEVELS)).alias("level"))
-    wide = finest.withColumns({"cell_x": _cell(lon, level), "cell_y": _cell(lat, level)})
-    d = _distance2(lon, lat, F.col("centroid_lon"), F.col("centroid_lat")).alias("d")
+    wide = around(in_cells(finest, "longitude", "latitude"))
+    d = _distance2(F.col("longitude"), F.col("latitude"), F.col("centroid_lon"), F.col("centroid_lat")).alias("d")
     best = wide.join(entries, cells).groupBy("longitude", "latitude").agg(F.min(F.struct(d, "arr_number", "label")).alias("best"))
     return best.select(
         "longitude", "latitude", F.col("best.arr_number").alias("nearest_number"), F.col("best.label").alias("nearest_label")

@@ -87,3 +87,11 @@ def test_time_windows_prune_stored_days(spark):
         assert "snapshot_date#" in text.split("PartitionFilters: [")[1].split("]")[0], name
     for name in ("missing_days", "list_loaded_days"):
         assert "FileScan" not in plan(queries[name](spark, SF)), name
+
+
+def test_centroids_are_not_spread_over_neighbour_cells(spark):
+    boundaries = spark.createDataFrame([(1, "a", 2.3, 48.8)], "arr_number int, label string, centroid_lon double, centroid_lat double")
+    points = spark.createDataFrame([(2.3, 48.8)], "longitude double, latitude double")
+    text = spatial.nearest_centroid_join(points, boundaries)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Generate explode" in line and "[arr_number#" in line for line in text.split("\n")) <= 1
+    assert not any(line.count("label#") and "explode([[" in line.replace(" ", "") for line in text.split("\n"))
