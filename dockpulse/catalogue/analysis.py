@@ -18,9 +18,9 @@ from dockpulse.catalogue.base import (
     lake,
     query,
     silver_rows,
+    silver_warehouse,
     station_rows,
     stored_table,
-    warehouse,
     without,
 )
 from dockpulse.functions import clock, numeric, pick
@@ -523,7 +523,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     in_lake = list_partitions(spark, lake(spark, sf)).select(F.col("ingestion_date").alias("day"))
-    days = stored_days(spark, warehouse(spark, sf).table("station_availability"))
+    days = stored_days(spark, silver_warehouse(spark, sf).table("station_availability"))
     loaded = hygiene.loaded_days(days.where(F.col("snapshot_date") < F.lit(CUTOFF).cast("date")), spark)
     return hygiene.missing_days(in_lake, loaded, start="2024-01-10")
 

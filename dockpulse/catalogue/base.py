@@ -60,8 +60,7 @@ def bronze_path(spark: SparkSession, sf_dir: str) -> str:
     """
 
     def write(path: str) -> None:
-        rows = samples.bronze(spark, sf_dir)
-        rows.hint("rebalance", "ingestion_date").write.partitionBy("ingestion_date").parquet(path)
+        samples.bronze(spark, sf_dir, by_day=True).write.partitionBy("ingestion_date").parquet(path)
 
     return stored(spark, sf_dir, "bronze-by-day", write)
 
@@ -116,19 +115,25 @@ def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], N
     return _STORED[key]
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Silver and Gold tables of all given rows, as the jobs store them, built once per application."""
+SILVER_TABLES = ("stations", "station_availability")
 
-    def write(path: str) -> None:
-        target = parquet_warehouse(path)
-        load_silver(spark, bronze(spark, sf_dir), target)
-        gold_plan.run(spark, target, incremental=False)
 
-    return parquet_warehouse(stored(spark, sf_dir, "warehouse", write))
+def silver_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Silver tables of all given rows, as the job stores them, built once per application."""
+    return parquet_warehouse(stored(spark, sf_dir, "warehouse", lambda path: load_silver(spark, bronze(spark, sf_dir), parquet_warehouse(path))))
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Silver and Gold tables of all given rows; Gold is built when the first query asks for it."""
+    target = silver_warehouse(spark, sf_dir)
+    if not target.table("mart_peak_hours_by_district").exists(spark):
+        gold_plan.run(spark, target, incremental=False)
+    return target
 
 
 def stored_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return warehouse(spark, sf_dir).table(name).read(spark)
+    target = silver_warehouse(spark, sf_dir) if name in SILVER_TABLES else warehouse(spark, sf_dir)
+    return target.table(name).read(spark)
 
 
 def lake(spark: SparkSession, sf_dir: str) -> str:

@@ -15,10 +15,10 @@ from dockpulse.catalogue.base import (
     landing,
     query,
     silver_rows,
+    silver_warehouse,
     staged,
     station_rows,
     stored_table,
-    warehouse,
     without,
 )
 from dockpulse.catalogue.checks import AS_OF, DQ_REPORT
@@ -125,7 +125,7 @@ def _(spark, sf):
 
 @query("list_loaded_days", f"{o.chain('fact')} SELECT DISTINCT CAST(snapshot_date AS VARCHAR) AS day FROM fact ORDER BY day")
 def _(spark, sf):
-    days = stored_days(spark, warehouse(spark, sf).table("station_availability"))
+    days = stored_days(spark, silver_warehouse(spark, sf).table("station_availability"))
     return loaded_days(days, spark).orderBy("day")
 
 

@@ -13,11 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bronze_rows(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_rows(events: DataFrame, spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     """Event rows (batch or stream) with their station's attributes, in the Bronze contract.
 
     The events meet one stored table after the other, whose sizes Catalyst knows; joined among
-    themselves first, the two small tables would look larger than the events.
+    themselves first, the two small tables would look larger than the events.  ``by_day`` brings the rows of a day together
+    while they are narrow, before the contract's texts are made of them.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -25,10 +26,12 @@ def bronze_rows(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFram
     draw = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     capacity = F.when(event % 211 == 0, 0).otherwise(10 + (user * 7) % 41).cast("bigint")
     error = F.col("event_type") == "error"
+    narrow = events.select("event_id", "ts", "user_id", "event_type", "props", F.to_date("ts").alias("ingestion_date"))
+    joined = narrow.join(customer, F.col("user_id") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    if by_day:
+        joined = joined.hint("rebalance", "ingestion_date")
     raw = (
-        events.join(customer, F.col("user_id") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumns({"draw": draw, "capacity": capacity, "is_error": error})
+        joined.withColumns({"draw": draw, "capacity": capacity, "is_error": error})
         .withColumn("numbikesavailable", F.col("draw") % (F.col("capacity") + 1))
         .withColumn("ebike", F.call_function("div", F.col("numbikesavailable"), F.lit(3).cast("bigint")))
     )
@@ -58,7 +61,6 @@ def bronze_rows(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFram
             "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'",
         ),
         "snapshot_id": snapshot_id("ts"),
-        "ingestion_date": F.to_date("ts"),
         "hour": F.hour("ts"),
     }
     return raw.withColumns(columns).select(*BRONZE_LAKE.fieldNames())
@@ -68,8 +70,8 @@ def _thousandths(value: Column) -> Column:
     return value.cast("double") / 1000.0
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_rows(table(spark, sf_dir, "events"), spark, sf_dir)
+def bronze(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
+    return bronze_rows(table(spark, sf_dir, "events"), spark, sf_dir, by_day)
 
 
 def payloads(bronze: DataFrame) -> DataFrame:

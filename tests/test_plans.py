@@ -1,5 +1,6 @@
 """Shape of the physical plans that matter at scale."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from dockpulse.catalogue import analysis, base, storage, transforms  # noqa: F401
@@ -89,6 +90,12 @@ def test_time_windows_prune_stored_days(spark):
         assert "FileScan" not in plan(queries[name](spark, SF)), name
 
 
+def test_silver_tables_are_read_without_building_gold(spark, monkeypatch):
+    monkeypatch.setattr(base, "_STORED", {})
+    monkeypatch.setattr(base.gold_plan, "run", lambda *_, **__: pytest.fail("built Gold"))
+    assert base.stored_table(spark, SF, "station_availability").count() > 0
+
+
 def test_centroids_are_not_spread_over_neighbour_cells(spark):
     boundaries = spark.createDataFrame([(1, "a", 2.3, 48.8)], "arr_number int, label string, centroid_lon double, centroid_lat double")
     points = spark.createDataFrame([(2.3, 48.8)], "longitude double, latitude double")
