@@ -142,22 +142,21 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """Payload texts, one per line, in a folder per poll day."""
+    return stored(spark, sf_dir, "landing", lambda path: _land(samples.payloads(bronze(spark, sf_dir)), path))
 
-    def write(path: str) -> None:
-        polls = samples.payloads(bronze(spark, sf_dir)).select("value", F.to_date("poll").alias("poll_date"))
-        polls.hint("rebalance", "poll_date").write.partitionBy("poll_date").text(path)
 
-    return stored(spark, sf_dir, "landing", write)
+def _land(payloads: DataFrame, path: str) -> None:
+    """Bronze rows are stored by day, so a task writes few folders, and the texts, many times their size, need no shuffle."""
+    payloads.select("value", F.to_date("poll").alias("poll_date")).write.mode("append").partitionBy("poll_date").text(path)
 
 
 def broken_landing(spark: SparkSession, sf_dir: str) -> str:
     """The landing folder of ``landing``, with payloads between that give no station."""
 
     def write(path: str) -> None:
-        good = samples.payloads(bronze(spark, sf_dir)).select("value", F.to_date("poll").alias("poll_date"))
-        broken = samples.broken_payloads(samples.table(spark, sf_dir, "events"))
-        polls = good.union(broken.select("value", F.to_date("poll").alias("poll_date")))
-        polls.hint("rebalance", "poll_date").write.partitionBy("poll_date").text(path)
+        _land(samples.payloads(bronze(spark, sf_dir)), path)
+        broken = samples.broken_payloads(samples.table(spark, sf_dir, "events")).withColumn("poll_date", F.to_date("poll"))
+        _land(broken.hint("rebalance", "poll_date"), path)
 
     return stored(spark, sf_dir, "broken-landing", write)
 

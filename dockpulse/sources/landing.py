@@ -26,16 +26,18 @@ def payload_stations(text: Column) -> Column:
 def payload_fault(text: Column) -> Column:
     """Why a payload cannot be read as stations, or NULL; a list that is empty has no fault."""
     body = F.ltrim(text, F.lit(" \t\r\n"))
-    json = F.try_parse_json(body)
-    kind, results = F.schema_of_variant(json), F.try_variant_get(json, "$.results", "variant")
-    stations = payload_stations(text)
-    useless = (F.size(stations) > 0) & (F.size(F.filter(stations, lambda station: station.isNotNull())) == 0)
+    json, stations = F.try_parse_json(body), payload_stations(text)
+    useful = (F.size(stations) == 0) | F.exists(stations, lambda station: station.isNotNull())
+    # Stations come from a list or from ``results`` alone, so what gives some and is sound JSON needs no further look.
+    sound = json.isNotNull() & F.coalesce(useful, F.lit(False))
+    results = F.try_variant_get(json, "$.results", "variant")
     return (
-        F.when(F.coalesce(body, F.lit("")) == "", "empty")
+        F.when(sound, F.lit(None).cast("string"))
+        .when(F.coalesce(body, F.lit("")) == "", "empty")
         .when(json.isNull(), "no JSON")
-        .when(~kind.startswith("ARRAY") & ~kind.startswith("OBJECT"), "neither list nor object")
-        .when(kind.startswith("OBJECT") & (results.isNull() | F.is_variant_null(results)), "no results")
-        .when(stations.isNull() | useless, "no stations")
+        .when(~body.startswith("[") & ~body.startswith("{"), "neither list nor object")
+        .when(body.startswith("{") & (results.isNull() | F.is_variant_null(results)), "no results")
+        .otherwise("no stations")
     )
 
 

@@ -1,11 +1,13 @@
 """Shape of the physical plans that matter at scale."""
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockpulse.catalogue import analysis, base, storage, transforms  # noqa: F401
 from dockpulse.operators import gold, silver, spatial, stations
 from dockpulse.sources.bronze import list_partitions, scan_bronze
+from dockpulse.sources.landing import explode_payloads
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,6 +98,18 @@ def test_silver_tables_are_read_without_building_gold(spark, monkeypatch):
     assert base.stored_table(spark, SF, "station_availability").count() > 0
 
 
+def test_landed_texts_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(base, "_STORED", {})
+    base.bronze_path(spark, SF)
+    monkeypatch.setattr(DataFrame, "hint", lambda *_: pytest.fail("shuffled the payloads"))
+    assert spark.read.text(base.landing(spark, SF)).count() == base.bronze(spark, SF).count()
+
+
+def test_payloads_are_described_by_their_first_character(spark):
+    text = plan(explode_payloads(spark.createDataFrame([("[]",)], "value string")))
+    assert "schema_of_variant" not in text.lower()
+
+
 def test_centroids_are_not_spread_over_neighbour_cells(spark):
     boundaries = spark.createDataFrame([(1, "a", 2.3, 48.8)], "arr_number int, label string, centroid_lon double, centroid_lat double")
     points = spark.createDataFrame([(2.3, 48.8)], "longitude double, latitude double")
