@@ -1,6 +1,7 @@
 """Near-dedup by the Jaccard similarity of texts.
 
-MinHash bands find groups, SimHash bits and the rarest shingles of a text propose pairs in them, the texts decide.
+SimHash fingerprints that pass the pigeonring filter are proposed first.  For similar texts whose fingerprints lie farther apart MinHash
+bands find groups, and the rarest shingles of a text propose pairs in them.  The texts decide about every pair.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from dockpulse.llm.columns import sliced, whole_row
 from dockpulse.llm.components import connected
+from dockpulse.llm.simhash_dedup import near_links
 from dockpulse.session import stage
 
 SHINGLE_WORDS = 5
@@ -234,10 +236,24 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     return rows.join(crowded, "key", "left_anti").withColumns(whole).select(split.columns).union(split)
 
 
+def ring_pairs(distinct: DataFrame) -> DataFrame:
+    """(a, b): pairs of texts whose SimHash fingerprints are equal, or linked by the pigeonring at three or fewer different bits.
+
+    All texts of a fingerprint meet the smallest of them, and the ring's links are a spanning forest of each bucket: a large group of
+    near copies makes about one pair a member.
+    """
+    prints = stage(distinct.groupBy("fp").agg(F.min("node").alias("pivot")), "near-prints")
+    same = distinct.join(prints, "fp").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    one, two = (prints.select(F.col("fp").alias(c), F.col("pivot").alias(f"n{c}")) for c in "ab")
+    linked = near_links(prints.select("fp")).distinct().join(one, "a").join(two, "b")
+    return same.union(linked.select(F.least("na", "nb"), F.greatest("na", "nb"))).distinct()
+
+
 def near_components(distinct: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component): texts of Jaccard similarity ``SIMILARITY`` or more that share a band are of one component, also through others.
 
-    In each bucket all members first meet the smallest one, so a large group of near copies makes one pair a member.  Texts of
+    Pairs of the SimHash ring come first; they find most near copies, but at ``SIMILARITY`` fingerprints differ in about ten bits.
+    In each bucket of a band all members then meet the smallest one, so a large group of near copies makes one pair a member.  Texts of
     buckets that are not one component by then are listed under their rarest shingles: similar ones share one, while what
     only shares a common frame lies under shingles of its own.  Each list first meets the text that has the
     shingle earliest; of what stays apart, the pairs whose sizes and places allow the similarity are compared.
@@ -246,15 +262,18 @@ def near_components(distinct: DataFrame, texts: DataFrame) -> DataFrame:
     head = F.min_by(F.struct("fp", "size"), "node")
     pivots = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("pivot"), head.alias("head"))
     rows = stage(rows.join(pivots.where("n > 1").drop("n"), "key"), "near-buckets")
+    ring = stage(ring_pairs(distinct), "near-ring")
 
-    needed = rows.select("node").distinct().join(distinct.select("node", "digest", F.col("first_doc").alias("doc_id")), "node")
+    nodes = rows.select("node").union(ring.select("a")).union(ring.select("b")).distinct()
+    needed = nodes.join(distinct.select("node", "digest", F.col("first_doc").alias("doc_id")), "node")
     body = texts.join(needed, ["digest", "doc_id"]).dropDuplicates(["digest", "doc_id"]).select("node", "text")
     sets = stage(body.mapInArrow(_sets, "node long, shingles binary"), "near-shingles")
 
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("head.fp"))) <= MAX_BITS
     fits = F.least("size", "head.size") >= SIMILARITY * F.greatest("size", "head.size") - 1e-6
     stars = rows.where("node <> pivot").where(close & fits).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = stage(_links(stars, sets), "near-stars")
+    beyond = stars.join(ring, ["a", "b"], "left_anti")
+    links = stage(_links(ring, sets), "near-ring-links").union(stage(_links(beyond, sets), "near-stars"))
 
     components = connected(links)
     named = rows.select("key", "node").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))

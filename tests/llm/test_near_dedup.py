@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow as pa
+
 import corpus_pipeline
 from dockpulse.llm import near_dedup
 from tests.llm.rows import documents, edge_rows
@@ -106,3 +108,21 @@ def test_crowded_lists_are_dealt_in_blocks(spark, monkeypatch):
     texts = [edited(draw, base, n) for n in (0, 1, 2, 3, 4, 5, 6, 8, 10) for _ in range(4)] + near_texts()[:40]
     kept = near_dedup.keep_one(documents(spark, texts))
     assert sorted(r.doc_id for r in kept.collect()) == brute(list(enumerate(texts)))
+
+
+def test_simhash_ring_proposes_near_copies(spark, monkeypatch):
+    """Copies within three bits are found by SimHash and the pigeonring, without any band; the texts still decide."""
+
+    def alone(batches, own=near_dedup._signatures):
+        for at, batch in enumerate(own(batches)):
+            keys = {k: pa.array([hash((k, at, i, batch.column("doc_id")[i].as_py())) for i in range(batch.num_rows)], pa.int64()) for k in near_dedup.KEYS}
+            yield pa.record_batch({c: batch.column(c) for c in ("doc_id", "digest", "size", "fp")} | keys)
+
+    monkeypatch.setattr(near_dedup, "_signatures", alone)
+    draw, texts = random.Random(21), []
+    for _ in range(10):
+        base = [f"w{draw.randint(0, 10**6)}" for _ in range(5000)]
+        texts += [" ".join(base), " ".join([*base, "end"]), edited(draw, base, 1500)]
+    texts += ["a b c d e f", "A  b c d e f", "", " "]
+    kept = near_dedup.keep_one(documents(spark, texts))
+    assert sorted(r.doc_id for r in kept.collect()) == brute(list(enumerate(texts)))
