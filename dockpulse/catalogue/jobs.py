@@ -234,9 +234,15 @@ def _backfilled(spark, sf):
     warehouse, path = _warehouse(spark), work_path(spark, "backfill-lake")
     rows = bronze(spark, sf)
     late = F.col("ingestion_date") >= F.lit(CUTOFF).cast("date")
-    broken = rows.where("stationcode = '1'").withColumns({"ingestion_timestamp": F.lit("unreadable"), "ingestion_date": F.lit(None).cast("date")})
-    invalid = rows.where("stationcode = '1'").withColumns({"capacity": F.lit(0).cast("bigint"), "ingestion_date": F.lit("2023-12-31").cast("date")})
-    write_bronze(rows.unionByName(broken).unionByName(invalid), path)
+    invalid = F.col("invalid")
+    damaged = rows.where("stationcode = '1'").withColumn("invalid", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
+        {
+            "ingestion_timestamp": F.when(invalid, F.col("ingestion_timestamp")).otherwise("unreadable"),
+            "capacity": F.when(invalid, F.lit(0).cast("bigint")).otherwise(F.col("capacity")),
+            "ingestion_date": F.when(invalid, F.lit("2023-12-31").cast("date")),
+        }
+    )
+    write_bronze(rows.unionByName(damaged.drop("invalid")), path)
     silver_plan.load_silver(spark, scan_bronze(spark, path).where(late), warehouse)
     gold_plan.run(spark, warehouse)
     backfill.run(spark, warehouse, path, apply=True, days_per_run=8)

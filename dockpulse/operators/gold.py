@@ -122,9 +122,13 @@ STATION_ATTRIBUTES = (
 
 
 def station_summary(daily: DataFrame, dim: DataFrame) -> DataFrame:
-    """Whole-history figures per station; the daily fact is reduced before it meets the dimension."""
+    """Whole-history figures per station; the daily fact is reduced before it meets the dimension.
+
+    The daily fact has one row per station and date, so its days are counted in one pass, without the second shuffle of a
+    distinct count.
+    """
     figures = daily.groupBy("station_id").agg(
-        F.count_distinct("snapshot_date").alias("days_observed"),
+        F.count("snapshot_date").alias("days_observed"),
         F.sum("total_snapshots").alias("total_snapshots"),
         F.min("snapshot_date").alias("first_data_date"),
         F.max("snapshot_date").alias("last_data_date"),

@@ -65,6 +65,11 @@ def filter_from(source: DataFrame, start: date, column: str = "snapshot_date", d
     return source.where(wanted)
 
 
+def filter_days(source: DataFrame, days: Iterable[date], column: str = "snapshot_date") -> DataFrame:
+    """Rows of the given days, as literals, so that partitions prune statically."""
+    return source.where(F.col(column).isin(*[F.lit(day) for day in days]))
+
+
 def update_attribute(
     rows: DataFrame, updates: DataFrame, key: str = "station_id", column: str = DISTRICT, now: Column | None = None
 ) -> DataFrame:

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.config import Warehouse
-from dockpulse.functions.clock import EMPTY_TARGET_DATE
+from dockpulse.functions.clock import EMPTY_TARGET_DATE, wall_clock_now
 from dockpulse.operators import expectations as ex
 from dockpulse.operators import gold
-from dockpulse.operators.loading import filter_from, rebuild_from
+from dockpulse.operators.loading import filter_days, rebuild_from
 from dockpulse.operators.reports import table_counts
-from dockpulse.sinks.writers import incremental_replace, materialize_full
-from dockpulse.sources.tables import StoredTable, register_views, scan_table
+from dockpulse.session import staged_for_use
+from dockpulse.sinks.writers import incremental_replace, materialize_full, write_table
+from dockpulse.sources.tables import StoredTable, register_views, scan_table, stored_days
 
 CAPACITY_CATEGORIES = ("small", "medium", "large", "extra_large")
 
@@ -35,9 +36,14 @@ def staging(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     return views
 
 
+def _days(spark: SparkSession, table: StoredTable) -> set[date]:
+    return {r["snapshot_date"] for r in stored_days(spark, table).where("snapshot_date IS NOT NULL").collect()}
+
+
 def _refresh(
     spark,
     source: DataFrame,
+    source_table: StoredTable,
     build,
     table: StoredTable,
     keys: tuple[str, ...],
@@ -45,13 +51,26 @@ def _refresh(
     replace_days: bool,
     days: Collection[date],
 ):
+    """Build a fact of ``source``, whose rows all lie in the days of ``source_table``.
+
+    Days that the fact does not hold yet have no rows to replace: they are built and written once.  The other days come first,
+    so a run that is lost between the two leaves out whole days.
+    """
     stored = scan_table(spark, table) if incremental else None
     if stored is None:
         materialize_full(build(source), table)
         return
     start = rebuild_from(stored)
-    batch = build(filter_from(source, start, days=days) if str(start) != EMPTY_TARGET_DATE else source)
-    incremental_replace(spark, batch, table, *keys, replace_days=replace_days)
+    if str(start) == EMPTY_TARGET_DATE:
+        incremental_replace(spark, build(source), table, *keys, replace_days=replace_days)
+        return
+    held = _days(spark, table)
+    wanted = {day for day in _days(spark, source_table) if day >= start or day in days}
+    if again := sorted(wanted & held):
+        batch = build(filter_days(source, again))
+        incremental_replace(spark, batch, table, *keys, replace_days=replace_days)
+    if fresh := sorted(wanted - held):
+        write_table(build(filter_days(source, fresh)), table)
 
 
 def run(
@@ -68,6 +87,7 @@ def run(
     _refresh(
         spark,
         views["stg_station_availability"],
+        warehouse.table("station_availability"),
         gold.fact_hourly,
         hourly,
         ("station_id", "snapshot_date", "snapshot_hour"),
@@ -76,14 +96,15 @@ def run(
         days,
     )
     daily_keys = ("station_id", "snapshot_date")
-    _refresh(spark, hourly.read(spark), gold.fact_daily, daily, daily_keys, incremental, replace_days, days)
+    _refresh(spark, hourly.read(spark), hourly, gold.fact_daily, daily, daily_keys, incremental, replace_days, days)
     materialize_full(
         gold.dim_stations(warehouse.table("stations").read(spark)), warehouse.table("dim_stations")
     )
     dim = warehouse.table("dim_stations").read(spark)
-    materialize_full(
-        gold.mart_station_performance(daily.read(spark), dim), warehouse.table("mart_station_performance")
-    )
+    # The ranks and the figures both read the summary; staged, the daily fact is summed up once.
+    with staged_for_use(gold.station_summary(daily.read(spark), dim), "station-summary") as summary:
+        ranked = gold.with_station_ranks(summary).withColumn("built_at", wall_clock_now())
+        materialize_full(ranked, warehouse.table("mart_station_performance"))
     materialize_full(gold.mart_peak_hours(hourly.read(spark), dim), warehouse.table("mart_peak_hours_by_district"))
 
 

@@ -197,7 +197,7 @@ def incremental_replace(
 ) -> None:
     """Replace stored rows by key (or, with ``replace_days``, whole days) with the batch.
 
-    Only the days that the batch touches are read and rewritten.
+    Only the days that the batch touches are read and rewritten; they are literals, so that the stored days prune statically.
     """
     if not table.exists(spark):
         write_table(batch, table)
@@ -205,15 +205,12 @@ def incremental_replace(
     if table.kind not in FILE_KINDS:
         raise NotImplementedError(f"replace rows in a {table.kind} table with its own MERGE")
     with staged_for_use(batch, "incremental") as rows:
-        bounds = rows.agg(F.min("snapshot_date").alias("low"), F.max("snapshot_date").alias("high")).first()
-        if bounds["low"] is None:
+        found = rows.select("snapshot_date").distinct().where("snapshot_date IS NOT NULL").collect()
+        if not found:
             return
         if not replace_days:
-            # Literal bounds prune the stored days statically; the semi-join then keeps exactly those touched.
-            near = table.read(spark).where(F.col("snapshot_date").between(F.lit(bounds["low"]), F.lit(bounds["high"])))
-            days = rows.select("snapshot_date").distinct()
-            touched = near.join(days, "snapshot_date", "left_semi").select(*rows.columns)
-            rows = replace_by_key(touched, rows, *keys)
+            touched = table.read(spark).where(F.col("snapshot_date").isin(*[F.lit(r["snapshot_date"]) for r in found]))
+            rows = replace_by_key(touched.select(*rows.columns), rows, *keys)
         if table.kind == "parquet":
             writer = _arranged(rows, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*table.partition_by).parquet(table.location)

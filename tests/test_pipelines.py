@@ -389,3 +389,46 @@ def test_balanced_splits_cover_every_row_once(spark):
     same = spark.range(50).select(F.expr("TIMESTAMP_NTZ '2026-02-03 08:00:00'").alias("ts"))
     assert jdbc.split_predicates("ts", jdbc.split_bounds(same, "ts", 8)) == ["1 = 1"]
     assert jdbc.split_bounds(rows, "ts", 1) == [] == jdbc.split_bounds(rows.where("false"), "ts", 8)
+
+
+def test_new_days_are_written_without_a_look_at_stored_ones(spark, lake, warehouse, monkeypatch):
+    """A backfill replaces rows of the days alone that Gold holds, and finds those by their folders."""
+    silver.run(spark, warehouse, lake, "2026-02-27")
+    gold.run(spark, warehouse)
+    real_replace, real_by_key, replaced, targets = gold.incremental_replace, writers.replace_by_key, [], []
+
+    def replace(session, batch, table, *keys, **options):
+        replaced.append(sorted({str(r["snapshot_date"]) for r in batch.select("snapshot_date").collect()}))
+        real_replace(session, batch, table, *keys, **options)
+
+    def by_key(target, batch, *keys):
+        targets.append(target._jdf.queryExecution().executedPlan().toString())
+        return real_by_key(target, batch, *keys)
+
+    monkeypatch.setattr(gold, "incremental_replace", replace)
+    monkeypatch.setattr(writers, "replace_by_key", by_key)
+    assert backfill.run(spark, warehouse, lake, apply=True).gold_built
+    assert replaced == [["2026-02-27"]] * 2
+    assert len(targets) == 2 and not any("Join" in t for t in targets)
+    assert all("snapshot_date#" in t.split("PartitionFilters: [")[1].split("]")[0] for t in targets)
+    assert table_rows(spark, warehouse, "fact_hourly_availability")
+    monkeypatch.undo()
+    full = parquet_warehouse(f"{warehouse.settings['root']}-full")
+    silver.run(spark, full, lake)
+    gold.run(spark, full)
+    for name in ("fact_hourly_availability", "fact_daily_station_stats", "mart_station_performance", "mart_peak_hours_by_district"):
+        assert table_rows(spark, warehouse, name) == table_rows(spark, full, name), name
+
+
+def test_ranks_read_a_stored_summary(spark, lake, warehouse, monkeypatch):
+    real, plans = gold.gold.with_station_ranks, []
+
+    def ranks(summary):
+        plans.append(summary._jdf.queryExecution().executedPlan().toString())
+        return real(summary)
+
+    monkeypatch.setattr(gold.gold, "with_station_ranks", ranks)
+    silver.run(spark, warehouse, lake)
+    gold.run(spark, warehouse)
+    assert len(plans) == 1 and "Aggregate" not in plans[0]
+    assert warehouse.table("mart_station_performance").read(spark).count() == 2

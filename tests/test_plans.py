@@ -116,3 +116,8 @@ def test_centroids_are_not_spread_over_neighbour_cells(spark):
     text = spatial.nearest_centroid_join(points, boundaries)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Generate explode" in line and "[arr_number#" in line for line in text.split("\n")) <= 1
     assert not any(line.count("label#") and "explode([[" in line.replace(" ", "") for line in text.split("\n"))
+
+
+def test_days_of_a_station_are_counted_in_one_pass(spark):
+    text = plan(gold.station_summary(base.stored_table(spark, SF, "fact_daily_station_stats"), base.stored_table(spark, SF, "dim_stations")))
+    assert "distinct" not in text and text.count("Exchange hashpartitioning(station_id") == 1
